@@ -34,15 +34,22 @@ def dim_calendar(silver: DataFrame, date_col: str = "data") -> DataFrame:
     return calendar_dim(silver, date_col)
 
 
-def fact_measures(silver: DataFrame, with_id: bool = True) -> DataFrame:
+def fact_measures(silver: DataFrame, with_id: bool = True, checkpoint: bool = True) -> DataFrame:
+    """``fets_mesures``. Pass ``checkpoint=False`` only when ``silver`` is a
+    plain scan of written files: its splits, and so the ids, are then the
+    same on every evaluation and task retry."""
     fact = silver.select(
         "codi_eoi", "magnitud", date_key("data").alias("id_temps"), "hora", "valor")
     if not with_id:
         return fact
-    return dense_ids(fact, "id_mesura").select(
+    return dense_ids(fact, "id_mesura", checkpoint=checkpoint).select(
         "id_mesura", "codi_eoi", "magnitud", "id_temps", "hora", "valor")
 
 
+def dense_ids_fact(silver_files: DataFrame) -> DataFrame:
+    return fact_measures(silver_files, with_id=True, checkpoint=False)
+
+
 def dim_weather(silver_weather: DataFrame, rain_threshold: float = 0.0,
                 calm_below: float = 5.0, moderate_below: float = 15.0,
                 measures: Sequence[str] = ("temperatura", "humitat", "precipitacio",
