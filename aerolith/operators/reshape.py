@@ -33,12 +33,6 @@ def unpivot_hours(df: DataFrame, ids: Sequence[str], hour_cols: Sequence[str] |
                 .drop("_hour_col"))
 
 
-def valid_value(value_text: Column | str, low: float = 0.0, high: float = 1000.0) -> Column:
-    """Parse the text once; the result is NULL unless ``low <= v < high``."""
-    v = clean_double(value_text)
-    return F.when((v >= low) & (v < high), v)
-
-
 def in_range(value: Column | str, low: float = 0.0, high: float = 1000.0) -> Column:
     """``low <= v < high`` as a plain predicate, so it reaches the Parquet
     scan as pushed filters. False for NULL, NaN and infinities."""
@@ -58,10 +52,15 @@ def valid_measurements(df: DataFrame, value_col: str, required: Sequence[str],
                        out_col: str | None = None) -> DataFrame:
     """Keep rows whose value parses as a number in ``[low, high)`` and whose
     ``required`` columns are not NULL. The parsed double replaces the text
-    (or lands in ``out_col``)."""
+    (or lands in ``out_col``).
+
+    The text is parsed in a projection and the filter is a plain range test
+    on the parsed column, which keeps the stage in whole-stage codegen (a
+    range wrapped in a CASE around the parse would be inlined into the
+    filter several times and fall out of codegen)."""
     out_col = out_col or value_col
-    parsed = df.withColumn(out_col, valid_value(F.col(value_col), low, high))
-    cond = F.col(out_col).isNotNull()
+    parsed = df.withColumn(out_col, clean_double(F.col(value_col)))
+    cond = in_range(out_col, low, high)
     for c in required:
         cond = cond & F.col(c).isNotNull()
     return parsed.where(cond)

@@ -51,8 +51,9 @@ SC = DM.SCALE
 
 
 def _features(spark: SparkSession, base: str) -> DataFrame:
-    joined = FE.star(DM.fact(spark, base), None, None, DM.calendar(spark, base),
-                     DM.context(spark, base))
+    fact = DM.measures(spark, base).select("magnitud", "data", "id_temps", "hora", "valor")
+    joined = (DM.calendar_attributes(fact)
+              .join(DM.context(spark, base), ["id_temps", "hora"]))
     daily = FE.daily_base(joined, ["magnitud"], DM.MIN_HOURS, scale=SC)
     return FE.ml_features(daily, ["magnitud"])
 

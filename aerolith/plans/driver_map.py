@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import dates as D
 from ..functions.dates import date_key
 from ..functions.numeric import clean_double, exact_mean, exact_sum, scaled_round
 from ..operators.reshape import in_range
@@ -61,6 +62,20 @@ def calendar(spark: SparkSession, base: str) -> DataFrame:
     return gold.dim_calendar(measures(spark, base))
 
 
+def calendar_attributes(fact: DataFrame) -> DataFrame:
+    """What ``fact ⋈ calendar`` adds, computed from the fact's own ``data``
+    column. The calendar spans the fact's first to last day, so the inner
+    join keeps every fact row; deriving the attributes saves the calendar's
+    extra scan of the fact and a join."""
+    d = F.col("data")
+    return fact.withColumns({
+        "dia_setmana_num": D.weekday0(d),
+        "es_cap_setmana": D.is_weekend(d),
+        "mes": F.month(d),
+        "any_": F.year(d),
+    })
+
+
 def context_hours(spark: SparkSession, base: str) -> DataFrame:
     """The silver-weather stand-in: one row per (data, hora) with views."""
     ev = (read_table(spark, base, "events", ["ts", "event_type", "value", "props"])
