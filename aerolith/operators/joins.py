@@ -6,7 +6,8 @@ They are joined without a hint: with AQE on, Spark measures the finished
 dimension stage and switches the sort-merge join to a broadcast join when it
 is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``; above it the
 shuffle join stays and the skew-join rule splits hot fact partitions.
-``F.broadcast`` is used only for one-row aggregates.
+One-row aggregates (totals, maxima) are attached as scalar subqueries, not
+joined.
 """
 
 from __future__ import annotations
@@ -20,10 +21,11 @@ from ..functions.numeric import pct
 
 
 def with_scalar(df: DataFrame, scalar: DataFrame) -> DataFrame:
-    """Attach a one-row aggregate to every row (uncorrelated scalar subquery,
-    ``COUNT(*) OVER ()``). The right side has exactly one row, so the
-    broadcast is bounded."""
-    return df.crossJoin(F.broadcast(scalar))
+    """Attach the columns of a one-row aggregate to every row as uncorrelated
+    scalar subqueries (``DataFrame.scalar()``): Spark computes the aggregate
+    once and inlines the value, so there is no join and no shuffle of
+    ``df``."""
+    return df.withColumns({c: scalar.select(c).scalar() for c in scalar.columns})
 
 
 def with_total(df: DataFrame, name: str = "total") -> DataFrame:
@@ -31,12 +33,16 @@ def with_total(df: DataFrame, name: str = "total") -> DataFrame:
     return with_scalar(df, df.agg(F.count(F.lit(1)).alias(name)))
 
 
-def last_days(df: DataFrame, date_col: str, days: int) -> DataFrame:
-    """Rows with ``date >= max(date) - days``."""
-    mx = df.agg(F.max(date_col).alias("_max_d"))
-    return (with_scalar(df, mx)
-            .where(F.col(date_col) >= F.date_sub(F.col("_max_d"), days))
-            .drop("_max_d"))
+def last_days(df: DataFrame, date_col: str, days: int,
+              by: Sequence[str] = ()) -> DataFrame:
+    """Rows with ``date >= max(date) - days``; with ``by``, the maximum is
+    taken per series (one row per series joins back, not a cross join)."""
+    if not by:
+        mx = df.agg(F.max(date_col)).scalar()
+        return df.where(F.col(date_col) >= F.date_sub(mx, days))
+    mx = df.groupBy(*by).agg(F.max(date_col).alias("_max_d"))
+    return (df.join(mx, list(by)).where(F.col(date_col) >= F.date_sub(F.col("_max_d"), days))
+              .drop("_max_d"))
 
 
 def coverage(fact: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -52,9 +58,10 @@ def coverage(fact: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     ).withColumn("percentatge", pct("amb_context", "total_fets", 1))
 
 
-def cross_scalars(*scalars: DataFrame) -> DataFrame:
-    """Several one-row aggregates side by side (``SELECT (..), (..)``)."""
+def scalars_row(*scalars: DataFrame) -> DataFrame:
+    """Several one-row aggregates side by side (``SELECT (..), (..)``): the
+    first supplies the row, the others are scalar subqueries."""
     out = scalars[0]
     for s in scalars[1:]:
-        out = out.crossJoin(F.broadcast(s))
+        out = with_scalar(out, s)
     return out

@@ -20,7 +20,7 @@ from ..operators import quality as Q
 from ..operators.aggregates import dim_by_key, distribution, gap_audit, grouped_stats, range_stats
 from ..operators.calendar import calendar_dim
 from ..operators.dense_id import dense_ids
-from ..operators.joins import coverage, with_total
+from ..operators.joins import coverage, last_days, with_total
 from ..operators.metrics import regression_metrics
 from ..operators.reshape import in_range, pivot_hours, unpivot, unpivot_hours, valid_measurements
 from ..operators.windows import holdout
@@ -497,9 +497,7 @@ FROM feat f JOIN (SELECT magnitud, MAX(data) AS md FROM feat GROUP BY magnitud)
 WHERE f.data >= CAST(x.md - INTERVAL 7 DAY AS DATE)
 GROUP BY f.magnitud""")
 def last_n_days(spark, base):
-    f = _features(spark, base)
-    mx = f.groupBy("magnitud").agg(F.max("data").alias("_md"))
-    recent = f.join(mx, "magnitud").where(F.col("data") >= F.date_sub("_md", 7))
+    recent = last_days(_features(spark, base), "data", 7, by=["magnitud"])
     return recent.groupBy("magnitud").agg(
         r1(F.min("no2_mitja")).alias("minim"),
         r1(exact_mean("no2_mitja", SC)).alias("mitjana"),
