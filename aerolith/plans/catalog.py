@@ -20,11 +20,12 @@ from ..operators import quality as Q
 from ..operators.aggregates import dim_by_key, distribution, gap_audit, grouped_stats, range_stats
 from ..operators.calendar import calendar_dim
 from ..operators.dense_id import dense_ids
-from ..operators.joins import coverage, last_days, with_total
+from ..operators.joins import coverage, last_days, scalars_row, with_total
 from ..operators.metrics import regression_metrics
 from ..operators.reshape import in_range, pivot_hours, unpivot, unpivot_hours, valid_measurements
 from ..operators.windows import holdout
-from ..sources.bronze import weather_payload_rows
+from ..functions.numeric import fixed_point
+from ..sources.bronze import select_newest, weather_payload_rows
 from ..sources.tables import read_table
 from . import driver_map as DM
 from . import features as FE
@@ -50,12 +51,15 @@ r2 = lambda c: scaled_round(c, 2)
 SC = DM.SCALE
 
 
-def _features(spark: SparkSession, base: str) -> DataFrame:
+def _daily_base(spark: SparkSession, base: str) -> DataFrame:
     fact = DM.measures(spark, base).select("magnitud", "data", "id_temps", "hora", "valor")
     joined = (DM.calendar_attributes(fact)
               .join(DM.context(spark, base), ["id_temps", "hora"]))
-    daily = FE.daily_base(joined, ["magnitud"], DM.MIN_HOURS, scale=SC)
-    return FE.ml_features(daily, ["magnitud"])
+    return FE.daily_base(joined, ["magnitud"], DM.MIN_HOURS, scale=SC)
+
+
+def _features(spark: SparkSession, base: str) -> DataFrame:
+    return FE.ml_features(_daily_base(spark, base), ["magnitud"])
 
 
 def _target_fact(spark: SparkSession, base: str) -> DataFrame:
@@ -572,3 +576,70 @@ def daily_weekend_profile(spark, base):
     return (daily.join(cal, "id_temps").groupBy("magnitud", "es_cap_setmana")
             .agg(r2(exact_mean("valor_mitja", SC)).alias("mitjana_diaria"),
                  F.count(F.lit(1)).alias("n_dies")))
+
+
+# ---------------------------------------------------------------- more products
+
+@query("station_means", """
+SELECT s_name AS nom_estacio, n_name AS tipus_estacio,
+       """ + S.rnd(S.xmean("l_quantity"), 1) + """ AS no2_mitja,
+       """ + S.rnd("MAX(l_quantity)", 1) + """ AS no2_max, COUNT(*) AS num_mesures
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+WHERE l_returnflag = 'R'
+GROUP BY s_name, n_name""")
+def station_means(spark, base):
+    """Per-station mean, max and count for one pollutant, on lineitem
+    (station = supplier, pollutant = return flag, reading = quantity).
+    Readings are first reduced to one partial row per station key (exact
+    fixed-point sums), so the join with the station table moves one row per
+    station instead of one per reading; the partials are then combined by
+    station name and type."""
+    li = (read_table(spark, base, "lineitem", ["l_suppkey", "l_returnflag", "l_quantity"])
+          .where(F.col("l_returnflag") == "R"))
+    per = li.groupBy("l_suppkey").agg(F.sum(fixed_point("l_quantity", SC)).alias("_s"),
+                                      F.count("l_quantity").alias("_c"),
+                                      F.max("l_quantity").alias("_mx"),
+                                      F.count(F.lit(1)).alias("_n"))
+    sup = read_table(spark, base, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
+    nat = read_table(spark, base, "nation", ["n_nationkey", "n_name"])
+    j = (per.join(sup, per.l_suppkey == sup.s_suppkey)
+            .join(nat, F.col("s_nationkey") == F.col("n_nationkey")))
+    mean = F.try_divide(F.sum("_s").cast("double") / F.lit(float(10 ** SC)),
+                        F.sum("_c").cast("double"))
+    return j.groupBy(F.col("s_name").alias("nom_estacio"), F.col("n_name").alias("tipus_estacio")).agg(
+        r1(mean).alias("no2_mitja"), r1(F.max("_mx")).alias("no2_max"),
+        F.sum("_n").cast("long").alias("num_mesures"))
+
+
+@query("source_selection", """
+SELECT o_orderkey, o_orderdate, o_orderstatus, o_totalprice FROM orders
+WHERE o_orderstatus = 'F'
+ORDER BY o_orderdate DESC, o_orderkey LIMIT 100""")
+def source_selection(spark, base):
+    """The landed-source cut: one value of a filter column, newest N by
+    date with a key tie-break (a per-task top-N, then a merge)."""
+    o = read_table(spark, base, "orders", ["o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice"])
+    return select_newest(o, "F", 100, order_col="o_orderdate", tie_break=["o_orderkey"],
+                         where_col="o_orderstatus")
+
+
+@query("feature_table_calendar", S.with_(S.MEASURES, S.CAL, S.CONTEXT, S.CALENDAR_FEATURES)
+       + "SELECT * FROM feat_cal")
+def feature_table_calendar(spark, base):
+    """Feature table where lags and trailing means count calendar days
+    (missing days are NULL inside the window) instead of rows."""
+    return FE.calendar_gap_features(_daily_base(spark, base), ["magnitud"])
+
+
+@query("gap_audit_series", S.with_(S.MEASURES, S.CAL, S.CONTEXT, S.FEATURES) + """,
+dies AS (SELECT DISTINCT data FROM feat),
+rang AS (SELECT MIN(data) AS ini, MAX(data) AS fi FROM feat)
+SELECT (SELECT CAST(datediff('day', ini, fi) + 1 AS BIGINT) FROM rang) AS dies_esperats,
+       (SELECT COUNT(*) FROM dies) AS dies_amb_dades""")
+def gap_audit_series(spark, base):
+    """Days expected against days present on the feature table, as two
+    scalar subqueries side by side."""
+    f = _features(spark, base)
+    rng = f.agg((F.datediff(F.max("data"), F.min("data")) + 1).cast("long").alias("dies_esperats"))
+    days = f.select("data").distinct().agg(F.count(F.lit(1)).alias("dies_amb_dades"))
+    return scalars_row(rng, days)

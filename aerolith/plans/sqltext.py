@@ -82,7 +82,7 @@ def calendar(name: str, source: str, date_expr: str) -> str:
 
 CAL = calendar("cal", "m", "data")
 
-FEATURES = f"""j AS (
+BASE = f"""j AS (
   SELECT f.magnitud, f.valor, t.data, t.dia_setmana_num, t.es_cap_setmana, t.mes,
          t."any" AS any_, x.temperatura, x.humitat, x.precipitacio, x.vent_velocitat, x.pressio
   FROM m f JOIN cal t ON f.id_temps = t.id_temps
@@ -101,8 +101,12 @@ base AS (
          ANY_VALUE(es_cap_setmana) AS es_cap_setmana,
          ANY_VALUE(mes) AS mes, ANY_VALUE(any_) AS any_,
          COUNT(*) AS hores_amb_dada
-  FROM j GROUP BY magnitud, data HAVING COUNT(*) >= {DM.MIN_HOURS}),
-feat AS (
+  FROM j GROUP BY magnitud, data HAVING COUNT(*) >= {DM.MIN_HOURS})"""
+
+
+def feat(name: str, source: str) -> str:
+    """Lag / trailing-mean / cyclic columns over ``source`` per series."""
+    return f"""{name} AS (
   SELECT *,
          LAG(no2_mitja, 1) OVER w AS no2_lag1,
          LAG(no2_mitja, 2) OVER w AS no2_lag2,
@@ -113,11 +117,23 @@ feat AS (
          LAG(precipitacio, 1) OVER w AS precip_lag1,
          {rnd('SIN(2 * PI() * dayofyear(data) / 365.0)', 4)} AS dia_any_sin,
          {rnd('COS(2 * PI() * dayofyear(data) / 365.0)', 4)} AS dia_any_cos
-  FROM base
+  FROM {source}
   WINDOW w AS (PARTITION BY magnitud ORDER BY data),
          w3 AS (PARTITION BY magnitud ORDER BY data ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING),
          w7 AS (PARTITION BY magnitud ORDER BY data ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))"""
 
 
+FEATURES = BASE + ",\n" + feat("feat", "base")
+
+CALENDAR_FEATURES = BASE + """,
+spans AS (SELECT magnitud, MIN(data) AS a, MAX(data) AS b FROM base GROUP BY magnitud),
+grid AS (SELECT magnitud, CAST(UNNEST(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS data
+         FROM spans),
+aligned AS (SELECT g.magnitud, g.data, b.* EXCLUDE (magnitud, data)
+            FROM grid g LEFT JOIN base b ON g.magnitud = b.magnitud AND g.data = b.data),
+""" + feat("feat_all", "aligned") + """,
+feat_cal AS (SELECT * FROM feat_all WHERE no2_mitja IS NOT NULL)"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"

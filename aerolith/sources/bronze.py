@@ -27,11 +27,12 @@ def read_air_json(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 def select_newest(df: DataFrame, municipi: str | None = "Barcelona", limit: int | None = 50000,
                   order_col: str = "data",
-                  tie_break: Sequence[str] = ("codi_eoi", "magnitud")) -> DataFrame:
+                  tie_break: Sequence[str] = ("codi_eoi", "magnitud"),
+                  where_col: str = "municipi") -> DataFrame:
     """The source selection: one municipality, newest ``limit`` records
     (``data DESC``), ties broken by key so the cut is deterministic. The sort
     plus limit plans as a per-task top-N and a merge (``TakeOrderedAndProject``)."""
-    out = df if municipi is None else df.where(F.col("municipi") == municipi)
+    out = df if municipi is None else df.where(F.col(where_col) == municipi)
     if limit is not None:
         out = out.orderBy(F.col(order_col).desc(), *[F.col(c).asc() for c in tie_break]).limit(limit)
     return out
