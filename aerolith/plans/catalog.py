@@ -288,7 +288,7 @@ WHERE c.contaminant = '""" + DM.TARGET_POLLUTANT + """'
 GROUP BY f.hora""")
 def hourly_profile(spark, base):
     return grouped_stats(_target_fact(spark, base), ["hora"], "valor", stats=("mean",),
-                         digits=1, scale=SC, names={"mean": "no2_mitja"})
+                         digits=1, scale=SC, names={"mean": "no2_mitja"}).orderBy("hora")
 
 
 @query("star_mean", """
@@ -330,9 +330,10 @@ WHERE c.contaminant = '""" + DM.TARGET_POLLUTANT + "'"
 
 @query("wind_means", S.with_(S.MEASURES, S.POLLUTANTS, S.CONTEXT) + """
 SELECT x.categoria_vent, """ + S.rnd(S.xmean("f.valor"), 1) + """ AS no2_mitja, COUNT(*) AS num_mesures"""
-       + _CTX_FROM + " GROUP BY x.categoria_vent")
+       + _CTX_FROM + " GROUP BY x.categoria_vent ORDER BY no2_mitja DESC")
 def wind_means(spark, base):
-    return _ctx_grouped(spark, base, "categoria_vent")
+    return _ctx_grouped(spark, base, "categoria_vent").orderBy(F.col("no2_mitja").desc(),
+                                                               "categoria_vent")
 
 
 @query("rain_means", S.with_(S.MEASURES, S.POLLUTANTS, S.CONTEXT) + """
@@ -366,7 +367,7 @@ def month_context(spark, base):
     j = (_target_fact(spark, base).join(cal, "id_temps")
          .join(DM.context(spark, base), ["id_temps", "hora"]))
     return j.groupBy("mes").agg(r1(exact_mean("valor", SC)).alias("no2_mitja"),
-                                r1(exact_mean("temperatura", SC)).alias("temp_mitja"))
+                                r1(exact_mean("temperatura", SC)).alias("temp_mitja")).orderBy("mes")
 
 
 @query("corr_matrix", S.with_(S.MEASURES, S.POLLUTANTS, S.CONTEXT) + """
@@ -515,7 +516,8 @@ FROM feat GROUP BY magnitud, any_, mes""")
 def year_month_means(spark, base):
     return (_features(spark, base).groupBy("magnitud", "any_", "mes")
             .agg(r1(exact_mean("no2_mitja", SC)).alias("no2_mitja"),
-                 F.count(F.lit(1)).alias("n")))
+                 F.count(F.lit(1)).alias("n"))
+            .orderBy("magnitud", "any_", "mes"))
 
 
 @query("holdout_split", S.with_(S.MEASURES, S.CAL, S.CONTEXT, S.FEATURES) + """
@@ -606,9 +608,10 @@ def station_means(spark, base):
             .join(nat, F.col("s_nationkey") == F.col("n_nationkey")))
     mean = F.try_divide(F.sum("_s").cast("double") / F.lit(float(10 ** SC)),
                         F.sum("_c").cast("double"))
-    return j.groupBy(F.col("s_name").alias("nom_estacio"), F.col("n_name").alias("tipus_estacio")).agg(
+    out = j.groupBy(F.col("s_name").alias("nom_estacio"), F.col("n_name").alias("tipus_estacio")).agg(
         r1(mean).alias("no2_mitja"), r1(F.max("_mx")).alias("no2_max"),
         F.sum("_n").cast("long").alias("num_mesures"))
+    return out.orderBy(F.col("no2_mitja").desc(), "nom_estacio")
 
 
 @query("source_selection", """
@@ -643,3 +646,15 @@ def gap_audit_series(spark, base):
     rng = f.agg((F.datediff(F.max("data"), F.min("data")) + 1).cast("long").alias("dies_esperats"))
     days = f.select("data").distinct().agg(F.count(F.lit(1)).alias("dies_amb_dades"))
     return scalars_row(rng, days)
+
+
+@query("station_list", """
+SELECT o_custkey AS codi, ANY_VALUE(c_name) AS nom, ANY_VALUE(c_mktsegment) AS segment,
+       ANY_VALUE(c_nationkey) AS nacio
+FROM orders JOIN customer ON o_custkey = c_custkey
+GROUP BY o_custkey ORDER BY nom""")
+def station_list(spark, base):
+    """The station list ordered by name, from the dimension built out of the
+    fact (Q1)."""
+    return dim_by_key_q(spark, base).select("codi", "nom", "segment", "nacio").orderBy(
+        F.col("nom").asc_nulls_last(), "codi")
