@@ -72,6 +72,8 @@ def gbt_forecast(train: DataFrame, test: DataFrame, params: Mapping | None = Non
     """Fit on ``train``; return (model, predictions on ``test``). Rows with a
     missing feature are skipped (Spark trees take no NULLs)."""
     p = dict(GBT_PARAMS, **(params or {}))
+    if train.isEmpty():
+        return None, _no_forecast(test, label)
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="skip"),
         GBTRegressor(featuresCol="features", labelCol=label, predictionCol="yhat", **p),
@@ -82,6 +84,8 @@ def gbt_forecast(train: DataFrame, test: DataFrame, params: Mapping | None = Non
 
 def feature_importance(spark: SparkSession, model, top: int | None = 8) -> DataFrame:
     """(feature, importancia) from the fitted trees, most important first."""
+    if model is None:
+        return spark.createDataFrame([], "feature string, importancia double")
     imp = model.stages[-1].featureImportances.toArray().tolist()
     df = spark.createDataFrame(list(zip(FEATURES, [float(v) for v in imp])),
                                "feature string, importancia double")
@@ -89,6 +93,17 @@ def feature_importance(spark: SparkSession, model, top: int | None = 8) -> DataF
     return df.limit(top) if top else df
 
 
+def _no_forecast(test: DataFrame, label: str, band: bool = False) -> DataFrame:
+    """Empty predictions with the usual columns, when there is nothing to
+    train on (e.g. no day reaches the minimum hour count)."""
+    out = test.where(F.lit(False)).withColumnRenamed(label, "y").withColumn(
+        "yhat", F.lit(None).cast("double"))
+    if band:
+        out = out.withColumns({"yhat_lower": F.lit(None).cast("double"),
+                               "yhat_upper": F.lit(None).cast("double")})
+    return out
+
+
 def seasonal_terms(df: DataFrame, origin: str, date_col: str = "data") -> DataFrame:
     """Trend (years since ``origin``) plus yearly and weekly Fourier terms."""
     days = F.datediff(F.col(date_col), F.lit(origin).cast("date")).cast("double")
@@ -113,6 +128,8 @@ def seasonal_forecast(train: DataFrame, test: DataFrame, use_weather: bool = Tru
     inputs = SEASONAL_COLS + (WEATHER_REGRESSORS if use_weather else [])
     tr = seasonal_terms(train, origin).where(F.col(label).isNotNull())
     te = seasonal_terms(test, origin)
+    if tr.isEmpty():
+        return None, _no_forecast(test, label, band=True)
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=inputs, outputCol="raw", handleInvalid="skip"),
         StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
@@ -200,6 +217,8 @@ def _driver_gbt(spark, base):
     if key not in _FITTED:
         _FITTED[key], _ = gbt_forecast(train, test)
     model = _FITTED[key]
+    if model is None:
+        return None, _no_forecast(test, "no2_mitja")
     pred = model.transform(test).withColumnRenamed("no2_mitja", "y").drop("features")
     return model, pred
 
