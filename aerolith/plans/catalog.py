@@ -26,7 +26,7 @@ from ..operators.reshape import in_range, pivot_hours, unpivot, unpivot_hours, v
 from ..operators.windows import holdout
 from ..functions.numeric import fixed_point
 from ..sources.bronze import select_newest, weather_payload_rows
-from ..sources.tables import read_table
+from ..sources.tables import read_table, reuse_per_input
 from . import driver_map as DM
 from . import features as FE
 from . import sqltext as S
@@ -51,6 +51,7 @@ r2 = lambda c: scaled_round(c, 2)
 SC = DM.SCALE
 
 
+@reuse_per_input
 def _daily_base(spark: SparkSession, base: str) -> DataFrame:
     fact = DM.measures(spark, base).select("magnitud", "data", "id_temps", "hora", "valor")
     joined = (DM.calendar_attributes(fact)
@@ -58,6 +59,7 @@ def _daily_base(spark: SparkSession, base: str) -> DataFrame:
     return FE.daily_base(joined, ["magnitud"], DM.MIN_HOURS, scale=SC)
 
 
+@reuse_per_input
 def _features(spark: SparkSession, base: str) -> DataFrame:
     return FE.ml_features(_daily_base(spark, base), ["magnitud"])
 

@@ -20,7 +20,7 @@ from ..functions import dates as D
 from ..functions.dates import date_key
 from ..functions.numeric import clean_double, exact_mean, exact_sum, scaled_round
 from ..operators.reshape import in_range
-from ..sources.tables import read_table
+from ..sources.tables import read_table, reuse_per_input
 from . import gold
 
 # Fixed values of the mapping.
@@ -32,6 +32,7 @@ TARGET_POLLUTANT = "CLICK"     # the pollutant the analytic queries keep
 MIN_HOURS = 18
 
 
+@reuse_per_input
 def measures(spark: SparkSession, base: str) -> DataFrame:
     """Silver measurements from events: valid readings only (0 <= v < 1000,
     keys present)."""
@@ -50,14 +51,17 @@ def measures(spark: SparkSession, base: str) -> DataFrame:
               ))
 
 
+@reuse_per_input
 def fact(spark: SparkSession, base: str) -> DataFrame:
     return gold.fact_measures(measures(spark, base), with_id=False)
 
 
+@reuse_per_input
 def pollutants(spark: SparkSession, base: str) -> DataFrame:
     return gold.dim_pollutant(measures(spark, base))
 
 
+@reuse_per_input
 def calendar(spark: SparkSession, base: str) -> DataFrame:
     return gold.dim_calendar(measures(spark, base))
 
@@ -76,6 +80,7 @@ def calendar_attributes(fact: DataFrame) -> DataFrame:
     })
 
 
+@reuse_per_input
 def context_hours(spark: SparkSession, base: str) -> DataFrame:
     """The silver-weather stand-in: one row per (data, hora) with views."""
     ev = (read_table(spark, base, "events", ["ts", "event_type", "value", "props"])
@@ -92,6 +97,7 @@ def context_hours(spark: SparkSession, base: str) -> DataFrame:
                    scaled_round(exact_sum("value", SCALE), 2).alias("pressio")))
 
 
+@reuse_per_input
 def context(spark: SparkSession, base: str) -> DataFrame:
     """``dim_meteo`` stand-in keyed by (id_temps, hora)."""
     return gold.dim_weather(context_hours(spark, base), RAIN_THRESHOLD, CALM_BELOW, MODERATE_BELOW)
