@@ -16,10 +16,16 @@ from pyspark.sql import functions as F
 from .schemas import AIR_BRONZE, WEATHER_BRONZE, WEATHER_VARIABLES
 
 
-def read_air_json(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Air-quality records, all columns as text."""
+def read_air_json(spark: SparkSession, path: str | Sequence[str],
+                  multi_line: bool = True) -> DataFrame:
+    """Air-quality records, all columns as text.
+
+    A landed pull is one JSON array (bounded by the source's row limit); a
+    multi-line JSON file is read whole by one task, so parallelism comes from
+    the number of files. For large landings, land JSON Lines (one record per
+    line) and pass ``multi_line=False``: those files are split across tasks."""
     return (spark.read.schema(AIR_BRONZE)
-            .option("multiLine", True)
+            .option("multiLine", multi_line)
             .option("primitivesAsString", True)
             .option("mode", "PERMISSIVE")
             .json(path))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,3 +67,15 @@ def test_empty_training_set_gives_empty_forecast(spark, daily):
     model, pred = M.gbt_forecast(empty, daily)
     assert model is None and pred.count() == 0
     assert M.feature_importance(spark, model).count() == 0
+
+
+def test_logged_runs(spark, scratch, daily):
+    out = os.path.join(scratch, "models")
+    res = M.run_gbt(spark, daily, out, ["k"], n_test=30, params={"maxIter": 5})
+    assert res["forecast"].count() == 30
+    gain = M.run_seasonal_ablation(spark, daily, out, ["k"], n_test=30).first()
+    assert gain.millora_pct > 0
+    runs = spark.read.parquet(os.path.join(out, "runs"))
+    assert {r.run_name for r in runs.collect()} == {
+        "xgboost_amb_lags", "seasonal_sense_meteo", "seasonal_amb_meteo"}
+    assert os.path.isdir(os.path.join(out, "models", "xgboost_amb_lags"))
