@@ -121,3 +121,17 @@ def test_exports(lake):
     assert header.startswith("codi_eoi,")
     assert "08019043" in body                      # leading zero kept
     assert res.counts["csv_fets_diari"] == 9       # A NO2 7 days + A O3 + B
+
+
+def test_cli_refresh_and_train(spark, scratch):
+    from aerolith.__main__ import main
+    root = os.path.join(scratch, "cli")
+    air, met = write_landing(root)
+    lake = os.path.join(root, "lake")
+    main(["refresh", "--air", air, "--weather", met, "--out", lake, "--weather-end", "2024-01-31"])
+    assert spark.read.parquet(os.path.join(lake, "gold_features_ml")).count() == 7
+    main(["train", "--lake", lake, "--test-days", "2"])
+    runs = spark.read.parquet(os.path.join(lake, "runs"))
+    assert {"seasonal_sense_meteo", "seasonal_amb_meteo"} <= {r.run_name for r in runs.collect()}
+    fc = spark.read.parquet(os.path.join(lake, "forecasts", "seasonal_amb_meteo"))
+    assert fc.count() == 2 and set(fc.columns) >= {"y", "yhat", "yhat_lower", "yhat_upper", "limit_ue"}
