@@ -304,18 +304,29 @@ FROM orders JOIN customer ON o_custkey = c_custkey
 WHERE c_mktsegment = 'BUILDING'
 GROUP BY n_name, r_name""")
 def star_mean(spark, base):
+    """orders ⋈ customer ⋈ nation ⋈ region for one market segment, mean /
+    max / count of the order price per nation. Orders are first reduced to
+    one partial row per customer (fixed-point sum, count, max), so the join
+    with customer moves one row per customer rather than one per order; the
+    partials are combined per nation after the joins."""
     o = read_table(spark, base, "orders", ["o_custkey", "o_totalprice"])
+    per = o.groupBy("o_custkey").agg(F.sum(fixed_point("o_totalprice", SC)).alias("_s"),
+                                     F.count("o_totalprice").alias("_c"),
+                                     F.max("o_totalprice").alias("_mx"),
+                                     F.count(F.lit(1)).alias("_n"))
     c = (read_table(spark, base, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
          .where(F.col("c_mktsegment") == "BUILDING"))
     n = read_table(spark, base, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     r = read_table(spark, base, "region", ["r_regionkey", "r_name"])
-    j = (o.join(c, o.o_custkey == c.c_custkey)
-          .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-          .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
+    j = (per.join(c, per.o_custkey == c.c_custkey)
+            .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
+    mean = F.try_divide(F.sum("_s").cast("double") / F.lit(float(10 ** SC)),
+                        F.sum("_c").cast("double"))
     return j.groupBy("n_name", "r_name").agg(
-        r1(exact_mean("o_totalprice", SC)).alias("preu_mitja"),
-        r1(F.max("o_totalprice")).alias("preu_max"),
-        F.count(F.lit(1)).alias("n"))
+        r1(mean).alias("preu_mitja"),
+        r1(F.max("_mx")).alias("preu_max"),
+        F.sum("_n").cast("long").alias("n"))
 
 
 # ---------------------------------------------------------------- fact x context
