@@ -30,7 +30,8 @@ from ..sources.tables import read_table, reuse_per_input
 from . import driver_map as DM
 from . import features as FE
 from . import sqltext as S
-from .silver import silver_weather
+from . import landed_map as LM
+from .silver import measure_checks, silver_weather
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -673,3 +674,56 @@ def station_list(spark, base):
     fact (Q1)."""
     return dim_by_key_q(spark, base).select("codi", "nom", "segment", "nacio").orderBy(
         F.col("nom").asc_nulls_last(), "codi")
+
+
+# ---------------------------------------------------------------- the refresh's own builders
+
+@query("landed_silver", S.with_(S.LANDED) + "SELECT * FROM silver")
+def landed_silver(spark, base):
+    """Landed wide text records -> silver with the refresh's own builder:
+    unpivot of 24 hour cells, text parse and range filter, unit spelling,
+    coordinate repair, text altitude to integer."""
+    return LM.silver(spark, base)
+
+
+@query("landed_checks", S.with_(S.LANDED) + """
+SELECT 'silver_mesures' AS taula, "check", violacions, violacions = 0 AS ok FROM (
+  SELECT 'latitud_fora_rang' AS "check", COUNT(*) FILTER (WHERE latitud < 40 OR latitud > 43) AS violacions FROM silver
+  UNION ALL SELECT 'longitud_fora_rang', COUNT(*) FILTER (WHERE longitud < 0 OR longitud > 4) FROM silver
+  UNION ALL SELECT 'hora_fora_rang', COUNT(*) FILTER (WHERE hora < 1 OR hora > 24) FROM silver
+  UNION ALL SELECT 'nuls_critics', COUNT(*) FILTER (WHERE valor IS NULL OR codi_eoi IS NULL) FROM silver)""")
+def landed_checks(spark, base):
+    return measure_checks(LM.silver(spark, base))
+
+
+@query("landed_dim_station", S.with_(S.LANDED) + """
+SELECT codi_eoi, ANY_VALUE(nom_estacio) AS nom_estacio, ANY_VALUE(tipus_estacio) AS tipus_estacio,
+       ANY_VALUE(area_urbana) AS area_urbana, ANY_VALUE(municipi) AS municipi,
+       ANY_VALUE(nom_comarca) AS nom_comarca, ANY_VALUE(altitud) AS altitud,
+       """ + S.rnd("AVG(latitud)", 6) + """ AS latitud, """ + S.rnd("AVG(longitud)", 6) + """ AS longitud
+FROM silver GROUP BY codi_eoi""")
+def landed_dim_station(spark, base):
+    return LM.dim_station(spark, base)
+
+
+@query("landed_dim_pollutant", S.with_(S.LANDED) + """
+SELECT magnitud, ANY_VALUE(contaminant) AS contaminant, ANY_VALUE(unitats) AS unitats
+FROM silver GROUP BY magnitud""")
+def landed_dim_pollutant(spark, base):
+    return LM.dim_pollutant(spark, base)
+
+
+@query("landed_calendar", S.with_(S.LANDED, S.calendar("cal", "silver", "data")) + "SELECT * FROM cal")
+def landed_calendar(spark, base):
+    return LM.dim_calendar(spark, base)
+
+
+@query("landed_fact_ids", S.with_(S.LANDED) + """
+SELECT COUNT(*) AS n_files, COUNT(*) AS n_distinct, CAST(1 AS BIGINT) AS min_id,
+       COUNT(*) AS max_id FROM silver""")
+def landed_fact_ids(spark, base):
+    """``fets_mesures`` with dense ids; the oracle states the property
+    (ids are exactly 1..n, all distinct)."""
+    f = LM.fact_with_ids(spark, base)
+    return f.agg(F.count(F.lit(1)).alias("n_files"), F.count_distinct("id_mesura").alias("n_distinct"),
+                 F.min("id_mesura").alias("min_id"), F.max("id_mesura").alias("max_id"))

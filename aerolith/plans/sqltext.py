@@ -137,3 +137,53 @@ feat_cal AS (SELECT * FROM feat_all WHERE no2_mitja IS NOT NULL)"""
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+_HOURS = [f"h{k:02d}" for k in range(1, 25)]
+
+LANDED = f"""hourly AS (
+  SELECT user_id, event_type, CAST(ts AS DATE) AS d, CAST(hour(ts) + 1 AS INTEGER) AS h,
+         {xsum('value')} AS s
+  FROM events GROUP BY ALL),
+cells AS (
+  SELECT user_id, event_type, d, h,
+         CASE WHEN (user_id + h) % 11 = 0 THEN 'n/a'
+              WHEN (user_id + h) % 11 = 1 THEN ''
+              ELSE CAST(s AS VARCHAR) END AS cell
+  FROM hourly),
+wide AS (
+  SELECT user_id, event_type, d,
+         {", ".join(f"MAX(cell) FILTER (WHERE h = {k}) AS h{k:02d}" for k in range(1, 25))}
+  FROM cells GROUP BY user_id, event_type, d),
+landed AS (
+  SELECT lpad(CAST(user_id AS VARCHAR), 8, '0') AS codi_eoi,
+         'Estacio ' || CAST(user_id AS VARCHAR) AS nom_estacio,
+         strftime(d, '%Y-%m-%d') || 'T00:00:00.000' AS data,
+         event_type AS magnitud, upper(event_type) AS contaminant,
+         CASE WHEN user_id % 2 = 0 THEN 'ug/m3' ELSE 'µg/m3' END AS unitats,
+         CASE WHEN user_id % 3 = 0 THEN 'traffic' ELSE 'background' END AS tipus_estacio,
+         'urban' AS area_urbana, 'Barcelona' AS municipi, 'Barcelonès' AS nom_comarca,
+         CASE WHEN user_id % 2 = 0 THEN CAST(user_id % 500 AS VARCHAR)
+              ELSE CAST(user_id % 500 AS VARCHAR) || '.6' END AS altitud,
+         CASE WHEN user_id % 17 = 0 THEN '39.5'
+              WHEN user_id % 5 = 0 THEN CAST(4130000 + user_id AS VARCHAR)
+              ELSE '41.' || lpad(CAST(user_id AS VARCHAR), 4, '0') END AS latitud,
+         CASE WHEN user_id % 7 = 0 THEN CAST(21000000 + user_id * 10 AS VARCHAR)
+              ELSE '2.' || lpad(CAST(user_id AS VARCHAR), 4, '0') END AS longitud,
+         {", ".join(_HOURS)}
+  FROM wide),
+long_cells AS (
+  SELECT * EXCLUDE (hcol, txt), CAST(substr(hcol, 2, 2) AS INTEGER) AS hora,
+         TRY_CAST(txt AS DOUBLE) AS v
+  FROM (UNPIVOT landed ON {", ".join(_HOURS)} INTO NAME hcol VALUE txt)),
+silver AS (
+  SELECT codi_eoi, nom_estacio, CAST(data AS DATE) AS data, magnitud, contaminant,
+         replace(unitats, 'ug/m3', 'µg/m3') AS unitats, tipus_estacio, area_urbana, municipi,
+         nom_comarca, CAST(altitud AS INTEGER) AS altitud,
+         CASE WHEN CAST(latitud AS DOUBLE) > 100 THEN CAST(latitud AS DOUBLE) / 100000
+              ELSE CAST(latitud AS DOUBLE) END AS latitud,
+         CASE WHEN CAST(longitud AS DOUBLE) > 100 THEN CAST(longitud AS DOUBLE) / 10000000
+              ELSE CAST(longitud AS DOUBLE) END AS longitud,
+         hora, v AS valor
+  FROM long_cells
+  WHERE v >= 0 AND v < 1000 AND codi_eoi IS NOT NULL AND contaminant IS NOT NULL)"""
