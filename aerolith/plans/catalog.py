@@ -727,3 +727,10 @@ def landed_fact_ids(spark, base):
     f = LM.fact_with_ids(spark, base)
     return f.agg(F.count(F.lit(1)).alias("n_files"), F.count_distinct("id_mesura").alias("n_distinct"),
                  F.min("id_mesura").alias("min_id"), F.max("id_mesura").alias("max_id"))
+
+
+@query("landed_features", S.with_(S.LANDED, S.CONTEXT, S.calendar("lcal", "silver", "data"),
+                                  S.LANDED_STAR, S.DAILY, S.feat("feat", "base"))
+       + "SELECT * FROM feat")
+def landed_features(spark, base):
+    return LM.features(spark, base)

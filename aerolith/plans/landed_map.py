@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_sum
 from ..operators.reshape import pivot_hours
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import read_table, reuse_per_input
+from . import driver_map as DM
+from . import features as FE
 from . import gold
 from .silver import silver_measures
 
@@ -66,7 +69,11 @@ def landed_records(spark: SparkSession, base: str) -> DataFrame:
 
 @reuse_per_input
 def silver(spark: SparkSession, base: str) -> DataFrame:
-    return silver_measures(landed_records(spark, base))
+    """Silver from the landed records, materialised once per session in the
+    shared checkpoint folder, as the refresh writes its silver table: the
+    fact and the three dimensions then read it instead of re-deriving it."""
+    ensure_checkpoint_dir(spark)
+    return silver_measures(landed_records(spark, base)).checkpoint(eager=True)
 
 
 def dim_station(spark: SparkSession, base: str) -> DataFrame:
@@ -81,5 +88,19 @@ def dim_calendar(spark: SparkSession, base: str) -> DataFrame:
     return gold.dim_calendar(silver(spark, base))
 
 
+def features(spark: SparkSession, base: str) -> DataFrame:
+    """The refresh's five-table star (fact, pollutant, station, calendar,
+    hourly weather) over the landed gold tables, then the daily base per
+    pollutant and the window features. The hourly weather is the
+    ``view``-event stand-in of ``driver_map``."""
+    s = silver(spark, base)
+    joined = FE.star(gold.fact_measures(s, with_id=False), gold.dim_pollutant(s),
+                     gold.dim_station(s), gold.dim_calendar(s), DM.context(spark, base))
+    daily = FE.daily_base(joined, ["magnitud"], DM.MIN_HOURS, scale=2)
+    return FE.ml_features(daily, ["magnitud"])
+
+
 def fact_with_ids(spark: SparkSession, base: str) -> DataFrame:
-    return gold.fact_measures(silver(spark, base), with_id=True, checkpoint=True)
+    # silver is already materialised (fixed partitions), so ids are stable
+    # without a second checkpoint.
+    return gold.fact_measures(silver(spark, base), with_id=True, checkpoint=False)

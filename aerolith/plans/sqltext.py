@@ -82,12 +82,13 @@ def calendar(name: str, source: str, date_expr: str) -> str:
 
 CAL = calendar("cal", "m", "data")
 
-BASE = f"""j AS (
+J_EVENTS = """j AS (
   SELECT f.magnitud, f.valor, t.data, t.dia_setmana_num, t.es_cap_setmana, t.mes,
          t."any" AS any_, x.temperatura, x.humitat, x.precipitacio, x.vent_velocitat, x.pressio
   FROM m f JOIN cal t ON f.id_temps = t.id_temps
-           JOIN ctx x ON f.id_temps = x.id_temps AND f.hora = x.hora),
-base AS (
+           JOIN ctx x ON f.id_temps = x.id_temps AND f.hora = x.hora)"""
+
+DAILY = f"""base AS (
   SELECT magnitud, data,
          {rnd(xmean('valor'), 2)} AS no2_mitja,
          {rnd('MAX(valor)', 2)} AS no2_max,
@@ -103,6 +104,8 @@ base AS (
          COUNT(*) AS hores_amb_dada
   FROM j GROUP BY magnitud, data HAVING COUNT(*) >= {DM.MIN_HOURS})"""
 
+BASE = J_EVENTS + ",\n" + DAILY
+
 
 def feat(name: str, source: str) -> str:
     """Lag / trailing-mean / cyclic columns over ``source`` per series."""
@@ -187,3 +190,16 @@ silver AS (
          hora, v AS valor
   FROM long_cells
   WHERE v >= 0 AND v < 1000 AND codi_eoi IS NOT NULL AND contaminant IS NOT NULL)"""
+
+
+LANDED_STAR = """lm AS (
+  SELECT codi_eoi, magnitud, """ + date_key("data") + """ AS id_temps, hora, valor FROM silver),
+lp AS (SELECT magnitud, ANY_VALUE(contaminant) AS contaminant FROM silver GROUP BY magnitud),
+le AS (SELECT codi_eoi, ANY_VALUE(nom_estacio) AS nom_estacio FROM silver GROUP BY codi_eoi),
+j AS (
+  SELECT f.magnitud, f.valor, t.data, t.dia_setmana_num, t.es_cap_setmana, t.mes,
+         t."any" AS any_, x.temperatura, x.humitat, x.precipitacio, x.vent_velocitat, x.pressio
+  FROM lm f JOIN lp c ON f.magnitud = c.magnitud
+            JOIN le e ON f.codi_eoi = e.codi_eoi
+            JOIN lcal t ON f.id_temps = t.id_temps
+            JOIN ctx x ON f.id_temps = x.id_temps AND f.hora = x.hora)"""
