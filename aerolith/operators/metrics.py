@@ -36,7 +36,3 @@ def relative_gain(base: float | None, new: float | None) -> float | None:
     if base in (None, 0) or new is None:
         return None
     return (base - new) / base * 100.0
-
-
-def relative_gain_col(base: str, new: str, digits: int = 1):
-    return scaled_round(F.try_divide((F.col(base) - F.col(new)) * F.lit(100.0), F.col(base)), digits)

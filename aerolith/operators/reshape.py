@@ -40,13 +40,6 @@ def in_range(value: Column | str, low: float = 0.0, high: float = 1000.0) -> Col
     return (v >= low) & (v < high)
 
 
-def valid_number(value: Column | str, low: float = 0.0, high: float = 1000.0) -> Column:
-    """Same test for a column that is already numeric (no text parsing).
-    NaN and infinities fail ``v < high``."""
-    v = F.col(value) if isinstance(value, str) else value
-    return F.when((v >= low) & (v < high), v)
-
-
 def valid_measurements(df: DataFrame, value_col: str, required: Sequence[str],
                        low: float = 0.0, high: float = 1000.0,
                        out_col: str | None = None) -> DataFrame:

@@ -27,7 +27,6 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.numeric import scaled_round
 from ..operators.metrics import regression_metrics
@@ -157,14 +156,6 @@ def forecast_output(pred: DataFrame, series: Sequence[str] = (),
     return pred.select(*cols, F.lit(EU_ANNUAL_LIMIT).alias("limit_ue"))
 
 
-RUN_SCHEMA = T.StructType([
-    T.StructField("run_name", T.StringType()),
-    T.StructField("run_ts", T.TimestampNTZType()),
-    T.StructField("params", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
-])
-
-
 def run_record(spark: SparkSession, name: str, params: Mapping, metrics: DataFrame) -> DataFrame:
     """One ``runs`` row per metrics row: the metrics DataFrame (one row per
     series or one overall row) becomes a map column, so nothing is
