@@ -28,6 +28,7 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--limit", type=int, default=None)
     r.add_argument("--weather-start", default="2023-08-23")
     r.add_argument("--weather-end", default=None)
+    r.add_argument("--json-lines", action="store_true", help="landed air files are JSON Lines")
     r.add_argument("--no-export", action="store_true")
     r.add_argument("--fail-on-check", action="store_true")
     i = sub.add_parser("ingest")
@@ -44,7 +45,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"aerolith-{a.cmd}").getOrCreate()
     if a.cmd == "refresh":
         from .plans import refresh
-        cfg = refresh.RefreshConfig(municipi=a.municipi, limit=a.limit,
+        cfg = refresh.RefreshConfig(municipi=a.municipi, limit=a.limit, air_json_lines=a.json_lines,
                                     weather_start=a.weather_start, weather_end=a.weather_end,
                                     export=not a.no_export, fail_on_check=a.fail_on_check)
         res = refresh.run(spark, a.air, a.weather, a.out, cfg)

@@ -28,6 +28,7 @@ SERIES = ("codi_eoi", "nom_estacio", "magnitud", "contaminant")
 class RefreshConfig:
     municipi: str | None = "Barcelona"
     limit: int | None = None            # newest N landed records; None keeps all
+    air_json_lines: bool = False        # landed air files are JSON Lines (splittable)
     weather_start: str = "2023-08-23"
     weather_end: str | None = None
     min_hours: int = 18
@@ -58,7 +59,8 @@ def run(spark: SparkSession, air_path: str, weather_path: str, out: str,
     n = res.counts
 
     # Bronze: landed payloads as they are (text for air, arrays zipped for weather).
-    air = select_newest(read_air_json(spark, air_path), cfg.municipi, cfg.limit)
+    air = select_newest(read_air_json(spark, air_path, multi_line=not cfg.air_json_lines),
+                        cfg.municipi, cfg.limit)
     n["bronze_qualitat_aire"] = write_table(air, out, "bronze_qualitat_aire")
     met = select_weather_range(read_weather_json(spark, weather_path),
                                cfg.weather_start, cfg.weather_end)

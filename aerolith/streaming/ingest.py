@@ -34,9 +34,10 @@ AIR_KEYS = ["codi_eoi", "magnitud", "data", "hora"]
 
 
 def air_silver_stream(spark: SparkSession, landing: str, municipi: str | None = "Barcelona",
-                      watermark: str = "30 days", max_files: int = 100) -> DataFrame:
+                      watermark: str = "30 days", max_files: int = 100,
+                      json_lines: bool = False) -> DataFrame:
     raw = (spark.readStream.schema(AIR_BRONZE)
-           .option("multiLine", True)
+           .option("multiLine", not json_lines)
            .option("primitivesAsString", True)
            .option("maxFilesPerTrigger", max_files)
            .json(landing))

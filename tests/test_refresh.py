@@ -135,3 +135,44 @@ def test_cli_refresh_and_train(spark, scratch):
     assert {"seasonal_sense_meteo", "seasonal_amb_meteo"} <= {r.run_name for r in runs.collect()}
     fc = spark.read.parquet(os.path.join(lake, "forecasts", "seasonal_amb_meteo"))
     assert fc.count() == 2 and set(fc.columns) >= {"y", "yhat", "yhat_lower", "yhat_upper", "limit_ue"}
+
+
+SF01 = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF01), reason="driver tables absent")
+def test_refresh_on_driver_landing(spark, scratch):
+    """The full refresh over landed JSON Lines derived from the sf0.01
+    events: its silver equals the oracle-checked ``landed_silver`` query, and
+    a pollutant filter on the written lake prunes fact partitions."""
+    import contextlib
+    import io
+
+    from aerolith.plans import features as FE
+    from aerolith.plans import landed_map as LM
+    from fixtures import weather_payload
+    import json
+
+    root = os.path.join(scratch, "driver_landing")
+    air = os.path.join(root, "air")
+    met = os.path.join(root, "met")
+    LM.landed_records(spark, SF01).write.json(air)
+    os.makedirs(met)
+    with open(os.path.join(met, "m.json"), "w") as f:
+        json.dump(weather_payload(), f)
+    lake = os.path.join(root, "lake")
+    res = refresh.run(spark, air, met, lake,
+                      refresh.RefreshConfig(weather_end="2024-02-28", export=False,
+                                            air_json_lines=True))
+    silver = spark.read.parquet(os.path.join(lake, "silver_mesures"))
+    assert res.counts["silver_mesures"] == LM.silver(spark, SF01).count()
+    assert silver.exceptAll(LM.silver(spark, SF01)).count() == 0
+    rd = lambda n: spark.read.parquet(os.path.join(lake, n))
+    j = FE.star(rd("fets_mesures"), rd("dim_contaminant"), rd("dim_estacio"), rd("dim_temps"),
+                rd("dim_meteo"), pollutant="CLICK")
+    q = FE.daily_base(j, ["codi_eoi", "magnitud"], 1)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    assert "dynamicpruningexpression(magnitud" in buf.getvalue()
+    assert q.count() > 0
