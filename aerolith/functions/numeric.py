@@ -63,13 +63,26 @@ def safe_corr(y: ColumnOrName, x: ColumnOrName) -> Column:
 NUMERIC_TEXT = r"^\s*[+-]?(\d(_?\d)*(\.(\d(_?\d)*)?)?|\.\d(_?\d)*)([eE][+-]?\d+)?\s*$"
 
 
+# Characters a plain number may contain (digits, point, signs, exponent mark,
+# the whitespace a cast trims).
+NUMBER_CHARS = "0123456789.+-eE \t\n\r\f\u000b"
+
+
 def clean_double(c: ColumnOrName) -> Column:
     """Parse text to double; NULL for anything that is not plainly numeric
-    (``'n/a'``, ``''``, ``'12d'``). NaN/Infinity text is rejected as well:
-    every caller range-filters afterwards, and those never pass a range."""
+    (``'n/a'``, ``''``, ``'12d'``, hex). NaN/Infinity text is rejected as
+    well: every caller range-filters afterwards, and those never pass a
+    range.
+
+    Fast path (no underscore): the text may only hold number characters,
+    checked with ``translate`` (no regex); within that alphabet the cast
+    accepts exactly the strings ``NUMERIC_TEXT`` accepts. Texts with an
+    underscore take the regex, which allows single underscores between
+    digits."""
     s = _col(c).cast("string")
-    return F.when(s.rlike(NUMERIC_TEXT),
-                  F.regexp_replace(s, "_", "").try_cast("double"))
+    plain = F.when(F.translate(s, NUMBER_CHARS, "") == F.lit(""), s.try_cast("double"))
+    grouped = F.when(s.rlike(NUMERIC_TEXT), F.regexp_replace(s, "_", "").try_cast("double"))
+    return F.when(s.contains("_"), grouped).otherwise(plain)
 
 
 def text_to_int(c: ColumnOrName) -> Column:

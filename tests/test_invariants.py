@@ -81,3 +81,17 @@ def test_scaled_round_matches_duckdb_on_any_double(spark, xs, digits):
     con.executemany("INSERT INTO t VALUES (?, ?)", rows)
     want = dict(con.execute(f"SELECT i, {S.rnd('x', digits)} + 0.0 FROM t").fetchall())
     assert {i: v + 0.0 for i, v in got.items()} == want
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.text(alphabet="0123456789.+-eE d_x", max_size=8), min_size=1, max_size=40))
+def test_clean_double_matches_the_numeric_grammar(spark, texts):
+    """Fast and regex paths agree with the grammar on random number-like text."""
+    import re
+
+    from aerolith.functions.numeric import NUMERIC_TEXT, clean_double
+    rows = list(enumerate(texts))
+    got = dict(spark.createDataFrame(rows, "i int, s string").select("i", clean_double("s")).collect())
+    pat = re.compile(NUMERIC_TEXT)
+    want = {i: (float(t.replace("_", "")) if pat.search(t) else None) for i, t in rows}
+    assert got == want
