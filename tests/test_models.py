@@ -79,3 +79,19 @@ def test_logged_runs(spark, scratch, daily):
     assert {r.run_name for r in runs.collect()} == {
         "xgboost_amb_lags", "seasonal_sense_meteo", "seasonal_amb_meteo"}
     assert os.path.isdir(os.path.join(out, "models", "xgboost_amb_lags"))
+
+
+def test_per_series_seasonal_models(spark, daily):
+    two = daily.unionByName(daily.withColumn("k", F.lit("t"))
+                            .withColumn("no2_mitja", F.col("no2_mitja") + 100))
+    pred = M.seasonal_forecast_by_series(two, ["k"], 30).collect()
+    assert len(pred) == 60
+    by = {}
+    for r in pred:
+        by.setdefault(r.k, []).append(r)
+    # each series gets its own level: the shifted series is forecast ~100 higher
+    mean = lambda rs: sum(r.yhat for r in rs) / len(rs)
+    assert 90 < mean(by["t"]) - mean(by["s"]) < 110
+    assert all(r.yhat_lower < r.yhat < r.yhat_upper for r in pred)
+    m = regression_metrics(spark.createDataFrame(pred), "y", "yhat", ["k"]).collect()
+    assert all(r.r2 > 0.5 for r in m)
