@@ -26,6 +26,7 @@ from ..operators.reshape import in_range, pivot_hours, unpivot, unpivot_hours, v
 from ..operators.windows import holdout
 from ..functions.numeric import fixed_point
 from ..sources.bronze import select_newest, weather_payload_rows
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import read_table, reuse_per_input
 from . import driver_map as DM
 from . import features as FE
@@ -62,7 +63,12 @@ def _daily_base(spark: SparkSession, base: str) -> DataFrame:
 
 @reuse_per_input
 def _features(spark: SparkSession, base: str) -> DataFrame:
-    return FE.ml_features(_daily_base(spark, base), ["magnitud"])
+    """The daily feature table, materialised once per session in the shared
+    checkpoint folder (the refresh writes it as ``gold_features_ml``): the
+    diagnostics, hold-out, metrics and model queries read it instead of
+    re-deriving it from the raw events. It holds one row per series and day."""
+    ensure_checkpoint_dir(spark)
+    return FE.ml_features(_daily_base(spark, base), ["magnitud"]).checkpoint(eager=True)
 
 
 def _target_fact(spark: SparkSession, base: str) -> DataFrame:

@@ -32,8 +32,6 @@ from pyspark.sql import types as T
 from ..functions.numeric import scaled_round
 from ..operators.metrics import regression_metrics
 from ..operators.windows import holdout
-from ..session import ensure_checkpoint_dir
-from ..sources.tables import reuse_per_input
 from .catalog import _features, query
 
 # The 17 model features, in the original order, and the
@@ -297,13 +295,11 @@ DRIVER_TEST_DAYS = 7
 SERIES = ["magnitud"]
 
 
-@reuse_per_input
 def _model_input(spark, base):
-    """The daily feature table, checkpointed (reliable, in the shared
-    checkpoint dir) before fitting: every ML pass then scans the small
-    materialised table instead of recomputing it from the raw events."""
-    ensure_checkpoint_dir(spark)
-    return _features(spark, base).checkpoint(eager=True)
+    """The daily feature table, already materialised once per session: every
+    ML pass scans the small stored table instead of recomputing it from the
+    raw events."""
+    return _features(spark, base)
 
 
 _FITTED: dict[tuple[str, str], object] = {}
