@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import pct
@@ -35,13 +35,15 @@ def with_total(df: DataFrame, name: str = "total") -> DataFrame:
 
 def last_days(df: DataFrame, date_col: str, days: int,
               by: Sequence[str] = ()) -> DataFrame:
-    """Rows with ``date >= max(date) - days``; with ``by``, the maximum is
-    taken per series (one row per series joins back, not a cross join)."""
+    """Rows with ``date >= max(date) - days``. Without ``by`` the maximum is a
+    scalar subquery; with ``by`` it is a window maximum per series (meant
+    for daily series, whose partitions are bounded by the date span)."""
     if not by:
         mx = df.agg(F.max(date_col)).scalar()
         return df.where(F.col(date_col) >= F.date_sub(mx, days))
-    mx = df.groupBy(*by).agg(F.max(date_col).alias("_max_d"))
-    return (df.join(mx, list(by)).where(F.col(date_col) >= F.date_sub(F.col("_max_d"), days))
+    mx = F.max(date_col).over(Window.partitionBy(*by))
+    return (df.withColumn("_max_d", mx)
+              .where(F.col(date_col) >= F.date_sub(F.col("_max_d"), days))
               .drop("_max_d"))
 
 

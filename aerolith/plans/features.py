@@ -12,11 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_of_year_cos, day_of_year_sin
-from ..functions.numeric import exact_mean, exact_sum, safe_corr, scaled_round
+from ..functions.numeric import exact_mean, exact_sum, fixed_point, safe_corr, scaled_round
 from ..operators.windows import add_lags, add_trailing_means
 
 
@@ -91,16 +91,34 @@ def ml_features(base: DataFrame, series: Sequence[str] = ()) -> DataFrame:
 
 
 def calendar_gap_features(base: DataFrame, series: Sequence[str] = ()) -> DataFrame:
-    """Variant where a lag of n means n calendar days: each series is given
-    every day between its first and last day (one sequence per series, so
-    the grid is bounded by series x span), the lags are taken, then the
-    filler rows are dropped."""
-    spans = base.groupBy(*series).agg(F.min("data").alias("_a"), F.max("data").alias("_b"))
-    grid = spans.select(*series, F.explode(F.sequence("_a", "_b", F.expr("INTERVAL 1 DAY")))
-                        .alias("data"))
-    aligned = grid.join(base, [*series, "data"], "left")
-    out = ml_features(aligned.withColumn("_present", F.col("no2_mitja").isNotNull()), series)
-    return out.where("_present").drop("_present")
+    """Variant where a lag of n means n calendar days and the trailing means
+    cover the previous 3 / 7 calendar days (missing days are skipped, not
+    filled). Expressed with RANGE frames over a day number on the same
+    per-series window, so there is no calendar grid and no join: the lag is
+    the row exactly n days back, the mean covers days d-k .. d-1."""
+    dn = F.datediff(F.col("data"), F.lit("1970-01-01").cast("date"))
+    w = (Window.partitionBy(*series) if series else Window.partitionBy()).orderBy("_dn")
+
+    def back(c: str, n: int):
+        return F.max(c).over(w.rangeBetween(-n, -n))
+
+    def trailing(c: str, k: int):
+        f = w.rangeBetween(-k, -1)
+        return scaled_round(F.try_divide(F.sum(fixed_point(c, 2)).over(f).cast("double") / F.lit(100.0),
+                                         F.count(c).over(f).cast("double")), 2)
+
+    out = base.withColumn("_dn", dn).withColumns({
+        "no2_lag1": back("no2_mitja", 1),
+        "no2_lag2": back("no2_mitja", 2),
+        "no2_lag7": back("no2_mitja", 7),
+        "no2_mm3": trailing("no2_mitja", 3),
+        "no2_mm7": trailing("no2_mitja", 7),
+        "vent_lag1": back("vent_velocitat", 1),
+        "precip_lag1": back("precipitacio", 1),
+        "dia_any_sin": day_of_year_sin("data"),
+        "dia_any_cos": day_of_year_cos("data"),
+    })
+    return out.drop("_dn")
 
 
 def lag_correlations(features: DataFrame, series: Sequence[str] = (), digits: int = 3) -> DataFrame:

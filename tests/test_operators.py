@@ -112,6 +112,8 @@ def test_calendar_gap_variant(spark):
     out = calendar_gap_features(df, ["k"]).orderBy("data").collect()
     assert [r.data.day for r in out] == [1, 2, 4]
     assert [r.no2_lag1 for r in out] == [None, 1.0, None]   # day 3 is missing
+    assert [r.no2_lag2 for r in out] == [None, None, 2.0]   # two calendar days back
+    assert [r.no2_mm3 for r in out] == [None, 1.0, 1.5]     # days 1-3 hold 1 and 2
 
 
 def test_holdout(spark):
