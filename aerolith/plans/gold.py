@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.dates import date_key, rain_flag, wind_category
 from ..operators.aggregates import dim_by_key

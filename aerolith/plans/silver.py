@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import clean_double, text_to_int
+from ..functions.numeric import text_to_int
 from ..operators import quality as Q
 from ..operators.reshape import hour_columns, unpivot_hours, valid_measurements
 from ..sources.schemas import AIR_ATTRIBUTES
@@ -86,6 +86,3 @@ def weather_checks(silver: DataFrame) -> DataFrame:
         ("hora_fora_rang", Q.outside("hora", 1, 24)),
     ], table="silver_meteo")
 
-
-__all__ = ["silver_measures", "measure_checks", "silver_weather", "weather_checks",
-           "clean_double"]
