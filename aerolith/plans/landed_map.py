@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_sum
+from ..functions.numeric import fixed_point
 from ..operators.reshape import pivot_hours
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import read_table, reuse_per_input
@@ -35,15 +35,22 @@ def _u(m: int) -> F.Column:
 @reuse_per_input
 def landed_records(spark: SparkSession, base: str) -> DataFrame:
     ev = read_table(spark, base, "events", ["ts", "user_id", "event_type", "value"])
-    hourly = ev.groupBy("user_id", "event_type", F.to_date("ts").alias("d"),
-                        (F.hour("ts") + 1).cast("int").alias("h")).agg(
-        exact_sum("value", 2).alias("s"))
-    junk = (F.col("user_id") + F.col("h")) % F.lit(11)
-    cell = (F.when(junk == 0, F.lit("n/a"))
-             .when(junk == 1, F.lit(""))
-             .otherwise(F.col("s").cast("string")))
-    wide = pivot_hours(hourly.withColumn("cell", cell), ["user_id", "event_type", "d"], "h",
-                       F.first("cell"))
+    # One shuffle: the per-hour fixed-point sums are pivoted directly (partial
+    # aggregation per task), then each hour column becomes its text cell.
+    sums = pivot_hours(ev.select("user_id", "event_type", F.to_date("ts").alias("d"),
+                                 (F.hour("ts") + 1).cast("int").alias("h"),
+                                 fixed_point("value", 2).alias("fp")),
+                       ["user_id", "event_type", "d"], "h", F.sum("fp"))
+
+    def cell(h: int) -> F.Column:
+        v = F.col(f"h{h:02d}")
+        junk = (F.col("user_id") + F.lit(h)) % F.lit(11)
+        return (F.when(v.isNull(), F.lit(None).cast("string"))
+                 .when(junk == 0, F.lit("n/a"))
+                 .when(junk == 1, F.lit(""))
+                 .otherwise((v.cast("double") / F.lit(100.0)).cast("string")))
+
+    wide = sums.select("user_id", "event_type", "d", *[cell(h).alias(f"h{h:02d}") for h in range(1, 25)])
     uid = F.col("user_id").cast("string")
     lat = (F.when(_u(17) == 0, F.lit("39.5"))
             .when(_u(5) == 0, (F.lit(4130000) + F.col("user_id")).cast("string"))
