@@ -12,7 +12,9 @@ De-duplication: the source re-downloads the newest records every day, so
 the same (station, pollutant, day, hour) arrives in several files. Keys
 are dropped within a watermark on the measurement day, so the state kept
 per stream is bounded by the watermark span, not by history. The first
-landed copy of a reading wins.
+landed copy of a reading wins. Readings older than the watermark are
+treated as late and dropped, so the watermark must cover how far back a
+landing reaches; historical backfills go through the batch refresh.
 
 Checkpoints live under the cluster's ``spark.checkpoint.dir``.
 """
