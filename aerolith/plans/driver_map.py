@@ -20,6 +20,7 @@ from ..functions import dates as D
 from ..functions.dates import date_key
 from ..functions.numeric import clean_double, exact_mean, exact_sum, scaled_round
 from ..operators.reshape import in_range
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import read_table, reuse_per_input
 from . import gold
 
@@ -56,14 +57,22 @@ def fact(spark: SparkSession, base: str) -> DataFrame:
     return gold.fact_measures(measures(spark, base), with_id=False)
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """A gold dimension materialised once per session in the shared
+    checkpoint folder (the refresh writes its dimensions as tables); they
+    are bounded by pollutants, days or hours."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 @reuse_per_input
 def pollutants(spark: SparkSession, base: str) -> DataFrame:
-    return gold.dim_pollutant(measures(spark, base))
+    return _stored(gold.dim_pollutant(measures(spark, base)))
 
 
 @reuse_per_input
 def calendar(spark: SparkSession, base: str) -> DataFrame:
-    return gold.dim_calendar(measures(spark, base))
+    return _stored(gold.dim_calendar(measures(spark, base)))
 
 
 def calendar_attributes(fact: DataFrame) -> DataFrame:
@@ -100,4 +109,5 @@ def context_hours(spark: SparkSession, base: str) -> DataFrame:
 @reuse_per_input
 def context(spark: SparkSession, base: str) -> DataFrame:
     """``dim_meteo`` stand-in keyed by (id_temps, hora)."""
-    return gold.dim_weather(context_hours(spark, base), RAIN_THRESHOLD, CALM_BELOW, MODERATE_BELOW)
+    return _stored(gold.dim_weather(context_hours(spark, base), RAIN_THRESHOLD, CALM_BELOW,
+                                    MODERATE_BELOW))
