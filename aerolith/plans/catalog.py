@@ -739,3 +739,16 @@ def landed_fact_ids(spark, base):
        + "SELECT * FROM feat")
 def landed_features(spark, base):
     return LM.features(spark, base)
+
+
+@query("newest_cut", """
+SELECT o_orderkey, o_orderdate, o_orderstatus, o_totalprice FROM orders
+WHERE o_orderstatus = 'F'
+ORDER BY o_orderdate DESC, o_orderkey LIMIT 2000""")
+def newest_cut(spark, base):
+    """A large source cut (newest 2,000 by date, key tie-break) through the
+    distributed top-N: per-date and per-key counts find the cut-off, then a
+    filter keeps the rows; no task gathers rows from the others."""
+    o = read_table(spark, base, "orders", ["o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice"])
+    return select_newest(o, "F", 2000, order_col="o_orderdate", tie_break=["o_orderkey"],
+                         where_col="o_orderstatus", gather_limit=0)

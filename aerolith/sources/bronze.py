@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.topn import top_n
 from .schemas import AIR_BRONZE, WEATHER_BRONZE, WEATHER_VARIABLES
 
 
@@ -31,17 +32,26 @@ def read_air_json(spark: SparkSession, path: str | Sequence[str],
             .json(path))
 
 
+GATHER_LIMIT = 10_000   # above this many rows, top-N avoids the single-task merge
+
+
 def select_newest(df: DataFrame, municipi: str | None = "Barcelona", limit: int | None = 50000,
                   order_col: str = "data",
                   tie_break: Sequence[str] = ("codi_eoi", "magnitud"),
-                  where_col: str = "municipi") -> DataFrame:
+                  where_col: str = "municipi", gather_limit: int = GATHER_LIMIT) -> DataFrame:
     """The source selection: one municipality, newest ``limit`` records
-    (``data DESC``), ties broken by key so the cut is deterministic. The sort
-    plus limit plans as a per-task top-N and a merge (``TakeOrderedAndProject``)."""
+    (``data DESC``), ties broken by key so the cut is deterministic.
+
+    A small limit plans as a per-task top-N and a merge in one task
+    (``TakeOrderedAndProject``); a large one (the default 50,000) uses the
+    distributed cut-off of ``operators.topn``, so no task receives ``limit``
+    rows from every other task."""
     out = df if municipi is None else df.where(F.col(where_col) == municipi)
-    if limit is not None:
-        out = out.orderBy(F.col(order_col).desc(), *[F.col(c).asc() for c in tie_break]).limit(limit)
-    return out
+    if limit is None:
+        return out
+    if limit > gather_limit:
+        return top_n(out, limit, [(order_col, True)] + [(c, False) for c in tie_break])
+    return out.orderBy(F.col(order_col).desc(), *[F.col(c).asc() for c in tie_break]).limit(limit)
 
 
 def read_weather_json(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

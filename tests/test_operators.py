@@ -162,3 +162,14 @@ def test_distribution(spark):
     assert (r.minim, r.mitjana, r.mediana, r.maxim, r.num_zeros, r.num_sota_5) == (
         0.0, 5.0, 5.0, 10.0, 1, 2)
     assert r.desviacio == 4.2
+
+
+@pytest.mark.parametrize("n", [1, 7, 50, 199, 200, 500])
+def test_top_n_matches_a_sort(spark, n):
+    from aerolith.operators.topn import top_n
+    rows = [(d % 13 if d % 17 else None, (d * 7) % 31, d) for d in range(200)]
+    df = spark.createDataFrame(rows, "a int, b int, k int").repartition(5)
+    got = sorted(r.k for r in top_n(df, n, [("a", True), ("b", False), ("k", False)]).collect())
+    key = lambda r: (r[0] is None, -(r[0] or 0), r[1], r[2])  # noqa: E731  a desc nulls last
+    want = sorted(r[2] for r in sorted(rows, key=key)[:n])
+    assert got == want
