@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
+from ..functions.json_fields import json_text
 from ..functions.numeric import exact_mean, exact_sum, fixed_point, safe_corr, scaled_round
 from ..operators import quality as Q
 from ..operators.aggregates import dim_by_key, distribution, gap_audit, grouped_stats, range_stats
@@ -124,7 +125,7 @@ WHERE k >= 0 AND k < 50
 GROUP BY event_type""")
 def try_parse_filter(spark, base):
     ev = read_table(spark, base, "events", ["event_type", "props"])
-    ev = ev.withColumn("k_text", F.get_json_object("props", "$.k"))
+    ev = ev.withColumn("k_text", json_text("props", "k"))
     kept = valid_measurements(ev, "k_text", [], 0.0, 50.0, out_col="k")
     return kept.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"),
                                           r2(exact_sum("k", SC)).alias("suma_k"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions.dates import date_key
+from ..functions.json_fields import json_text
 from ..functions.numeric import clean_double, exact_mean, exact_sum, scaled_round
 from ..operators.reshape import in_range
 from ..session import ensure_checkpoint_dir
@@ -96,7 +97,7 @@ def context_hours(spark: SparkSession, base: str) -> DataFrame:
           .where(F.col("event_type") == CONTEXT_EVENT_TYPE)
           .where(in_range("value")))
     d = F.to_date("ts")
-    k = clean_double(F.get_json_object("props", "$.k"))
+    k = clean_double(json_text("props", "k"))
     return (ev.groupBy(d.alias("data"), (F.hour("ts") + 1).cast("int").alias("hora"))
               .agg(scaled_round(exact_mean("value", SCALE), 2).alias("temperatura"),
                    F.count(F.lit(1)).cast("double").alias("humitat"),
