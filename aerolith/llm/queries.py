@@ -8,13 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.llm import common as C
+from aerolith.llm.line_dedup import dedup_lines
 from aerolith.llm.near_dup import near_duplicates
 from aerolith.llm.repetition import verdicts
+from aerolith.llm.wavelet import token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer of the token queries (a file of every machine)."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def _query(name: str, sql: str | None = None):
     def add(fn):
         QUERIES[name] = fn
@@ -55,3 +63,29 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(C.table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "n_covered", "longest_repeat")
+
+
+@_query("op7_mph_line_dedup", r"""
+with l as (
+  select doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from (select doc_id, unnest(ls) as line, generate_subscripts(ls, 1) as i
+        from (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents))),
+k as (
+  select key, max(doc_id) as keeper from l where length(key) >= 40
+  group by key having count(distinct doc_id) >= 5),
+d as (
+  select l.*, k.keeper is not null and k.keeper <> l.doc_id as gone
+  from l left join k using (key))
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from d group by doc_id""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(C.table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@_query("op3_wavelet_tokens")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(C.table(spark, sf_dir, "documents"), tokenizer_path()).drop("file")
