@@ -55,6 +55,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers that may be broadcast.
+FEW_ROWS = 1_000_000
+
+
+def few(df: DataFrame, rows: int = FEW_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it was counted to have few rows; beyond
+    that it is joined by a shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and each text's offsets; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -90,6 +100,9 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str, size: int = CHUNK_BYTES
 # The white space of the word rule, as byte values.
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: ASCII but for letters and digits: parts words that are compared without
+#: their punctuation.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -142,12 +155,14 @@ def range_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: boo
             at, left = at[more] + 8, left[more] - 8
 
 
-def words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts and ends of all words, and each text's offsets in them."""
+def words(buf: np.ndarray, offs: np.ndarray, parts: np.ndarray = _SPACE,
+          ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of all words, and each text's offsets in them;
+    ``parts`` flags the byte values that part words."""
     n = len(buf)
     if n == 0:
         return (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offs), np.int64))
-    inside = ~_SPACE[buf]
+    inside = ~parts[buf]
     edge = np.zeros(n + 1, bool)
     edge[offs] = True
     first = inside.copy()

@@ -7,17 +7,17 @@ shorter text is one shingle). Per document one pass over the text gives
   class's smallest id takes part in the search;
 * ``BANDS`` band keys of ``ROWS`` MinHash values each: two sets of similarity
   0.8 share none with a probability of 5e-8;
-* an odd sketch: each of the MinHash samples toggles one of ``SKETCH`` bits, so
-  the population count of two sketches' XOR estimates the samples' symmetric
-  difference, most precisely at high similarity.
+* an odd sketch: each of ``SAMPLES`` MinHash values toggles one of ``SKETCH``
+  bits, so the population count of two sketches' XOR estimates the samples'
+  symmetric difference, most precisely at high similarity.
 
 Candidates come from band buckets without making the pairs of a bucket: in each
 round every bucket links its members to one member drawn by a hash of the round,
 unless they are in the same component already. When rounds of this leave few
 buckets with members of two components, every pair across components in
-those buckets is compared, blocks of members against blocks, by sketch. Every
-candidate whose sketches allow the threshold (with a margin of over five
-standard deviations) is verified on the full shingle sets. So a link is only
+those buckets is compared once, in the first band it shares, blocks of members
+against blocks, by sketch. Every candidate whose sketches allow the threshold
+(with a margin of four standard deviations) is verified on the full sets. So a link is only
 ever left out where its two ends are in one component anyway.
 
 Defined results: null and empty texts and those without words have an empty set,
@@ -40,13 +40,13 @@ from aerolith.llm import common as C
 from aerolith.llm.graph import components
 
 BANDS, ROWS = 32, 4
-SKETCH = 1024
+SAMPLES, SKETCH = 512, 4096
 #: Rounds of linking buckets to one member before blocks are compared.
-ROUNDS = 3
+ROUNDS = 2
 #: Members of a bucket that are compared with one another in one block.
 BLOCK = 256
 #: Subtracted from the threshold before a sketch estimate may rule a pair out.
-MARGIN = 0.25
+MARGIN = 0.07
 
 _U = np.uint64
 
@@ -74,31 +74,32 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarr
 
 def _features(hashes: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Fingerprints, band keys and odd sketches of the sets (none empty)."""
-    k = BANDS * ROWS
-    mult = C.constants(21, k)
+    mult = C.constants(21, SAMPLES).astype(np.uint32) | np.uint32(1)
     at = offs[:-1]
+    short = C.mix(hashes).astype(np.uint32)
     with np.errstate(over="ignore"):
         print_ = np.stack([np.add.reduceat(C.mix(hashes + _U(s)), at) for s in (1, 2)], 1)
         print_ += np.diff(offs).astype(_U)[:, None]
-        low = np.empty((len(at), k), np.uint32)
-        # The high halves of products with odd constants order the shingles.
-        for j in range(k):
-            low[:, j] = np.minimum.reduceat(((hashes * mult[j]) >> _U(32)).astype(np.uint32), at)
-        rows = low.reshape(len(at), BANDS, ROWS).astype(_U)
-        c = C.constants(22, ROWS)
-        bands = C.mix((rows * c).sum(2, dtype=_U))
-        # Sample j's value toggles a bit that depends on j and the value.
-        bit = C.mix(low.astype(_U) * _U(k) + np.arange(k, dtype=_U)) % _U(SKETCH)
+        low = np.empty((len(at), SAMPLES), np.uint32)
+        # A product with an odd constant reorders the 32-bit hashes.
+        for j in range(SAMPLES):
+            low[:, j] = np.minimum.reduceat(short * mult[j], at)
+        rows = low[:, :BANDS * ROWS].reshape(len(at), BANDS, ROWS).astype(_U)
+        bands = C.mix((C.mix(rows) * C.constants(22, ROWS)).sum(2, dtype=_U))
     odd = np.zeros((len(at), SKETCH), np.uint8)
-    for j in range(k):
-        odd[np.arange(len(at)), bit[:, j]] ^= 1
+    every = np.arange(len(at))
+    for j in range(SAMPLES):
+        # Sample j's value toggles a bit that depends on j and the value.
+        with np.errstate(over="ignore"):
+            bit = C.mix(low[:, j].astype(_U) * _U(SAMPLES) + _U(j)) % _U(SKETCH)
+        odd[every, bit] ^= 1
     return print_, bands, np.packbits(odd, axis=1).view(_U)
 
 
 def estimate(differing: np.ndarray) -> np.ndarray:
     """The similarity that ``differing`` unequal bits of two sketches tell."""
     z = np.minimum(differing / SKETCH, 0.4999)
-    return 1 + SKETCH / (4 * BANDS * ROWS) * np.log(1 - 2 * z)
+    return 1 + SKETCH / (4 * SAMPLES) * np.log(1 - 2 * z)
 
 
 def most_differing(threshold: float) -> int:
@@ -142,10 +143,17 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "_id long, shingles array<long>")
 
 
+def _of(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows whose ``_id`` is in the stored pairs."""
+    used = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
+    return rows.join(C.few(used), "_id", "left_semi")
+
+
 def _near(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     """The pairs whose sketches and set sizes don't rule the threshold out."""
-    side = lambda x: reps.select(F.col("_id").alias(x), F.col("n_shingles").alias(f"n{x}"),
-                                 F.col("odd").alias(f"o{x}"))
+    own = _of(reps, pairs)
+    side = lambda x: own.select(F.col("_id").alias(x), F.col("n_shingles").alias(f"n{x}"),
+                                F.col("odd").alias(f"o{x}"))
     differing = F.aggregate(F.zip_with("oa", "ob", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
                             F.lit(0), lambda s, x: s + x)
     return (pairs.join(side("a"), "a").join(side("b"), "b")
@@ -155,9 +163,8 @@ def _near(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs that have the similarity on their full sets."""
-    used = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    sets = C.stored(_sets(docs.join(used, "_id", "left_semi"), size), "sets")
+    """The stored pairs that have the similarity on their full sets."""
+    sets = C.stored(_sets(_of(docs, pairs), size).dropDuplicates(["_id"]), "sets")
     side = lambda x: sets.select(F.col("_id").alias(x), F.col("shingles").alias(f"s{x}"))
     both = F.size(F.array_intersect("sa", "sb"))
     return (pairs.join(side("a"), "a").join(side("b"), "b")
@@ -165,38 +172,42 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
             .select("a", "b"))
 
 
-def _block_pairs(members: DataFrame, threshold: float) -> DataFrame:
-    """Pairs across components in buckets, blocks of members against blocks."""
+def _block_pairs(cells: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
+    """Pairs across components in buckets, blocks of members against blocks.
+    A pair that shares several buckets is found in its first band alone."""
     most = most_differing(threshold)
-    sized = members.join(members.groupBy("band", "key")
-                         .agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")),
-                         ["band", "key"])
-    sized = sized.withColumn("own", F.pmod(F.xxhash64("_id", "band"), F.col("blocks")).cast("int"))
-    dealt = (sized.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("band", "key", F.least("own", "other").alias("i"),
-                     F.greatest("own", "other").alias("j"), "own", "_id", "label",
-                     "n_shingles", "odd"))
+    mixed = (cells.groupBy("band", "key")
+             .agg(F.min("label").alias("x"), F.max("label").alias("y"),
+                  F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+             .filter("x <> y").drop("x", "y"))
+    own = F.pmod(F.xxhash64("_id", "band"), F.col("blocks")).cast("int")
+    dealt = C.stored(
+        cells.join(mixed, ["band", "key"]).withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("band", "key", F.least("own", "other").alias("i"),
+                F.greatest("own", "other").alias("j"), "own", "_id", "label"), "blocks")
+    wide = reps.join(C.few(dealt.select("_id").distinct()), "_id", "left_semi")
 
     def run(keys: tuple, group: pa.Table) -> pa.Table:
-        i, j = keys[2].as_py(), keys[3].as_py()
-        own = group.column("own").to_numpy()
-        ids, label, n = (group.column(c).to_numpy() for c in ("_id", "label", "n_shingles"))
-        odd = np.ascontiguousarray(np.stack(group.column("odd").to_numpy())).view(_U)
+        band, i, j = keys[0].as_py(), keys[2].as_py(), keys[3].as_py()
+        own, ids, label, n = (group.column(c).to_numpy()
+                              for c in ("own", "_id", "label", "n_shingles"))
+        matrix = lambda c: np.stack(group.column(c).to_numpy()).view(_U)
+        odd, before = matrix("odd"), matrix("bands")[:, :band]
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        out_a, out_b = [], []
+        found: list[tuple[np.ndarray, np.ndarray]] = [(ids[:0], ids[:0])]
         for x in left:
             to = right if i != j else right[right > x]
             to = to[label[to] != label[x]]
             to = to[np.minimum(n[to], n[x]) >= threshold * np.maximum(n[to], n[x])]
             to = to[np.bitwise_count(odd[to] ^ odd[x]).sum(1, dtype=np.int64) <= most]
-            out_a.append(np.full(len(to), ids[x]))
-            out_b.append(ids[to])
-        a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
-        b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()),
-                         "b": pa.array(np.maximum(a, b), pa.int64())})
+            to = to[~(before[to] == before[x]).any(1)]
+            found.append((np.minimum(ids[to], ids[x]), np.maximum(ids[to], ids[x])))
+        a, b = (np.concatenate(side) for side in zip(*found))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return dealt.groupBy("band", "key", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    return (dealt.join(wide, "_id").groupBy("band", "key", "i", "j")
+            .applyInArrow(run, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -233,17 +244,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs = (now.join(chosen, ["band", "key"]).filter("label <> to.label")
                  .select(F.least("_id", "to._id").alias("a"), F.greatest("_id", "to._id").alias("b"))
                  .distinct())
-        found = _verified(C.stored(_near(pairs, reps, threshold), "pairs"), known, shingle, percent)
+        near = C.stored(_near(C.stored(pairs, "pairs"), reps, threshold), "pairs")
+        found = _verified(near, known, shingle, percent)
         links = C.stored(found if links is None else links.union(found), "links")
         labels = components(links)
-    labels = labels.withColumnRenamed("node", "_id")
-    now = cells.join(labels, "_id", "left").select(
+    now = cells.join(labels.withColumnRenamed("node", "_id"), "_id", "left").select(
         "_id", "band", "key", F.coalesce("component", "_id").alias("label"))
-    mixed = (now.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-             .filter("x <> y").select("band", "key"))
-    members = C.stored(now.join(mixed, ["band", "key"], "left_semi")
-                       .join(reps.select("_id", "n_shingles", "odd"), "_id"), "members")
-    rest = C.stored(_block_pairs(members, threshold), "pairs")
+    rest = C.stored(_block_pairs(now, reps, threshold), "pairs")
     links = links.union(_verified(rest, known, shingle, percent))
     # Equal sets, and rows of one id, are links as well.
     same = profile.join(classes, ["p1", "p2"]).select(F.col("_id").alias("a"),

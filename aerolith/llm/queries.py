@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.llm import common as C
+from aerolith.llm.decontam import contaminated
 from aerolith.llm.line_dedup import dedup_lines
+from aerolith.llm.mixing import mix, oracle_sql as mixing_sql
 from aerolith.llm.near_dup import near_duplicates
 from aerolith.llm.repetition import verdicts
+from aerolith.llm.secrets import listed, scan
 from aerolith.llm.wavelet import token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +92,24 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_wavelet_tokens")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(C.table(spark, sf_dir, "documents"), tokenizer_path()).drop("file")
+
+
+@_query("op9_raking_mix", mixing_sql())
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(C.table(spark, sf_dir, "documents")).select(
+        "doc_id", "source", "lang", "topic", "n_tokens", "probability", "kept")
+
+
+@_query("op1_markov_secrets")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(C.table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(kind).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(listed("assign", "access", "hex"), 256).alias("base_sha256"),
+        listed("assign", "access", "hex", "markov").alias("spans"), count("markov"))
+
+
+@_query("op4_cgk_decontamination")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
