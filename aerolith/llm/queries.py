@@ -12,6 +12,7 @@ from aerolith.llm.decontam import contaminated
 from aerolith.llm.line_dedup import dedup_lines
 from aerolith.llm.mixing import mix, oracle_sql as mixing_sql
 from aerolith.llm.near_dup import near_duplicates
+from aerolith.llm.passages import repeated_passages
 from aerolith.llm.repetition import verdicts
 from aerolith.llm.secrets import listed, scan
 from aerolith.llm.wavelet import token_files
@@ -113,3 +114,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op4_cgk_decontamination")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
+
+
+@_query("op8_compact_windows")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(C.table(spark, sf_dir, "documents"))
