@@ -7,8 +7,10 @@ their smallest hash: the compact window (l, c, r) stands for every run within
 l..r that holds c. Only the minima of sliding windows of ``least`` shingles can be
 such a place, so the tree is built over these alone (about 2 in ``least``).
 
-Windows of different documents with the same smallest hash share signatures. Each
-such group is linked to its smallest document, window against window at the same
+Windows of different documents with the same smallest hash share signatures. A
+common run of ``least`` shingles reaches at least half as far from that place on
+one of its sides, so windows are grouped by the shingle there as well, once for
+either side: a short line that many documents hold makes no group. Each group is linked to its smallest document, window against window at the same
 shingle, never pair by pair. Per pair of documents an interval join over the
 hashes finds the stretches that ``AGREE`` hashes or more cover on about one
 diagonal, and each stretch is verified on both documents' full shingles: it
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from aerolith.llm import common as C
 
 SHINGLE, MIN_WORDS = 5, 50
-HASHES, AGREE = 4, 2
+HASHES, AGREE = 3, 2
 #: Shingles by which a stretch's diagonals may differ.
 SLACK = 16
 #: Stretches cut out of one document row at a time.
@@ -104,8 +106,8 @@ def compact_windows(order: np.ndarray, wall: np.ndarray, least: int,
 
 
 def windows(docs: DataFrame, least: int) -> DataFrame:
-    """``(key, _id, hash, l, c, r)`` of all documents' compact windows, places
-    counted in the document's shingles."""
+    """``(key, _id, hash, l, c, r)`` of all documents' compact windows, a row for
+    each side on which a run may reach on; places are the document's shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, offs in C.chunks(batches, "_text"):
             hashes, inside, w = shingles(buf, offs)
@@ -116,10 +118,16 @@ def windows(docs: DataFrame, least: int) -> DataFrame:
                 # Equal shingles rank by place; the rank's low bits tell it.
                 order = (value & ~_PLACE) | place
                 l, c, r = compact_windows(order, ~inside, least)
+                fore, back = c + least // 2 <= r, c - least // 2 >= l
+                far = np.concatenate([c[fore] + least // 2, c[back] - least // 2])
+                side = np.repeat(C.constants(82, 2), [fore.sum(), back.sum()])
+                l, c, r = (np.concatenate([x[fore], x[back]]) for x in (l, c, r))
+                with np.errstate(over="ignore"):
+                    key = C.mix(value[c] + hashes[far] * side)
                 text = np.searchsorted(w, c, "right") - 1
                 ids = rows.column("_id").combine_chunks().take(pa.array(text))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(C.signed(value[c])), ids, pa.array(np.full(len(c), j), pa.int8()),
+                    [pa.array(C.signed(key)), ids, pa.array(np.full(len(c), j), pa.int8()),
                      *(pa.array(x - w[text], pa.int32()) for x in (l, c, r))],
                     names=["key", "_id", "hash", "l", "c", "r"])
 
