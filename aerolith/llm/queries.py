@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from aerolith.llm import common as C
 from aerolith.llm.decontam import contaminated
+from aerolith.llm.language_model import scores
 from aerolith.llm.line_dedup import dedup_lines
 from aerolith.llm.mixing import mix, oracle_sql as mixing_sql
 from aerolith.llm.near_dup import near_duplicates
@@ -119,3 +120,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_compact_windows")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(C.table(spark, sf_dir, "documents"))
+
+
+@_query("op5_gru_scores")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(C.table(spark, sf_dir, "documents"))
