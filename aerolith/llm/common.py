@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerolith.session import ensure_checkpoint_dir
 
@@ -55,6 +56,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def carried(docs: DataFrame, text_col: str) -> tuple[DataFrame, T.StructType]:
+    """``docs`` with its columns renamed c0, c1, ... and the text again as
+    ``_text``, for passing whole rows through a task whatever their columns are
+    called; and the schema of the renamed columns. ``restored`` undoes it."""
+    plain = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema)])
+    renamed = docs.toDF(*plain.names)
+    text = plain.names[docs.columns.index(text_col)]
+    return renamed.withColumn("_text", F.col(text)), plain
+
+
+def carry(rows: pa.Table, schema: T.StructType) -> list[pa.Array]:
+    return [rows.column(c).combine_chunks() for c in schema.names]
+
+
+def restored(df: DataFrame, docs: DataFrame) -> DataFrame:
+    return df.select(*(f"c{i}" for i in range(len(docs.columns)))).toDF(*docs.columns)
+
+
 #: Rows of a few numbers that may be broadcast.
 FEW_ROWS = 1_000_000
 
@@ -235,7 +254,3 @@ def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array
 def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
-
-def unsigned_hash(*columns) -> F.Column:
-    """A JVM-side 64-bit hash to deal or order rows by."""
-    return F.xxhash64(*columns)

@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerolith.llm import common as C
 
@@ -257,6 +258,45 @@ class Index:
         return [(t, k, *v) for (t, k), v in best.items()]
 
 
+def _blocks(items: DataFrame, item_id: str, item_text: str, max_edits: float, recall: float,
+            ) -> Iterator[tuple[Index, int]]:
+    """The indexes of the blocks of items, and how many there are. Items of one
+    id are in one block."""
+    items = items.select(F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("text"))
+    blocks = max(1, -(-items.count() // BLOCK_ITEMS))
+    for block in range(blocks):
+        rows = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).collect()
+        rows.sort(key=lambda r: (r.item is None, r.item or 0, r.text or ""))
+        buf, offs = C.text_bytes(pa.array([r.text for r in rows], pa.string()))
+        tokens, w = tokens_of(buf, offs)
+        parts = [tokens[a:b] for a, b in zip(w, w[1:])]
+        yield Index([r.item for r in rows], parts, max_edits,
+                    walks_needed(parts, max_edits, recall)), blocks
+
+
+def cleaned(docs: DataFrame, items: DataFrame, text_col: str = "text",
+            item_id: str = "item_id", item_text: str = "text", max_edits: float = MAX_EDITS,
+            recall: float = TARGET_RECALL) -> DataFrame:
+    """The rows of ``docs`` that contain no item, with all their columns."""
+    C.small_batches(docs.sparkSession)
+    for index, blocks in _blocks(items, item_id, item_text, max_edits, recall):
+        renamed, schema = C.carried(docs, text_col)
+        kept = C.restored(renamed.mapInArrow(_keeper(index, schema), schema), docs)
+        docs = C.stored(kept, "clean") if blocks > 1 else kept
+    return docs
+
+
+def _keeper(index: Index, schema: T.StructType):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, buf, offs in C.chunks(batches, "_text"):
+            tokens, w = tokens_of(buf, offs)
+            clean = np.ones(len(offs) - 1, bool)
+            clean[[m[0] for m in index.matches(tokens, w)]] = False
+            yield from rows.select(schema.names).filter(pa.array(clean)).to_batches()
+
+    return run
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                  text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
                  max_edits: float = MAX_EDITS, recall: float = TARGET_RECALL) -> DataFrame:
@@ -265,24 +305,12 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     where, in the document's words without punctuation)."""
     C.small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    items = items.select(F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("text"))
-    blocks = max(1, -(-items.count() // BLOCK_ITEMS))
     found = None
-    for block in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
-        rows.sort(key=lambda r: (r.item is None, r.item or 0, r.text or ""))
-        buf, offs = C.text_bytes(pa.array([r.text for r in rows], pa.string()))
-        tokens, w = tokens_of(buf, offs)
-        parts = [tokens[a:b] for a, b in zip(w, w[1:])]
-        index = Index([r.item for r in rows], parts, max_edits,
-                      walks_needed(parts, max_edits, recall))
+    for index, blocks in _blocks(items, item_id, item_text, max_edits, recall):
         part = _search(texts, index)
         if blocks > 1:
             part = C.stored(part, "matches")
         found = part if found is None else found.union(part)
-    best = F.min(F.struct("distance", "n_words", "first_word", "end_word")).alias("best")
-    if blocks > 1:  # one item id may stand in several blocks
-        found = found.groupBy("_id", "_row", "item").agg(best).select("_id", "item", "best.*")
     return found.select(F.col("_id").alias(id_col), F.col("item").alias(item_id), "distance",
                         "n_words", "first_word", "end_word")
 
@@ -300,8 +328,8 @@ def _search(texts: DataFrame, index: Index) -> DataFrame:
             cols = [list(c) for c in zip(*((t, i, *v) for (t, i), v in best.items()))] or [[]] * 6
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array(cols[0], pa.int64())),
-                 *(pa.array(c, pa.int64()) for c in (cols[0], *cols[1:]))],
-                names=["_id", "_row", "item", "distance", "n_words", "first_word", "end_word"])
+                 *(pa.array(c, pa.int64()) for c in cols[1:])],
+                names=["_id", "item", "distance", "n_words", "first_word", "end_word"])
 
-    return texts.mapInArrow(run, "_id long, _row long, item long, distance long, n_words long, "
+    return texts.mapInArrow(run, "_id long, item long, distance long, n_words long, "
                                  "first_word long, end_word long")

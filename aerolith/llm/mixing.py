@@ -20,8 +20,8 @@ given, it is the text's form (tabular, marked up, long or short prose).
 Defined results: a null or missing category is one of its own, named ``(none)``;
 null and empty texts have 0 tokens and the probability of their cell, or 0 in a
 cell without tokens; a null id draws by its text; repeated rows draw alike; an
-empty table gives an empty result. Result columns replace input columns of the
-same names, all other columns pass unchanged.
+empty table gives an empty result. ``mix``'s result columns replace input columns
+of the same names; all other columns, and all of ``sampled``, pass unchanged.
 """
 
 from __future__ import annotations
@@ -83,38 +83,51 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = SWEEP
     return w.drop(*(f"_t_{dim}" for dim in targets))
 
 
-def mix(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None,
-        id_col: str = "doc_id", text_col: str = "text", topic: Column | None = None,
-        sweeps: int = SWEEPS) -> DataFrame:
-    """The documents with ``topic``, ``n_tokens``, ``probability`` and ``kept``.
-
-    ``targets`` gives target tables for some of source, lang and topic."""
-    tokens = n_tokens(F.col(text_col))
+def _drawn(docs: DataFrame, targets: Mapping[str, DataFrame] | None, id_col: str, text_col: str,
+           topic: Column | None, sweeps: int) -> DataFrame:
+    """``docs`` with the columns ``__mix_*`` of the category, tokens and draw."""
     category = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(NONE)) \
         if c in docs.columns else F.lit(NONE)
-    keyed = (docs.withColumn("_tokens", tokens)
-             .withColumn("_topic", topic if topic is not None
-                         else form(F.col(text_col), F.col("_tokens")))
-             .withColumn("_topic", F.coalesce("_topic", F.lit(NONE)))
-             .withColumn("_source", category("source")).withColumn("_lang", category("lang")))
-    cells = C.stored(keyed.groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"),
-                                   F.col("_topic").alias("topic"))
-                     .agg(F.sum("_tokens").alias("tokens")), "cells")
-    goal = {dim: (targets or {}).get(dim, None) for dim in FLATTEN}
+    dims = {dim: f"__mix_{dim}" for dim in FLATTEN}
+    keyed = docs.withColumn("__mix_tokens", n_tokens(F.col(text_col)))
+    about = topic if topic is not None else form(F.col(text_col), F.col("__mix_tokens"))
+    keyed = (keyed.withColumn("__mix_topic", F.coalesce(about, F.lit(NONE)))
+             .withColumn("__mix_source", category("source"))
+             .withColumn("__mix_lang", category("lang")))
+    cells = C.stored(keyed.groupBy(*(F.col(c).alias(dim) for dim, c in dims.items()))
+                     .agg(F.sum("__mix_tokens").alias("tokens")), "cells")
+    goal = {dim: (targets or {}).get(dim) for dim in FLATTEN}
     goal = {dim: g if g is not None else default_targets(cells, dim, FLATTEN[dim])
             for dim, g in goal.items()}
     fit = rake(cells, goal, sweeps).withColumn(
-        "_rate", F.coalesce(F.try_divide("weight", "tokens"), F.lit(0.0)))
-    top = fit.agg(F.max("_rate").alias("_top"))
+        "rate", F.coalesce(F.try_divide("weight", "tokens"), F.lit(0.0)))
+    top = fit.agg(F.max("rate").alias("top"))
     fit = C.stored(fit.crossJoin(F.broadcast(top)).select(
-        F.col("source").alias("_source"), F.col("lang").alias("_lang"),
-        F.col("topic").alias("_topic"),
-        F.round(F.coalesce(F.try_divide("_rate", "_top"), F.lit(0.0)), 9).alias("_p")), "fit")
-    return (keyed.join(C.few(fit), ["_source", "_lang", "_topic"])
-            .withColumn("topic", F.col("_topic")).withColumn("n_tokens", F.col("_tokens"))
-            .withColumn("probability", F.col("_p"))
-            .withColumn("kept", draw(F.col(id_col), F.col(text_col)) < F.col("_p"))
-            .drop("_source", "_lang", "_topic", "_tokens", "_p"))
+        *(F.col(dim).alias(c) for dim, c in dims.items()),
+        F.round(F.coalesce(F.try_divide("rate", "top"), F.lit(0.0)), 9).alias("__mix_p")), "fit")
+    return keyed.join(C.few(fit), list(dims.values())).withColumn(
+        "__mix_kept", draw(F.col(id_col), F.col(text_col)) < F.col("__mix_p"))
+
+
+def mix(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None,
+        id_col: str = "doc_id", text_col: str = "text", topic: Column | None = None,
+        sweeps: int = SWEEPS) -> DataFrame:
+    """The documents with ``topic``, ``n_tokens``, ``probability`` and ``kept``.
+
+    ``targets`` gives target tables for some of source, lang and topic."""
+    out = _drawn(docs, targets, id_col, text_col, topic, sweeps)
+    for name, own in (("topic", "topic"), ("n_tokens", "tokens"), ("probability", "p"),
+                      ("kept", "kept")):
+        out = out.withColumn(name, F.col(f"__mix_{own}"))
+    return out.drop(*(c for c in out.columns if c.startswith("__mix_")))
+
+
+def sampled(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None,
+            id_col: str = "doc_id", text_col: str = "text", topic: Column | None = None,
+            sweeps: int = SWEEPS) -> DataFrame:
+    """The documents that are drawn, with all their columns as they were."""
+    return _drawn(docs, targets, id_col, text_col, topic, sweeps).filter("__mix_kept") \
+        .select(docs.columns)
 
 
 def oracle_sql(sweeps: int = SWEEPS) -> str:

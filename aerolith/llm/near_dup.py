@@ -260,3 +260,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return (profile.select("_id", "n_shingles").join(label, "_id", "left")
             .select(F.col("_id").alias(id_col), "n_shingles", component.alias("component_id"),
                     F.coalesce(F.col("_id") == component, F.lit(True)).alias("kept")))
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that are kept, one row of each id, with all their
+    columns; rows without an id stay."""
+    found = C.stored(near_duplicates(docs, id_col, text_col, shingle, percent), "components")
+    gone = found.filter("not kept").select(id_col).distinct()
+    left = docs.join(C.few(gone), id_col, "left_anti").select(docs.columns)
+    twice = found.filter("kept").groupBy(id_col).count() \
+        .filter((F.col("count") > 1) & F.col(id_col).isNotNull()).select(id_col)
+    if twice.isEmpty():
+        return left
+    again = left.join(twice, id_col, "left_semi").dropDuplicates([id_col])
+    return left.join(twice, id_col, "left_anti").select(docs.columns).union(
+        again.select(docs.columns))

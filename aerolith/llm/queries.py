@@ -17,6 +17,7 @@ from aerolith.llm.passages import repeated_passages
 from aerolith.llm.repetition import verdicts
 from aerolith.llm.secrets import listed, scan
 from aerolith.llm.wavelet import token_files
+from aerolith.llm.wrappers import main_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -125,3 +126,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op5_gru_scores")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores(C.table(spark, sf_dir, "documents"))
+
+
+@_query("op6_inferred_wrappers")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(C.table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -13,8 +13,8 @@ or if its longest repeat is over ``max_longest`` of its words.
 Texts: null or without words have no repeats. Very long texts are handled
 alone, in memory that grows with the one text. Repeated rows, ties and null ids
 are judged row by row and returned as they are; an empty table gives an empty
-result. Only the id and text columns are read, whatever other columns are
-called.
+result. ``verdicts`` reads the id and text columns alone, ``filtered`` passes all
+columns through, whatever they are called.
 """
 
 from __future__ import annotations
@@ -23,8 +23,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerolith.llm import common as C
 
@@ -35,8 +36,8 @@ MAX_COVERED = 0.5
 #: The longest repeat, as a part of the text's words.
 MAX_LONGEST = 0.3
 
-MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-            "n_repeat_words long, n_covered long, longest_repeat long")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+            "n_covered", "longest_repeat")
 
 
 
@@ -127,11 +128,10 @@ def _duplicate_lines(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.bincount(text[~first], minlength=len(offs) - 1)
 
 
-def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             min_repeat: int = MIN_REPEAT) -> DataFrame:
-    """One row per input row: the id and the counts of ``MEASURES``."""
+def _measured(docs: DataFrame, text_col: str, min_repeat: int) -> DataFrame:
+    """The renamed columns of ``docs`` and the counts of ``MEASURES``."""
     C.small_batches(docs.sparkSession)
-    kind = docs.schema[id_col].dataType.simpleString()
+    renamed, schema = C.carried(docs, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, offs in C.chunks(batches, "_text"):
@@ -142,28 +142,42 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             if at_word.any():
                 top[at_word] = np.maximum.reduceat(longest, w[:-1][at_word])
             yield pa.RecordBatch.from_arrays([
-                rows.column("_id").combine_chunks(), *(pa.array(x, pa.int64()) for x in (
+                *C.carry(rows, schema), *(pa.array(x, pa.int64()) for x in (
                     np.diff(w),
                     np.diff(C.before(C.word_bytes(buf) & C.code_points(buf))[offs]),
                     np.diff(C.before(_SYMBOLS[buf])[offs]),
                     _duplicate_lines(buf, offs),
                     covered(longest, w, 3, 3),
                     covered(longest, w, min_repeat),
-                    top))], names=["_id", *(x.split()[0] for x in MEASURES.split(", "))])
+                    top))], names=[*schema.names, *MEASURES])
 
-    return (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-            .mapInArrow(run, f"_id {kind}, {MEASURES}").withColumnRenamed("_id", id_col))
+    out = T.StructType([*schema.fields, *(T.StructField(n, T.LongType()) for n in MEASURES)])
+    return renamed.mapInArrow(run, out)
 
 
-def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             min_repeat: int = MIN_REPEAT, max_covered: float = MAX_COVERED,
-             max_longest: float = MAX_LONGEST) -> DataFrame:
-    """``measures`` with ``base_failed`` (under 50 words, or over half of the
-    words in repeated 3-word windows) and ``kept``: neither that nor a text
-    that its repeats of ``min_repeat`` words fill."""
-    m = measures(docs, id_col, text_col, min_repeat)
+def _verdict(min_repeat: int, max_covered: float, max_longest: float) -> tuple[Column, Column]:
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     repeats = ((F.col("n_covered") > F.lit(max_covered) * F.col("n_words"))
                | ((F.col("longest_repeat") >= min_repeat)
                   & (F.col("longest_repeat") > F.lit(max_longest) * F.col("n_words"))))
-    return m.withColumn("base_failed", base).withColumn("kept", ~base & ~repeats)
+    return base, ~base & ~repeats
+
+
+def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             min_repeat: int = MIN_REPEAT, max_covered: float = MAX_COVERED,
+             max_longest: float = MAX_LONGEST) -> DataFrame:
+    """One row per input row: the id, the counts of ``MEASURES``, ``base_failed``
+    (under 50 words, or over half of the words in repeated 3-word windows) and
+    ``kept``: neither that nor a text that its repeats of ``min_repeat`` words
+    fill."""
+    base, kept = _verdict(min_repeat, max_covered, max_longest)
+    return (_measured(docs.select(id_col, text_col), text_col, min_repeat)
+            .withColumn("base_failed", base).withColumn("kept", kept)
+            .drop("c1").withColumnRenamed("c0", id_col))
+
+
+def filtered(docs: DataFrame, text_col: str = "text", min_repeat: int = MIN_REPEAT,
+             max_covered: float = MAX_COVERED, max_longest: float = MAX_LONGEST) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns."""
+    _, kept = _verdict(min_repeat, max_covered, max_longest)
+    return C.restored(_measured(docs, text_col, min_repeat).filter(kept), docs)
