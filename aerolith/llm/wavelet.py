@@ -25,6 +25,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from aerolith.llm import common as C
 from aerolith.llm.line_dedup import write_file
 
 END_ID = 2
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 19
 #: Bits of a block of a plane.
 BLOCK = 1 << 15
 MAGIC = b"WMX1"
@@ -50,9 +51,10 @@ def matrix_bytes(tokens: np.ndarray, doc_ids: np.ndarray, known: np.ndarray,
     levels = max(1, int(tokens.max()).bit_length()) if n else 1
     pack = zstandard.ZstdCompressor(level=1)
     zeros, ranks, sizes, blocks = [], [], [], []
-    x = tokens.astype(np.uint32)
+    kind = np.uint16 if levels <= 16 else np.uint32
+    x = tokens.astype(kind)
     for level in range(levels):
-        bit = (x >> np.uint32(levels - 1 - level)) & np.uint32(1) == 1
+        bit = x & kind(1 << (levels - 1 - level)) != 0
         zeros.append(n - int(np.count_nonzero(bit)))
         before = 0
         for at in range(0, n, BLOCK):
@@ -163,15 +165,16 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All tokens, from the last plane up."""
-        x = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.levels <= 16 else np.uint32
+        x = np.zeros(self.n, kind)
         for level in range(self.levels - 1, -1, -1):
             bit = np.concatenate([self._bits(level, b) for b in range(self._per)]) == 1 \
                 if self._per else np.zeros(0, bool)
-            z, y = int(self.zeros[level]), np.empty(self.n, np.uint32)
+            z, y = int(self.zeros[level]), np.empty(self.n, kind)
             y[~bit] = x[:z]
-            y[bit] = x[z:] | np.uint32(1 << (self.levels - 1 - level))
+            y[bit] = x[z:] | kind(1 << (self.levels - 1 - level))
             x = y
-        return x
+        return x.astype(np.uint32)
 
 
 _MARK = np.zeros(256, bool)
@@ -183,6 +186,20 @@ _LETTER[65:91] = _LETTER[97:123] = True
 _SIGN = "\x01"
 
 
+class _Grown:
+    """An array that is added to."""
+
+    def __init__(self, kind: type):
+        self.data, self.size = np.zeros(1024, kind), 0
+
+    def add(self, x: np.ndarray) -> None:
+        if self.size + len(x) > len(self.data):
+            self.data = np.concatenate(
+                [self.data, np.zeros(max(len(self.data), len(x)), self.data.dtype)])
+        self.data[self.size:self.size + len(x)] = x
+        self.size += len(x)
+
+
 class WordEncoder:
     """Ids of texts by their words; a word is encoded once while it is kept."""
 
@@ -194,9 +211,10 @@ class WordEncoder:
 
     def _clear(self) -> None:
         self.known: dict[int, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.starts, self.lens = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.uint32)
+        self.starts, self.lens, self.pool = _Grown(np.int64), _Grown(np.int64), _Grown(np.uint32)
+        self.starts.add(np.zeros(1, np.int64))  # slot 0: the end id
+        self.lens.add(np.ones(1, np.int64))
+        self.pool.add(np.full(1, END_ID, np.uint32))
 
     @staticmethod
     def pieces(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -250,24 +268,36 @@ class WordEncoder:
             words = [buf[a:b].tobytes().decode() for a, b in zip(s[at], e[at])]
             found = self._encoded(words)
             lens = np.fromiter(map(len, found), np.int64, len(found))
-            base = len(self.pool) + np.cumsum(lens) - lens
-            for j, k in enumerate(new):
-                self.known[keys[k]] = len(self.lens) + j
-            self.starts = np.concatenate([self.starts, base])
-            self.lens = np.concatenate([self.lens, lens])
-            self.pool = np.concatenate(
-                [self.pool, np.fromiter((i for x in found for i in x), np.uint32)])
-        slot = np.fromiter((self.known[h] for h in keys), np.int64, len(keys))[back]
-        lens, starts = self.lens[slot], self.starts[slot]
+            base = self.pool.size + np.cumsum(lens) - lens
+            self.known.update(zip([keys[k] for k in new],
+                                  range(self.lens.size, self.lens.size + len(new))))
+            self.starts.add(base)
+            self.lens.add(lens)
+            self.pool.add(np.fromiter(chain.from_iterable(found), np.uint32, int(lens.sum())))
+        slot = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))[back]
+        # A piece of its own, the end id, closes each text.
+        ends = w[1:] + np.arange(len(w) - 1)
+        whole = np.zeros(len(slot) + len(ends), np.int64)
+        word = np.ones(len(whole), bool)
+        word[ends] = False
+        whole[word] = slot
+        lens, starts = self.lens.data[whole], self.starts.data[whole]
         upto = np.zeros(len(lens) + 1, np.int64)
         np.cumsum(lens, out=upto[1:])
-        n_docs = len(offs) - 1
-        doc_offs = upto[w] + np.arange(n_docs + 1)
-        out = np.full(int(doc_offs[-1]), END_ID, np.uint32)
-        place = np.arange(int(upto[-1])) + np.repeat(C.owner(w), lens)
-        source = np.arange(int(upto[-1])) + np.repeat(starts - upto[:-1], lens)
-        out[place] = self.pool[source]
-        return out, doc_offs
+        source = np.arange(int(upto[-1]), dtype=np.int32)
+        source += np.repeat((starts - upto[:-1]).astype(np.int32), lens)
+        return self.pool.data[source], upto[np.append(0, ends + 1)]
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder_of(tokenizer: str) -> WordEncoder:
+    """The worker's encoder: its known words outlast a task."""
+    if tokenizer not in _ENCODERS:
+        from tokenizers import Tokenizer
+        _ENCODERS[tokenizer] = WordEncoder(Tokenizer.from_file(tokenizer))
+    return _ENCODERS[tokenizer]
 
 
 def write_shards(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_id",
@@ -277,8 +307,7 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_
     C.small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-        encoder = WordEncoder(Tokenizer.from_file(tokenizer))
+        encoder = encoder_of(tokenizer)
         part, seq = TaskContext.get().partitionId(), 0
         held: list[tuple] = []
         size = 0
