@@ -9,8 +9,8 @@ such a place, so the tree is built over these alone (about 2 in ``least``).
 
 Windows of different documents with the same smallest hash share signatures. A
 common run of ``least`` shingles reaches at least half as far from that place on
-one of its sides, so windows are grouped by the shingle there as well, once for
-either side: a short line that many documents hold makes no group. Each group is linked to its smallest document, window against window at the same
+one of its sides, so windows are grouped by the shingles there and half-way as
+well, once for either side: a short line that many documents hold makes no group. Each group is linked to its smallest document, window against window at the same
 shingle, never pair by pair. Per pair of documents an interval join over the
 hashes finds the stretches that ``AGREE`` hashes or more cover on about one
 diagonal, and each stretch is verified on both documents' full shingles: it
@@ -118,12 +118,14 @@ def windows(docs: DataFrame, least: int) -> DataFrame:
                 # Equal shingles rank by place; the rank's low bits tell it.
                 order = (value & ~_PLACE) | place
                 l, c, r = compact_windows(order, ~inside, least)
-                fore, back = c + least // 2 <= r, c - least // 2 >= l
-                far = np.concatenate([c[fore] + least // 2, c[back] - least // 2])
+                half = least // 2
+                fore, back = c + half <= r, c - half >= l
+                far = np.concatenate([c[fore] + half, c[back] - half])
+                near = np.concatenate([c[fore] + half // 2, c[back] - half // 2])
                 side = np.repeat(C.constants(82, 2), [fore.sum(), back.sum()])
                 l, c, r = (np.concatenate([x[fore], x[back]]) for x in (l, c, r))
                 with np.errstate(over="ignore"):
-                    key = C.mix(value[c] + hashes[far] * side)
+                    key = C.mix(value[c] + (hashes[far] + C.mix(hashes[near])) * side)
                 text = np.searchsorted(w, c, "right") - 1
                 ids = rows.column("_id").combine_chunks().take(pa.array(text))
                 yield pa.RecordBatch.from_arrays(
@@ -277,10 +279,16 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         if new.isEmpty():
             break
         found = new if found is None else found.union(new)
-        # Members that the pass verified are in their classes; the rest go on.
+        # Members that the pass verified are in their classes, and so are other
+        # windows of the passages found; the rest go on.
         pairs = new.select("_id", "to").distinct()
         done = (left.join(least_doc.select("key", F.col("to._id").alias("to")), "key")
                 .join(pairs, ["_id", "to"], "left_anti").filter("_id <> to").drop("to"))
+        spans = new.filter("own").groupBy("_id").agg(F.collect_set(F.struct("first", "end"))
+                                                     .alias("spans"))
+        done = done.join(spans, "_id", "left").filter(~F.coalesce(F.exists(
+            "spans", lambda s: (s["first"] <= F.col("c")) & (F.col("c") < s["end"])),
+            F.lit(False))).drop("spans")
         rest = done.groupBy("key").agg(F.min("_id").alias("a"), F.max("_id").alias("b")) \
             .filter("a < b").select("key")
         left = C.stored(done.join(rest, "key", "left_semi"), "shared")
