@@ -74,6 +74,12 @@ def restored(df: DataFrame, docs: DataFrame) -> DataFrame:
     return df.select(*(f"c{i}" for i in range(len(docs.columns)))).toDF(*docs.columns)
 
 
+def hash_sample(df: DataFrame, rows: int, total: int) -> DataFrame:
+    """About ``rows`` of the ``total`` rows, by a hash of the whole row; repeated
+    rows count once. No task gathers more than its share."""
+    return df.filter(F.pmod(F.xxhash64(*df.columns), F.lit(max(total, rows))) < rows).distinct()
+
+
 #: Rows of a few numbers that may be broadcast.
 FEW_ROWS = 1_000_000
 

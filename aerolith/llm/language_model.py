@@ -8,8 +8,8 @@ word's probability is its tail id's by the network times its share of the tail
 id's counts (one added, for words never seen). So the score is a probability of
 the whole text, in the closed form the base has.
 
-The network is trained on a bounded sample (``TRAIN_DOCS`` documents of those
-counted, by id hash): every round, workers take truncated-backpropagation passes
+The network is trained on a bounded sample (about ``TRAIN_DOCS`` documents of
+those counted, by hash): every round, workers take truncated-backpropagation passes
 over their share from the same weights, and the weights are averaged (a fixed
 small size). Documents are scored whole, the state carried across windows.
 
@@ -117,6 +117,23 @@ class Lexicon:
         return (np.where(hit, self.rank[at], -1)[back], np.where(hit, self.n[at], 0)[back])
 
 
+def _frequent(counts: DataFrame) -> pa.Table:
+    """At most ``MID`` words, the most frequent first: all from some count on,
+    which follows from how many words have which counts."""
+    size = F.when(F.col("n") < 64, F.col("n")) \
+        .otherwise(64 + F.floor(8 * F.log2(F.col("n") / 64))).cast("int")
+    by_size = {r.size: r.words for r in counts.groupBy(size.alias("size"))
+               .agg(F.count("*").alias("words")).collect()}
+    least, held = 1 << 30, 0
+    for s in sorted(by_size, reverse=True):
+        held += by_size[s]
+        if held > MID:
+            break
+        least = s
+    return counts.filter(size >= least).toArrow() \
+        .sort_by([("n", "descending"), ("word", "ascending")])
+
+
 def word_ids(rank: np.ndarray, tail: np.ndarray) -> np.ndarray:
     return np.where((rank >= 0) & (rank < HEAD), rank, HEAD + tail)
 
@@ -137,12 +154,10 @@ def _pass(params: gru.Params, lexicon: Lexicon, rate: float, turn: int):
     return run
 
 
-def _train(texts: DataFrame, lexicon: Lexicon) -> gru.Params:
-    sample = C.stored(texts.filter("not held_out").orderBy(F.xxhash64("_id"), "_id")
-                      .limit(TRAIN_DOCS).select("_text")
-                      .repartition(WORKERS, F.xxhash64("_text")), "sample")
-    # One file a worker, read as one partition each.
-    sample = sample.select("_text", F.pmod(F.xxhash64("_text"), F.lit(WORKERS)).alias("worker"))
+def _train(texts: DataFrame, lexicon: Lexicon, total: int) -> gru.Params:
+    own = texts.filter("not held_out").select("_id", F.coalesce("_text", F.lit("")).alias("_text"))
+    sample = C.stored(C.hash_sample(own, TRAIN_DOCS, total), "sample").select(
+        "_text", F.pmod(F.xxhash64("_text", "_id"), F.lit(WORKERS)).alias("worker"))
     params = gru.start()
     for turn in range(ROUNDS):
         pass_over = _pass(params, lexicon, RATE * (1 - turn / ROUNDS), turn)
@@ -171,7 +186,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     ends = texts.filter("not held_out").count()
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n, v = (total.n or 0) + ends, total.v + (ends > 0)
-    top = counts.orderBy(F.desc("n"), "word").limit(MID).toArrow()
+    top = _frequent(counts)
     lexicon = Lexicon(top.column("word").to_numpy().view(_U), top.column("n").to_numpy())
     # What the words outside the network's vocabulary hold, by tail number.
     sums = {r.tail: (r.n, r.v) for r in counts.groupBy("tail").agg(
@@ -181,7 +196,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         room[t] += tn + tv
     head = top.slice(0, HEAD)
     np.subtract.at(room, head.column("tail").to_numpy(), head.column("n").to_numpy() + 1)
-    params = _train(texts, lexicon)
+    params = _train(texts, lexicon, ends)
     unit = math.log10(n + v + 1)
     end_base = math.log10(ends + 1) - unit
     log_room = np.log10(room)

@@ -5,8 +5,8 @@ transition counts with add-half smoothing over the alphabet of keys. A run of at
 least ``MIN_CHARS`` key characters is a secret if the log-likelihood ratio of the
 two models is over ``MIN_RATIO`` a character. Labelled samples train them: random
 are the strings that the fixed patterns find and generated digests, ordinary are
-the other words of a bounded sample of documents (``TRAIN_DOCS``, those of the
-smallest id hashes). Scanning covers every document and its whole text.
+the other words of a bounded sample of documents (about ``TRAIN_DOCS``,
+by hash). Scanning covers every document and its whole text.
 
 Built from SQL expressions alone: matches come from ``regexp_extract_all``, and
 their places from the lengths of the pieces that ``split`` leaves between them.
@@ -27,6 +27,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerolith.llm import common as C
+
 # The patterns.
 ASSIGN = (r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?"
           r"([A-Za-z0-9+/_.=-]+)")
@@ -141,7 +143,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(F.col(id_col).alias("_id"),
                         F.coalesce(text_col, F.lit("")).alias("_text"))
     if model is None:
-        sample = texts.orderBy(F.xxhash64("_id"), "_id").limit(TRAIN_DOCS).select("_text")
+        sample = C.hash_sample(texts, TRAIN_DOCS, texts.count()).select("_text")
         model = train(labelled_samples(sample, "_text"))
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in model)), ",").cast("array<double>")
     pattern = RUN % MIN_CHARS
