@@ -44,7 +44,7 @@ SAMPLES, SKETCH = 512, 4096
 #: Rounds of linking buckets to one member before blocks are compared.
 ROUNDS = 2
 #: Members of a bucket that are compared with one another in one block.
-BLOCK = 256
+BLOCK = 1024
 #: Subtracted from the threshold before a sketch estimate may rule a pair out.
 MARGIN = 0.07
 
