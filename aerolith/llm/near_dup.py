@@ -145,8 +145,9 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
 
 def _of(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """The rows whose ``_id`` is in the stored pairs."""
-    used = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    return rows.join(C.few(used), "_id", "left_semi")
+    ends = [pairs.select(F.col(c).alias("_id")).distinct() for c in ("a", "b")]
+    return rows.join(C.few(C.stored(ends[0].union(ends[1]).distinct(), "ends")),
+                     "_id", "left_semi")
 
 
 def _near(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
