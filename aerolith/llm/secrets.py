@@ -101,14 +101,17 @@ def labelled_samples(docs: DataFrame, text: str) -> DataFrame:
 
 def train(samples: DataFrame) -> list[float]:
     """The models' log-likelihood ratio of each transition, by
-    ``previous * size + next``. Counts are summed by Spark; at most two
+    ``previous * size + next``. A transition that a single string holds doesn't
+    count, so that a secret among the ordinary words can't vouch for itself. Counts are summed by Spark; at most two
     numbers a transition reach the driver."""
     place = lambda s, i: F.expr(f"instr('{ALPHABET}', substring({s}, {i}, 1))")
     steps = samples.filter(F.length("part") > 0).select(
         "random", "part", F.explode(F.sequence(F.lit(1), F.length("part"))).alias("i"))
-    counts = (steps.select("random", F.when(F.col("i") == 1, 0).otherwise(
+    counts = (steps.select("random", "part", F.when(F.col("i") == 1, 0).otherwise(
         place("part", "i - 1")).alias("a"), place("part", "i").alias("b"))
-        .filter("b > 0").groupBy("random", "a", "b").count().collect())
+        .filter("b > 0").groupBy("random", "a", "b")
+        .agg(F.count("*").alias("count"), F.count_distinct("part").alias("strings"))
+        .filter("strings > 1").collect())
     table = {True: {}, False: {}}
     rows = {True: {}, False: {}}
     for r in counts:

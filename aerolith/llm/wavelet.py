@@ -140,9 +140,10 @@ class WaveletMatrix:
 
     def count(self, token: int, lo: int = 0, hi: int | None = None) -> int:
         """Occurrences of a token in places ``lo`` to ``hi``."""
-        if token >> self.levels or not self.n:
+        hi = self.n if hi is None else min(hi, self.n)
+        if token >> self.levels or lo >= hi:
             return 0
-        a, b, _ = self._narrow(token, lo, self.n if hi is None else hi)
+        a, b, _ = self._narrow(token, lo, hi)
         return b - a
 
     def select(self, token: int, k: int) -> int:
