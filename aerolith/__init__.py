@@ -7,7 +7,6 @@ Layers:
   operators/  reusable DataFrame -> DataFrame building blocks
   plans/      the air-quality refresh (silver, gold, features, export, models)
               and the same operators mapped onto the driver tables
-  streaming/  incremental landing -> silver ingestion
 """
 
 __all__ = ["session"]

@@ -1,7 +1,6 @@
 """Command-line entry point, for ``spark-submit`` or ``python -m aerolith``.
 
   refresh  landed JSON -> bronze -> silver -> gold -> features -> CSV exports
-  ingest   incremental landing -> silver (Structured Streaming, availableNow)
   train    boosted-tree run and seasonal ablation on the written feature table
 
 The session comes from the cluster configuration (``getOrCreate``); the
@@ -31,10 +30,6 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--json-lines", action="store_true", help="landed air files are JSON Lines")
     r.add_argument("--no-export", action="store_true")
     r.add_argument("--fail-on-check", action="store_true")
-    i = sub.add_parser("ingest")
-    i.add_argument("--air", required=True)
-    i.add_argument("--weather", required=True)
-    i.add_argument("--silver", required=True)
     t = sub.add_parser("train")
     t.add_argument("--lake", required=True)
     t.add_argument("--station", default="Barcelona (Eixample)")
@@ -52,9 +47,6 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps(res.counts))
         res.checks.show(truncate=False)
         res.coverage.show()
-    elif a.cmd == "ingest":
-        from .streaming.ingest import ingest_available
-        print(json.dumps(ingest_available(spark, a.air, a.weather, a.silver)))
     else:
         from pyspark.sql import functions as F
 

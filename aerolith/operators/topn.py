@@ -1,19 +1,15 @@
 """Exact top-N by a lexicographic key without gathering rows in one task.
 
-``orderBy(...).limit(n)`` plans as a per-task top-n followed by a merge in
-one task, which receives ``n`` rows from every task: fine for a top-50
-report, not for a 50,000-row source cut over hundreds of thousands of scan
-tasks. Here the cut-off key is found level by level instead: for the first
-key column, rows are counted per value (a small table: days, stations,
-pollutants); a running total over those counts in the requested order gives
-the value where the quota is reached and how many rows come strictly before
-it; the next key column refines the rows equal to that value with the quota
-left, and so on. Every cut-off is a scalar subquery, and the result is a
-plain filter on the input, so no task holds more than its own rows.
-
-Rows that tie on every key column at the cut-off are all kept (the cut among
-exact duplicates is arbitrary anyway); with a unique key the result has
-exactly ``n`` rows, or every row when there are fewer.
+``orderBy(...).limit(n)`` plans as a per-task top-n and a merge in one task, which
+receives ``n`` rows from every task. Here two scans do for any number of keys and
+any ``n``: rows are counted per value of the first key (a small table, such as
+days), which gives the value where the quota is reached; the rows up to that value
+are range-partitioned by all keys, sorted in their partitions and numbered by
+partition sizes (``dense_ids``), and the first ``n`` numbers stay.
+
+NULLs come last in either direction. All other orderable columns break ties, so the
+result depends on the rows alone, and exactly ``n`` rows stay (or all, when there
+are fewer), exact duplicates included.
 """
 
 from __future__ import annotations
@@ -22,33 +18,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .dense_id import dense_ids
+
+
+def _ordered(col: str, descending: bool) -> Column:
+    c = F.col(col)
+    return c.desc_nulls_last() if descending else c.asc_nulls_last()
 
 
 def top_n(df: DataFrame, n: int, keys: Sequence[tuple[str, bool]]) -> DataFrame:
-    """Rows of ``df`` among the first ``n`` by ``keys`` (``(column,
-    descending)`` pairs, NULLs ordered last)."""
+    """The first ``n`` rows of ``df`` by ``keys`` (``(column, descending)``)."""
     if not keys:
         raise ValueError("top_n needs at least one key column")
-    total = df.agg(F.count(F.lit(1))).scalar()
-    prefix: Column = F.lit(True)           # rows equal to the cut-off on earlier keys
-    quota: Column = F.lit(n).cast("long")  # rows still to take inside the prefix
-    keep: Column = F.lit(False)
-    for col, descending in keys:
-        c = F.col(col)
-        order = c.desc_nulls_last() if descending else c.asc_nulls_last()
-        counts = df.where(prefix).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-        running = counts.withColumn(
-            "_cum", F.sum("_n").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
-        reached = running.where(F.col("_cum") >= quota)
-        # The cut-off value is the first one (in key order) where the running
-        # total reaches the quota; rows before it are all kept.
-        first = reached.orderBy(order).limit(1)
-        cut = first.select(col).scalar()
-        before = first.select(F.col("_cum") - F.col("_n")).scalar()
-        # NULLs sort last, so every non-NULL value precedes a NULL cut-off.
-        strictly_before = ((c > cut) if descending else (c < cut)) | (c.isNotNull() & cut.isNull())
-        keep = keep | (prefix & strictly_before)
-        prefix = prefix & c.eqNullSafe(cut)
-        quota = quota - before
-    keep = keep | prefix
-    return df.where((total <= F.lit(n)) | keep)
+    col, descending = keys[0]
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    running = counts.withColumn("_cum", F.sum("_n").over(
+        Window.orderBy(_ordered(col, descending)).rowsBetween(Window.unboundedPreceding, 0)))
+    # The value where the running total reaches n; fewer rows than n have none.
+    reached = running.where(F.col("_cum") >= F.lit(n)).orderBy("_cum").limit(1)
+    cut, full = reached.select(col).scalar(), reached.select("_cum").scalar().isNotNull()
+    c = F.col(col)
+    inside = (c >= cut) if descending else (c <= cut)
+    near = df.where(~full | cut.isNull() | (c.isNotNull() & inside))
+    named = {k for k, _ in keys}
+    rest = [f.name for f in df.schema
+            if f.name not in named and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    order = [_ordered(k, d) for k, d in keys] + [_ordered(k, False) for k in rest]
+    numbered = dense_ids(near.repartitionByRange(*order).sortWithinPartitions(*order), "_place")
+    return numbered.where(F.col("_place") <= F.lit(n)).drop("_place")

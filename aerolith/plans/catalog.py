@@ -25,14 +25,13 @@ from ..operators.joins import coverage, last_days, scalars_row, with_total
 from ..operators.metrics import regression_metrics
 from ..operators.reshape import in_range, pivot_hours, unpivot, unpivot_hours, valid_measurements
 from ..operators.windows import holdout
-from ..session import ensure_checkpoint_dir
 from ..sources.bronze import select_newest, weather_payload_rows
-from ..sources.tables import read_table, reuse_per_input
+from ..sources.tables import read_table
 from . import driver_map as DM
 from . import features as FE
 from . import landed_map as LM
 from . import sqltext as S
-from .silver import measure_checks, silver_weather
+from .silver import measure_checks, silver_weather, weather_checks
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -53,7 +52,6 @@ r2 = lambda c: scaled_round(c, 2)
 SC = DM.SCALE
 
 
-@reuse_per_input
 def _daily_base(spark: SparkSession, base: str) -> DataFrame:
     fact = DM.measures(spark, base).select("magnitud", "data", "id_temps", "hora", "valor")
     joined = (DM.calendar_attributes(fact)
@@ -61,14 +59,9 @@ def _daily_base(spark: SparkSession, base: str) -> DataFrame:
     return FE.daily_base(joined, ["magnitud"], DM.MIN_HOURS, scale=SC)
 
 
-@reuse_per_input
 def _features(spark: SparkSession, base: str) -> DataFrame:
-    """The daily feature table, materialised once per session in the shared
-    checkpoint folder (the refresh writes it as ``gold_features_ml``): the
-    diagnostics, hold-out, metrics and model queries read it instead of
-    re-deriving it from the raw events. It holds one row per series and day."""
-    ensure_checkpoint_dir(spark)
-    return FE.ml_features(_daily_base(spark, base), ["magnitud"]).checkpoint(eager=True)
+    """The daily feature table: one row per series and day."""
+    return FE.ml_features(_daily_base(spark, base), ["magnitud"])
 
 
 def _target_fact(spark: SparkSession, base: str) -> DataFrame:
@@ -466,6 +459,24 @@ def quality_report(spark, base):
     return silver.unionByName(ctx_checks).unionByName(dup).drop("ok")
 
 
+@query("weather_checks_report", S.with_(S.MEASURES, S.CONTEXT) + """
+SELECT 'silver_meteo' AS taula, 'temperatura_impossible' AS "check",
+       COUNT(*) FILTER (WHERE temperatura < -20 OR temperatura > 50) AS violacions FROM ctx
+UNION ALL SELECT 'silver_meteo', 'humitat_fora_rang', COUNT(*) FILTER (WHERE humitat < 0 OR humitat > 100) FROM ctx
+UNION ALL SELECT 'silver_meteo', 'hora_fora_rang', COUNT(*) FILTER (WHERE hora < 1 OR hora > 24) FROM ctx""")
+def weather_checks_report(spark, base):
+    """The weather checks with their real limits, on the hourly stand-in."""
+    return weather_checks(DM.context(spark, base)).drop("ok")
+
+
+@query("pollutant_list", S.with_(S.MEASURES) + """
+SELECT magnitud, contaminant, unitats, COUNT(*) OVER () AS total
+FROM (SELECT DISTINCT magnitud, contaminant, unitats FROM m) ORDER BY contaminant""")
+def pollutant_list(spark, base):
+    dim = DM.pollutants(spark, base).select("magnitud", "contaminant", "unitats")
+    return with_total(dim).orderBy("contaminant")
+
+
 @query("table_total", "SELECT n_name, n_regionkey, COUNT(*) OVER () AS total FROM nation")
 def table_total(spark, base):
     return with_total(read_table(spark, base, "nation", ["n_name", "n_regionkey"]))
@@ -515,6 +526,20 @@ def distribution_q(spark, base):
     return distribution(_features(spark, base), "no2_mitja", ["magnitud"], digits=1, scale=SC)
 
 
+@query("last_30_days", S.with_(S.MEASURES, S.CAL, S.CONTEXT, S.FEATURES) + """
+SELECT magnitud, """ + S.rnd("MIN(no2_mitja)", 1) + """ AS minim,
+       """ + S.rnd(S.xmean("no2_mitja"), 1) + """ AS mitjana,
+       """ + S.rnd("MAX(no2_mitja)", 1) + """ AS maxim, COUNT(*) AS n
+FROM feat WHERE data >= (SELECT CAST(MAX(data) - INTERVAL 30 DAY AS DATE) FROM feat)
+GROUP BY magnitud""")
+def last_30_days(spark, base):
+    """The last 30 days of all series, bounded by a scalar subquery."""
+    recent = last_days(_features(spark, base), "data", 30)
+    return recent.groupBy("magnitud").agg(
+        r1(F.min("no2_mitja")).alias("minim"), r1(exact_mean("no2_mitja", SC)).alias("mitjana"),
+        r1(F.max("no2_mitja")).alias("maxim"), F.count(F.lit(1)).alias("n"))
+
+
 @query("last_n_days", S.with_(S.MEASURES, S.CAL, S.CONTEXT, S.FEATURES) + """
 SELECT f.magnitud, """ + S.rnd("MIN(no2_mitja)", 1) + """ AS minim,
        """ + S.rnd(S.xmean("no2_mitja"), 1) + """ AS mitjana,
@@ -752,4 +777,4 @@ def newest_cut(spark, base):
     filter keeps the rows; no task gathers rows from the others."""
     o = read_table(spark, base, "orders", ["o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice"])
     return select_newest(o, "F", 2000, order_col="o_orderdate", tie_break=["o_orderkey"],
-                         where_col="o_orderstatus", gather_limit=0)
+                         where_col="o_orderstatus")

@@ -21,8 +21,7 @@ from ..functions.dates import date_key
 from ..functions.json_fields import json_text
 from ..functions.numeric import clean_double, exact_mean, exact_sum, scaled_round
 from ..operators.reshape import in_range
-from ..session import ensure_checkpoint_dir
-from ..sources.tables import read_table, reuse_per_input
+from ..sources.tables import read_table
 from . import gold
 
 # Fixed values of the mapping.
@@ -34,7 +33,6 @@ TARGET_POLLUTANT = "CLICK"     # the pollutant the analytic queries keep
 MIN_HOURS = 18
 
 
-@reuse_per_input
 def measures(spark: SparkSession, base: str) -> DataFrame:
     """Silver measurements from events: valid readings only (0 <= v < 1000,
     keys present)."""
@@ -53,27 +51,16 @@ def measures(spark: SparkSession, base: str) -> DataFrame:
               ))
 
 
-@reuse_per_input
 def fact(spark: SparkSession, base: str) -> DataFrame:
     return gold.fact_measures(measures(spark, base), with_id=False)
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    """A gold dimension materialised once per session in the shared
-    checkpoint folder (the refresh writes its dimensions as tables); they
-    are bounded by pollutants, days or hours."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-@reuse_per_input
 def pollutants(spark: SparkSession, base: str) -> DataFrame:
-    return _stored(gold.dim_pollutant(measures(spark, base)))
+    return gold.dim_pollutant(measures(spark, base))
 
 
-@reuse_per_input
 def calendar(spark: SparkSession, base: str) -> DataFrame:
-    return _stored(gold.dim_calendar(measures(spark, base)))
+    return gold.dim_calendar(measures(spark, base))
 
 
 def calendar_attributes(fact: DataFrame) -> DataFrame:
@@ -90,7 +77,6 @@ def calendar_attributes(fact: DataFrame) -> DataFrame:
     })
 
 
-@reuse_per_input
 def context_hours(spark: SparkSession, base: str) -> DataFrame:
     """The silver-weather stand-in: one row per (data, hora) with views."""
     ev = (read_table(spark, base, "events", ["ts", "event_type", "value", "props"])
@@ -107,8 +93,7 @@ def context_hours(spark: SparkSession, base: str) -> DataFrame:
                    scaled_round(exact_sum("value", SCALE), 2).alias("pressio")))
 
 
-@reuse_per_input
 def context(spark: SparkSession, base: str) -> DataFrame:
     """``dim_meteo`` stand-in keyed by (id_temps, hora)."""
-    return _stored(gold.dim_weather(context_hours(spark, base), RAIN_THRESHOLD, CALM_BELOW,
-                                    MODERATE_BELOW))
+    return gold.dim_weather(context_hours(spark, base), RAIN_THRESHOLD, CALM_BELOW,
+                            MODERATE_BELOW)

@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import fixed_point
 from ..operators.reshape import pivot_hours
-from ..session import ensure_checkpoint_dir
-from ..sources.tables import read_table, reuse_per_input
+from ..sources.tables import read_table
 from . import driver_map as DM
 from . import features as FE
 from . import gold
@@ -32,7 +31,6 @@ def _u(m: int) -> F.Column:
     return F.col("user_id") % F.lit(m)
 
 
-@reuse_per_input
 def landed_records(spark: SparkSession, base: str) -> DataFrame:
     ev = read_table(spark, base, "events", ["ts", "user_id", "event_type", "value"])
     # One shuffle: the per-hour fixed-point sums are pivoted directly (partial
@@ -74,13 +72,9 @@ def landed_records(spark: SparkSession, base: str) -> DataFrame:
         *[F.col(f"h{h:02d}") for h in range(1, 25)])
 
 
-@reuse_per_input
 def silver(spark: SparkSession, base: str) -> DataFrame:
-    """Silver from the landed records, materialised once per session in the
-    shared checkpoint folder, as the refresh writes its silver table: the
-    fact and the three dimensions then read it instead of re-deriving it."""
-    ensure_checkpoint_dir(spark)
-    return silver_measures(landed_records(spark, base)).checkpoint(eager=True)
+    """Silver from the landed records; only the columns a query uses are made."""
+    return silver_measures(landed_records(spark, base))
 
 
 def dim_station(spark: SparkSession, base: str) -> DataFrame:
@@ -108,6 +102,4 @@ def features(spark: SparkSession, base: str) -> DataFrame:
 
 
 def fact_with_ids(spark: SparkSession, base: str) -> DataFrame:
-    # silver is already materialised (fixed partitions), so ids are stable
-    # without a second checkpoint.
-    return gold.fact_measures(silver(spark, base), with_id=True, checkpoint=False)
+    return gold.fact_measures(silver(spark, base), with_id=True)

@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from ..functions.numeric import scaled_round
 from ..operators.metrics import regression_metrics
 from ..operators.windows import holdout
+from ..session import ensure_checkpoint_dir
 from .catalog import _features, query
 
 # The 17 model features, in the original order, and the
@@ -69,17 +70,29 @@ def split(df: DataFrame, series: Sequence[str], n_test: int = TEST_DAYS,
 
 def gbt_forecast(train: DataFrame, test: DataFrame, params: Mapping | None = None,
                  label: str = "no2_mitja"):
-    """Fit on ``train``; return (model, predictions on ``test``). Rows with a
-    missing feature are skipped (Spark trees take no NULLs)."""
+    """Fit on ``train``; return (model, predictions on ``test``). Test rows with
+    a missing feature stay, with a NULL forecast."""
     p = dict(GBT_PARAMS, **(params or {}))
+    train = train.where(_complete([*FEATURES, label]))
     if train.isEmpty():
         return None, _no_forecast(test, label)
     pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="skip"),
+        VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep"),
         GBTRegressor(featuresCol="features", labelCol=label, predictionCol="yhat", **p),
     ])
     model = pipe.fit(train)
-    return model, model.transform(test).withColumnRenamed(label, "y").drop("features")
+    yhat = F.when(_complete(FEATURES), F.col("yhat"))
+    return model, model.transform(test).withColumn("yhat", yhat) \
+        .withColumnRenamed(label, "y").drop("features")
+
+
+def _complete(columns: Sequence[str]) -> F.Column:
+    """Whether none of the columns is NULL: a model is fitted on such rows, and
+    gives a NULL forecast (not a missing row) for the others."""
+    out = F.lit(True)
+    for c in columns:
+        out = out & F.col(c).isNotNull()
+    return out
 
 
 def feature_importance(spark: SparkSession, model, top: int | None = 8) -> DataFrame:
@@ -126,12 +139,12 @@ def seasonal_forecast(train: DataFrame, test: DataFrame, use_weather: bool = Tru
     """Additive seasonal regression; returns (model, predictions with an 80 %
     band)."""
     inputs = SEASONAL_COLS + (WEATHER_REGRESSORS if use_weather else [])
-    tr = seasonal_terms(train, origin).where(F.col(label).isNotNull())
+    tr = seasonal_terms(train, origin).where(_complete([*inputs, label]))
     te = seasonal_terms(test, origin)
     if tr.isEmpty():
         return None, _no_forecast(test, label, band=True)
     pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=inputs, outputCol="raw", handleInvalid="skip"),
+        VectorAssembler(inputCols=inputs, outputCol="raw", handleInvalid="keep"),
         StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
         LinearRegression(featuresCol="features", labelCol=label, predictionCol="yhat",
                          regParam=reg, elasticNetParam=0.0),
@@ -139,6 +152,7 @@ def seasonal_forecast(train: DataFrame, test: DataFrame, use_weather: bool = Tru
     model = pipe.fit(tr)
     sigma = model.stages[-1].summary.rootMeanSquaredError
     pred = (model.transform(te)
+            .withColumn("yhat", F.when(_complete(inputs), F.col("yhat")))
             .withColumn("yhat_lower", F.col("yhat") - F.lit(Z80 * sigma))
             .withColumn("yhat_upper", F.col("yhat") + F.lit(Z80 * sigma))
             .withColumnRenamed(label, "y")
@@ -296,28 +310,15 @@ SERIES = ["magnitud"]
 
 
 def _model_input(spark, base):
-    """The daily feature table, already materialised once per session: every
-    ML pass scans the small stored table instead of recomputing it from the
-    raw events."""
-    return _features(spark, base)
-
-
-_FITTED: dict[tuple[str, str], object] = {}
+    """The daily feature table (a row per series and day), written to the
+    shared checkpoint folder: every pass of a fit reads it."""
+    ensure_checkpoint_dir(spark)
+    return _features(spark, base).checkpoint(eager=True)
 
 
 def _driver_gbt(spark, base):
-    """Fit the boosted trees once per session and input; the forecast and
-    the importance queries share the fitted model (300 rounds of small jobs
-    dominate their cost)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(base))
     train, test = split(model_frame(_model_input(spark, base)), SERIES, DRIVER_TEST_DAYS)
-    if key not in _FITTED:
-        _FITTED[key], _ = gbt_forecast(train, test)
-    model = _FITTED[key]
-    if model is None:
-        return None, _no_forecast(test, "no2_mitja")
-    pred = model.transform(test).withColumnRenamed("no2_mitja", "y").drop("features")
-    return model, pred
+    return gbt_forecast(train, test)
 
 
 @query("gbt_forecast")

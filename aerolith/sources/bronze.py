@@ -24,40 +24,33 @@ def read_air_json(spark: SparkSession, path: str | Sequence[str],
     A landed pull is one JSON array (bounded by the source's row limit); a
     multi-line JSON file is read whole by one task, so parallelism comes from
     the number of files. For large landings, land JSON Lines (one record per
-    line) and pass ``multi_line=False``: those files are split across tasks."""
+    line) and pass ``multi_line=False``: those files are split across tasks.
+    A file that is cut or is no JSON stops the job."""
     return (spark.read.schema(AIR_BRONZE)
             .option("multiLine", multi_line)
             .option("primitivesAsString", True)
-            .option("mode", "PERMISSIVE")
+            .option("mode", "FAILFAST")
             .json(path))
 
 
-GATHER_LIMIT = 10_000   # above this many rows, top-N avoids the single-task merge
-
-
 def select_newest(df: DataFrame, municipi: str | None = "Barcelona", limit: int | None = 50000,
                   order_col: str = "data",
                   tie_break: Sequence[str] = ("codi_eoi", "magnitud"),
-                  where_col: str = "municipi", gather_limit: int = GATHER_LIMIT) -> DataFrame:
+                  where_col: str = "municipi") -> DataFrame:
     """The source selection: one municipality, newest ``limit`` records
-    (``data DESC``), ties broken by key so the cut is deterministic.
-
-    A small limit plans as a per-task top-N and a merge in one task
-    (``TakeOrderedAndProject``); a large one (the default 50,000) uses the
-    distributed cut-off of ``operators.topn``, so no task receives ``limit``
-    rows from every other task."""
+    (``data DESC``), exactly that many, ties broken by key and then by all other
+    columns, NULLs last. One plan for every limit (``operators.topn``)."""
     out = df if municipi is None else df.where(F.col(where_col) == municipi)
     if limit is None:
         return out
-    if limit > gather_limit:
-        return top_n(out, limit, [(order_col, True)] + [(c, False) for c in tie_break])
-    return out.orderBy(F.col(order_col).desc(), *[F.col(c).asc() for c in tie_break]).limit(limit)
+    return top_n(out, limit, [(order_col, True)] + [(c, False) for c in tie_break])
 
 
 def read_weather_json(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Hourly weather payloads -> one row per hour: ``time`` plus the six
     variables. Arrays of one payload are zipped positionally (no shuffle)."""
-    raw = spark.read.schema(WEATHER_BRONZE).option("multiLine", True).json(path)
+    raw = (spark.read.schema(WEATHER_BRONZE).option("multiLine", True)
+           .option("mode", "FAILFAST").json(path))
     return weather_payload_rows(raw)
 
 

@@ -21,35 +21,6 @@ def table_path(base: str, name: str) -> str:
 
 def read_table(spark: SparkSession, base: str, name: str,
                columns: Sequence[str] | None = None) -> DataFrame:
-    """A read-only input table (its relation is reused within the session)."""
-    df = _relation(spark, table_path(base, name))
+    """A table as its files are now."""
+    df = spark.read.parquet(table_path(base, name))
     return df.select(*columns) if columns else df
-
-
-def _relation(spark: SparkSession, path: str) -> DataFrame:
-    return per_session(spark, ("relation", path), lambda: spark.read.parquet(path))
-
-
-_REUSE: dict[tuple, DataFrame] = {}
-
-
-def per_session(spark: SparkSession, key: tuple, build):
-    """Reuse a DataFrame (an immutable logical plan) built from read-only
-    input tables within one session, so each query does not re-list the
-    files and re-run Python-side plan construction. Only for inputs that do
-    not change during the session (the driver tables); layers the refresh
-    rewrites are always read afresh."""
-    k = (spark.sparkContext.applicationId, id(spark), *key)
-    if k not in _REUSE:
-        _REUSE[k] = build()
-    return _REUSE[k]
-
-
-def reuse_per_input(fn):
-    """Decorator for ``fn(spark, base)`` builders over read-only tables."""
-    def wrapped(spark: SparkSession, base: str) -> DataFrame:
-        return per_session(spark, (fn.__module__, fn.__name__, os.path.abspath(base)),
-                           lambda: fn(spark, base))
-    wrapped.__name__ = fn.__name__
-    wrapped.__doc__ = fn.__doc__
-    return wrapped
