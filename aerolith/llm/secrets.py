@@ -1,7 +1,8 @@
 """Secret scans by two character Markov models.
 
 One model learns random strings, the other ordinary identifiers: first-order
-transition counts with add-half smoothing over the alphabet of keys. A run of at
+transition counts, smoothed by each character's own frequency, over the alphabet
+of keys. A run of at
 least ``MIN_CHARS`` key characters is a secret if the log-likelihood ratio of the
 two models is over ``MIN_RATIO`` a character. Labelled samples train them: random
 are the strings that the fixed patterns find and generated digests, ordinary are
@@ -41,7 +42,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 MIN_CHARS = 20
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}+"
 #: Natural logarithms a character by which random must be likelier.
-MIN_RATIO = 0.2
+MIN_RATIO = 0.8
 #: Bounds of the labelled samples: documents, generated strings.
 TRAIN_DOCS, TRAIN_RANDOM = 2000, 4096
 #: Shortest words of the ordinary sample.
@@ -114,13 +115,18 @@ def train(samples: DataFrame) -> list[float]:
         .filter("strings > 1").collect())
     table = {True: {}, False: {}}
     rows = {True: {}, False: {}}
+    single = {True: {}, False: {}}
     for r in counts:
         table[r.random][r.a, r.b] = r["count"]
-        rows[r.random][r.a] = rows[r.random].get(r.a, 0) + r["count"]
+        for sums, key in ((rows, r.a), (single, r.b)):
+            sums[r.random][key] = sums[r.random].get(key, 0) + r["count"]
+    size = len(ALPHABET)
+    total = {kind: sum(single[kind].values()) for kind in single}
 
     def log_p(kind: bool, a: int, b: int) -> float:
-        return math.log((table[kind].get((a, b), 0) + 0.5)
-                        / (rows[kind].get(a, 0) + 0.5 * len(ALPHABET)))
+        alone = (single[kind].get(b, 0) + 0.5) / (total[kind] + 0.5 * size)
+        return math.log((table[kind].get((a, b), 0) + 0.5 * size * alone)
+                        / (rows[kind].get(a, 0) + 0.5 * size))
 
     return [log_p(True, a, b) - log_p(False, a, b) if b else 0.0
             for a in range(_SIZE) for b in range(_SIZE)]
