@@ -42,7 +42,7 @@ from aerolith.llm.graph import components
 BANDS, ROWS = 32, 4
 SAMPLES, SKETCH = 512, 4096
 #: Rounds of linking buckets to one member before blocks are compared.
-ROUNDS = 2
+ROUNDS = 4
 #: Members of a bucket that are compared with one another in one block.
 BLOCK = 1024
 #: Subtracted from the threshold before a sketch estimate may rule a pair out.
