@@ -136,6 +136,16 @@ def windows(docs: DataFrame, least: int) -> DataFrame:
     return docs.mapInArrow(run, "key long, _id long, hash byte, l int, c int, r int")
 
 
+def _shared(rows: DataFrame) -> DataFrame:
+    """The rows of stored windows whose key windows of another document have too.
+
+    The keys are written before they are joined, so the join has a stage of its
+    own and its skewed partitions can be split between tasks."""
+    keys = rows.groupBy("key").agg(F.min("_id").alias("a"), F.max("_id").alias("b")) \
+        .filter("a < b").select("key")
+    return C.stored(rows.join(C.stored(keys, "keys"), "key", "left_semi"), "shared")
+
+
 def _stretches(links: DataFrame, least: int) -> DataFrame:
     """Interval join per pair of documents: where enough hashes agree."""
     def run(keys: tuple, group: pa.Table) -> pa.Table:
@@ -258,12 +268,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")) \
         .filter("_id is not null")
     every = C.stored(windows(texts, least), "windows")
-    shared = every.groupBy("key").agg(F.min("_id").alias("a"), F.max("_id").alias("b")) \
-        .filter("a < b").select("key")
-    left = C.stored(every.join(shared, "key", "left_semi"), "shared")
+    left = _shared(every)
     found = None
     while True:
-        least_doc = left.groupBy("key").agg(F.min(F.struct("_id", "c", "l", "r")).alias("to"))
+        least_doc = C.stored(left.groupBy("key").agg(F.min(F.struct("_id", "c", "l", "r"))
+                                                     .alias("to")), "least")
         before = F.least(F.col("c") - F.col("l"), F.col("to.c") - F.col("to.l"))
         after = F.least(F.col("r") - F.col("c"), F.col("to.r") - F.col("to.c"))
         links = (left.join(least_doc, "key").filter("_id <> to._id")
@@ -289,9 +298,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         done = done.join(spans, "_id", "left").filter(~F.coalesce(F.exists(
             "spans", lambda s: (s["first"] <= F.col("c")) & (F.col("c") < s["end"])),
             F.lit(False))).drop("spans")
-        rest = done.groupBy("key").agg(F.min("_id").alias("a"), F.max("_id").alias("b")) \
-            .filter("a < b").select("key")
-        left = C.stored(done.join(rest, "key", "left_semi"), "shared")
+        left = _shared(C.stored(done, "left"))
         if left.isEmpty():
             break
     if found is None:
