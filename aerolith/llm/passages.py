@@ -9,8 +9,12 @@ such a place, so the tree is built over these alone (about 2 in ``least``).
 
 Windows of different documents with the same smallest hash share signatures. A
 common run of ``least`` shingles reaches at least half as far from that place on
-one of its sides, so windows are grouped by the shingles there and half-way as
-well, once for either side: a short line that many documents hold makes no group. Each group is linked to its smallest document, window against window at the same
+one of its sides, so windows are grouped by the shingle there or the one half-way
+as well, for either side: a short line that many documents hold makes no group. One
+of these four groups is enough; a changed word, which alters ``SHINGLE`` shingles
+in a row, cannot be in both of a side's. So two passages of 50 words that differ in
+one word are candidates unless no hash has its smallest value in what they share, at
+most 1 in 100 of them (1 / 5 for each hash: 10 of 51 shingles are in one alone). Each group is linked to its smallest document, window against window at the same
 shingle, never pair by pair. Per pair of documents an interval join over the
 hashes finds the stretches that ``AGREE`` hashes or more cover on about one
 diagonal, and each stretch is verified on both documents' full shingles: it
@@ -37,7 +41,7 @@ from pyspark.sql import functions as F
 from aerolith.llm import common as C
 
 SHINGLE, MIN_WORDS = 5, 50
-HASHES, AGREE = 3, 2
+HASHES, AGREE = 3, 1
 #: Shingles by which a stretch's diagonals may differ.
 SLACK = 16
 #: Stretches cut out of one document row at a time.
@@ -106,8 +110,8 @@ def compact_windows(order: np.ndarray, wall: np.ndarray, least: int,
 
 
 def windows(docs: DataFrame, least: int) -> DataFrame:
-    """``(key, _id, hash, l, c, r)`` of all documents' compact windows, a row for
-    each side on which a run may reach on; places are the document's shingles."""
+    """``(key, _id, hash, l, c, r)`` of all documents' compact windows, two rows
+    for each side on which a run may reach on; places are the document's shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, offs in C.chunks(batches, "_text"):
             hashes, inside, w = shingles(buf, offs)
@@ -120,12 +124,12 @@ def windows(docs: DataFrame, least: int) -> DataFrame:
                 l, c, r = compact_windows(order, ~inside, least)
                 half = least // 2
                 fore, back = c + half <= r, c - half >= l
-                far = np.concatenate([c[fore] + half, c[back] - half])
-                near = np.concatenate([c[fore] + half // 2, c[back] - half // 2])
-                side = np.repeat(C.constants(82, 2), [fore.sum(), back.sum()])
-                l, c, r = (np.concatenate([x[fore], x[back]]) for x in (l, c, r))
+                reach = (half, -half, half // 2, -(half // 2))
+                far = np.concatenate([c[x] + d for x, d in zip((fore, back) * 2, reach)])
+                side = np.repeat(C.constants(82, 4), [fore.sum(), back.sum()] * 2)
+                l, c, r = (np.concatenate([x[fore], x[back]] * 2) for x in (l, c, r))
                 with np.errstate(over="ignore"):
-                    key = C.mix(value[c] + (hashes[far] + C.mix(hashes[near])) * side)
+                    key = C.mix(value[c] + hashes[far] * side)
                 text = np.searchsorted(w, c, "right") - 1
                 ids = rows.column("_id").combine_chunks().take(pa.array(text))
                 yield pa.RecordBatch.from_arrays(

@@ -260,6 +260,24 @@ def test_passages(docs, rows, none):
     assert passages.repeated_passages(none).count() == 0
 
 
+def test_passages_with_a_changed_word(spark):
+    rng = random.Random(11)
+    text = lambda n: ["w%d" % rng.randrange(10**9) for _ in range(n)]
+    rows, want = [], set()
+    for k in range(0, 900, 2):
+        words = text((50, 60, 70)[k % 3])
+        other = list(words)
+        other[len(words) // 2] = "changed"
+        a, b = (text(20) + w + text(20) for w in (words, other))
+        x, y = (passages.shingles(*C.text_bytes(pa.array([" ".join(w)])))[0] for w in (a, b))
+        if passages.alike(x, y, 46) and passages.alike(y, x, 46):
+            want |= {k, k + 1}
+        rows += [(k, " ".join(a)), (k + 1, " ".join(b))]
+    found = {r.doc_id for r in passages.repeated_passages(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(want) == 900 and found <= want and len(found) >= 0.98 * len(want)
+
+
 def test_language_model_gradient():
     p = {k: v.astype(np.float64) for k, v in gru.start().items()}
     rng = np.random.default_rng(0)
