@@ -19,8 +19,15 @@ shingle, never pair by pair. Per pair of documents an interval join over the
 hashes finds the stretches that ``AGREE`` hashes or more cover on about one
 diagonal, and each stretch is verified on both documents' full shingles: it
 counts where of every ``least`` shingles in a row 8/9 are in the other stretch
-(for runs of one length, a similarity of 0.8). Members that their group's smallest
-document doesn't verify form the groups of a next pass, until a pass finds none.
+(for runs of one length, a similarity of 0.8).
+
+The smallest document need not be the one that a member shares a passage with. The
+groups in which it did not verify some member are split further, all their windows
+at once: every run of ``least`` shingles in them is grouped by all its words, one
+document stands for each such group, and these runs are grouped by all their words
+but one (first by all but ``MASK`` in a row, which drops most). All runs of such a
+group are alike, so linking them to its smallest document leaves nothing for
+another pass, whatever other documents hold.
 
 Defined results: null and empty texts and texts under ``min_words`` words have no
 passages; rows without an id take no part; rows of equal id are one document (a
@@ -44,6 +51,10 @@ SHINGLE, MIN_WORDS = 5, 50
 HASHES, AGREE = 3, 1
 #: Shingles by which a stretch's diagonals may differ.
 SLACK = 16
+#: Words in a row that are left out of a run's first keys.
+MASK = 10
+#: Runs whose words are handled at once.
+RUNS = 20_000
 #: Stretches cut out of one document row at a time.
 REQUESTS = 500
 
@@ -261,52 +272,123 @@ def _verified(docs: DataFrame, stretches: DataFrame, least: int) -> DataFrame:
     return both.mapInArrow(run, "_id long, to long, own boolean, first int, end int")
 
 
+def _runs(docs: DataFrame, wanted: DataFrame, width: int, single: bool) -> DataFrame:
+    """Keys of the runs of ``width`` words that begin at the shingles ``a..b`` of
+    the rows ``(_id, a, b, part)``: ``(key, _id, s, parts)`` by all words, with the
+    keys that leave out ``MASK`` words each; or, ``single``, ``(key, _id, s)`` that
+    leave out one word each of the part."""
+    cuts = wanted.groupBy("_id").agg(F.collect_set(F.struct("a", "b", "part")).alias("cuts"))
+    texts = docs.join(C.few(wanted.select("_id").distinct()), "_id", "left_semi") \
+        .dropDuplicates(["_id"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scale = C.constants(83, width)
+        salt = C.constants(84, width)
+        for rows, buf, offs in C.chunks(batches, "_text"):
+            tokens, w = C.word_hashes(buf, offs, lower=True)
+            column = rows.column("cuts").combine_chunks()
+            row = np.repeat(np.arange(len(column)), column.value_lengths().to_numpy())
+            a, b, part = (column.flatten().field(c).to_numpy().astype(np.int64)
+                          for c in ("a", "b", "part"))
+            n = b - a + 1
+            at = np.repeat(a + w[row] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            row, part = np.repeat(row, n), np.repeat(part, n)
+            ok = at + width <= w[row + 1]
+            at, row, part = np.unique(np.stack([at[ok], row[ok], part[ok]]), axis=1)
+            for k in range(0, len(at), RUNS):
+                i, x, p = at[k:k + RUNS], row[k:k + RUNS], part[k:k + RUNS]
+                with np.errstate(over="ignore"):
+                    word = tokens[i[:, None] + np.arange(width)] * scale
+                    whole = word.sum(1, dtype=_U)
+                    if single:
+                        out = p[:, None] * MASK + np.arange(MASK)
+                        there = out < width
+                        out = np.minimum(out, width - 1)
+                        key = C.mix(whole[:, None] - np.take_along_axis(word, out, 1)
+                                    + salt[out])[there]
+                        more = np.repeat(np.arange(len(i)), there.sum(1))
+                        i, x = i[more], x[more]
+                    else:
+                        key = C.mix(whole)
+                        block = np.add.reduceat(word, np.arange(0, width, MASK), axis=1)
+                        parts = C.mix(whole[:, None] - block + salt[:block.shape[1]])
+                cols = [pa.array(C.signed(key)), rows.column("_id").combine_chunks().take(pa.array(x)),
+                        pa.array(i - w[x], pa.int32())]
+                if not single:
+                    cols.append(C.lists(C.signed(parts.ravel()),
+                                        np.full(len(i), parts.shape[1]), pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    cols, names=["key", "_id", "s", "parts"][:len(cols)])
+
+    return cuts.join(texts, "_id").select("_id", "_text", "cuts").mapInArrow(
+        run, "key long, _id long, s int" + ("" if single else ", parts array<long>"))
+
+
+def _to_least(runs: DataFrame, least_run: DataFrame, least: int) -> DataFrame:
+    """Links of runs to the smallest document's of the same key."""
+    return runs.join(least_run, "key").filter("_id <> to._id").select(
+        "_id", F.col("to._id").alias("to"), F.lit(0).cast("byte").alias("hash"),
+        (F.col("s") - F.col("to.s")).alias("off"), F.col("s").alias("lo"),
+        (F.col("s") + F.lit(least - 1)).alias("hi"))
+
+
+def _split(docs: DataFrame, windows: DataFrame, least: int, min_words: int) -> DataFrame:
+    """Links of the runs in the windows ``(_id, l, c, r)`` that are alike but for
+    one word at most, each to the smallest document with such a run."""
+    starts = windows.select(
+        "_id", F.greatest("l", F.col("c") - (least - 1)).alias("a"),
+        F.least("c", F.col("r") - (least - 1)).alias("b"), F.lit(0).alias("part")).filter("a <= b")
+    runs = C.stored(_runs(docs, C.stored(starts.distinct(), "starts"), min_words, False), "runs")
+    first = C.stored(runs.groupBy("key").agg(F.min(F.struct("_id", "s", "parts")).alias("to")),
+                     "first")
+    equal = _to_least(runs.drop("parts"), first, least)
+    masked = C.stored(first.select("to._id", "to.s", F.posexplode("to.parts").alias("part", "key")),
+                      "masked")
+    near = C.stored(_runs(docs, _shared(masked).select("_id", F.col("s").alias("a"),
+                                                       F.col("s").alias("b"), "part").distinct(),
+                          min_words, True), "near")
+    return equal.union(_to_least(near, near.groupBy("key").agg(
+        F.min(F.struct("_id", "s")).alias("to")), least)).distinct()
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       min_words: int = MIN_WORDS) -> DataFrame:
     """One row per passage of a document that another document repeats: the id,
     ``first_word`` and ``end_word``, and ``class_id``, the smallest document it
     was verified with (the document itself, where others were verified with it)."""
-    spark = docs.sparkSession
-    C.small_batches(spark)
+    C.small_batches(docs.sparkSession)
     least = min_words - SHINGLE + 1
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")) \
         .filter("_id is not null")
     every = C.stored(windows(texts, least), "windows")
     left = _shared(every)
-    found = None
-    while True:
-        least_doc = C.stored(left.groupBy("key").agg(F.min(F.struct("_id", "c", "l", "r"))
-                                                     .alias("to")), "least")
-        before = F.least(F.col("c") - F.col("l"), F.col("to.c") - F.col("to.l"))
-        after = F.least(F.col("r") - F.col("c"), F.col("to.r") - F.col("to.c"))
-        links = (left.join(least_doc, "key").filter("_id <> to._id")
-                 .select("_id", F.col("to._id").alias("to"), "hash",
-                         (F.col("c") - F.col("to.c")).alias("off"),
-                         (F.col("c") - before).alias("lo"), (F.col("c") + after).alias("hi"))
-                 .filter(F.col("hi") - F.col("lo") + 1 >= least).distinct())
+    least_doc = C.stored(left.groupBy("key").agg(F.min(F.struct("_id", "c", "l", "r"))
+                                                 .alias("to")), "least")
+    member = left.join(least_doc, "key").filter("_id <> to._id")
+    before = F.least(F.col("c") - F.col("l"), F.col("to.c") - F.col("to.l"))
+    after = F.least(F.col("r") - F.col("c"), F.col("to.r") - F.col("to.c"))
+    links = (member.select("_id", F.col("to._id").alias("to"), "hash",
+                           (F.col("c") - F.col("to.c")).alias("off"),
+                           (F.col("c") - before).alias("lo"), (F.col("c") + after).alias("hi"))
+             .filter(F.col("hi") - F.col("lo") + 1 >= least).distinct())
+
+    def verified(links: DataFrame) -> DataFrame:
         stretches = C.stored(_stretches(links, least)
                              .withColumn("pid", F.monotonically_increasing_id()), "stretches")
-        if stretches.isEmpty():
-            break
-        new = C.stored(_verified(texts, stretches, least), "verified")
-        if new.isEmpty():
-            break
-        found = new if found is None else found.union(new)
-        # Members that the pass verified are in their classes, and so are other
-        # windows of the passages found; the rest go on.
-        pairs = new.select("_id", "to").distinct()
-        done = (left.join(least_doc.select("key", F.col("to._id").alias("to")), "key")
-                .join(pairs, ["_id", "to"], "left_anti").filter("_id <> to").drop("to"))
-        spans = new.filter("own").groupBy("_id").agg(F.collect_set(F.struct("first", "end"))
-                                                     .alias("spans"))
-        done = done.join(spans, "_id", "left").filter(~F.coalesce(F.exists(
+        return C.stored(_verified(texts, stretches, least), "verified")
+
+    found = verified(links)
+    # A group is done if its smallest document verified every member there.
+    spans = found.filter("own").groupBy("_id", "to").agg(
+        F.collect_set(F.struct("first", "end")).alias("spans"))
+    open_keys = member.select("key", "_id", F.col("to._id").alias("to"), "c") \
+        .join(spans, ["_id", "to"], "left").filter(~F.coalesce(F.exists(
             "spans", lambda s: (s["first"] <= F.col("c")) & (F.col("c") < s["end"])),
-            F.lit(False))).drop("spans")
-        left = _shared(C.stored(done, "left"))
-        if left.isEmpty():
-            break
-    if found is None:
-        return spark.createDataFrame([], f"{id_col} long, first_word int, end_word int, class_id long")
+            F.lit(False))).select("key").distinct()
+    rest = C.stored(left.join(C.stored(open_keys, "open"), "key", "left_semi")
+                    .select("_id", "l", "c", "r").distinct(), "left")
+    if not rest.isEmpty():
+        found = found.union(verified(_split(texts, rest, least, min_words)))
     doc = F.when(F.col("own"), F.col("_id")).otherwise(F.col("to"))
     return found.select(doc.alias(id_col), F.col("first").alias("first_word"),
                         (F.col("end") + SHINGLE - 1).alias("end_word"),

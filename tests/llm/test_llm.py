@@ -278,6 +278,23 @@ def test_passages_with_a_changed_word(spark):
     assert len(want) == 900 and found <= want and len(found) >= 0.98 * len(want)
 
 
+def test_passages_hidden_by_a_smaller_document(spark):
+    rng = random.Random(12)
+    text = lambda n: ["w%d" % rng.randrange(10**9) for _ in range(n)]
+    line = text(44)
+    rows = [(k, " ".join(text(20) + line + text(20))) for k in range(200)]
+    for k in range(1000, 1100, 2):
+        passage = text(3) + line + text(3)
+        other = list(passage)
+        if k >= 1060:  # a word of what the line doesn't hold differs
+            other[1 if k % 4 else 48] = "changed"
+        rows += [(k, " ".join(text(20) + passage + text(20))),
+                 (k + 1, " ".join(text(25) + other + text(20)))]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: r.class_id for r in found.collect()}
+    assert got == {k: k - k % 2 for k in range(1000, 1100)}
+
+
 def test_language_model_gradient():
     p = {k: v.astype(np.float64) for k, v in gru.start().items()}
     rng = np.random.default_rng(0)
