@@ -146,9 +146,10 @@ class Adam:
 
 
 def train(p: Params, texts: list[np.ndarray], end: int, rate: float, streams: int = 32,
-          seed: int = 0) -> tuple[Params, int]:
+          seed: int = 0, adam: Adam | None = None) -> tuple[Params, int]:
     """One pass over the texts' word ids (each closed by ``end``): streams of
-    texts one behind the other, the state cleared where a text begins."""
+    texts one behind the other, the state cleared where a text begins. A pass over
+    several lots of texts hands on its ``adam``."""
     p = {k: v.copy() for k, v in p.items()}
     rng = np.random.Generator(np.random.Philox(seed))
     order = rng.permutation(len(texts))
@@ -160,7 +161,7 @@ def train(p: Params, texts: list[np.ndarray], end: int, rate: float, streams: in
     target = whole[:length * streams].reshape(streams, length).T
     words = np.concatenate([np.full((1, streams), end), target[:-1]])
     h = np.zeros((streams, HIDDEN), np.float32)
-    adam = Adam(p, rate)
+    adam = adam or Adam(p, rate)
     for at in range(0, length, WINDOW):
         w, t = words[at:at + WINDOW], target[at:at + WINDOW]
         # A text's first word follows the end of another: its state is cleared

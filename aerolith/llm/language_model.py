@@ -8,10 +8,11 @@ word's probability is its tail id's by the network times its share of the tail
 id's counts (one added, for words never seen). So the score is a probability of
 the whole text, in the closed form the base has.
 
-The network is trained on a bounded sample (about ``TRAIN_DOCS`` documents of
-those counted, by hash): every round, workers take truncated-backpropagation passes
-over their share from the same weights, and the weights are averaged (a fixed
-small size). Documents are scored whole, the state carried across windows.
+The network is trained on all counted documents: every round, workers take
+truncated-backpropagation passes over their share of them from the same weights, and
+the weights are averaged by words, slice by slice in two steps, so that no task and
+not the driver gathers more than some workers' slices. There is a worker for every
+``EACH`` words. Documents are scored whole, the state carried across windows.
 
 The ``MID`` most frequent words' counts go to the tasks as two arrays (a fixed
 bound); the rarer words of each document meet the counts in a join.
@@ -43,8 +44,10 @@ END = gru.VOCABULARY - 1
 HEAD = gru.VOCABULARY - 1 - TAIL
 #: Words whose counts are sent to the tasks (16 bytes each).
 MID = 1 << 19
-#: The bounded training sample and its passes.
-TRAIN_DOCS, ROUNDS, WORKERS = 3000, 4, 6
+#: Passes over the documents, the fewest workers and a worker's words.
+ROUNDS, WORKERS, EACH = 4, 6, 4 << 20
+#: Parts that the weights are averaged in, and workers averaged at once.
+SLICES, TOGETHER = 64, 64
 RATE = 0.01
 #: Words scored side by side in a task.
 BUFFER = 4 << 20
@@ -138,40 +141,75 @@ def word_ids(rank: np.ndarray, tail: np.ndarray) -> np.ndarray:
     return np.where((rank >= 0) & (rank < HEAD), rank, HEAD + tail)
 
 
-def _pass(params: gru.Params, lexicon: Lexicon, rate: float, turn: int):
-    """A worker's pass over its texts, from the given weights."""
-    def run(keys: tuple, group: pa.Table) -> pa.Table:
-        texts = []
-        for _, buf, offs in C.chunks(group.to_batches(), "_text"):
+def _encoded(texts: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """The network's word ids of all texts, each closed by ``END``, many a row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, buf, offs in C.chunks(batches, "_text"):
             h, t, w = words_of(buf, offs)
-            rank, _ = lexicon.find(h)
-            ids = word_ids(rank, t)
-            texts += [np.append(ids[a:b], END) for a, b in zip(w, w[1:])]
-        new, n = gru.train(params, texts, END, rate, seed=100 * turn + keys[0].as_py())
-        return pa.table({"n": pa.array([n], pa.int64()), "weights": pa.array(
-            [np.concatenate([new[k].ravel() for k in sorted(new)]).tobytes()], pa.binary())})
+            ids = np.insert(word_ids(lexicon.find(h)[0], t), w[1:], END).astype(np.int16)
+            yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary())], names=["ids"])
+
+    return texts.select("_text").mapInArrow(run, "ids binary")
+
+
+def _pass(params: gru.Params, rate: float, turn: int):
+    """A worker's pass over its texts, from the given weights: ``(worker, slice,
+    n, weights)``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker = TaskContext.get().partitionId()
+        new, n, adam = params, 0, gru.Adam(params, rate)
+        lots = (x.as_py() for batch in batches for x in batch.column("ids"))
+        for k, ids in enumerate(lots):
+            whole = np.frombuffer(ids, np.int16)
+            texts = np.split(whole, np.flatnonzero(whole == END)[:-1] + 1)
+            new, m = gru.train(new, texts, END, rate, seed=(turn << 60) + (worker << 30) + k, adam=adam)
+            n += m
+        if n:
+            flat = np.concatenate([new[k].ravel() for k in sorted(new)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([worker] * SLICES, pa.int32()), pa.array(range(SLICES), pa.int32()),
+                 pa.array([n] * SLICES, pa.int64()),
+                 pa.array([x.tobytes() for x in np.array_split(flat, SLICES)], pa.binary())],
+                names=["worker", "slice", "n", "weights"])
 
     return run
 
 
-def _train(texts: DataFrame, lexicon: Lexicon, total: int) -> gru.Params:
-    own = texts.filter("not held_out").select("_id", F.coalesce("_text", F.lit("")).alias("_text"))
-    sample = C.stored(C.hash_sample(own, TRAIN_DOCS, total), "sample").select(
-        "_text", F.pmod(F.xxhash64("_text", "_id"), F.lit(WORKERS)).alias("worker"))
+def _mean(keys: tuple, group: pa.Table) -> pa.Table:
+    """A slice's weights averaged by the words they were trained on."""
+    group = group.sort_by("worker")
+    n = group.column("n").to_numpy()
+    mean = sum(np.frombuffer(w.as_py(), np.float32) * (k / n.sum())
+               for w, k in zip(group.column("weights"), n))
+    return pa.table({"worker": pa.array([keys[1].as_py() if len(keys) > 1 else 0], pa.int32()),
+                     "slice": pa.array([keys[0].as_py()], pa.int32()),
+                     "n": pa.array([n.sum()], pa.int64()),
+                     "weights": pa.array([mean.astype(np.float32).tobytes()], pa.binary())})
+
+
+def _round(ids: DataFrame, params: gru.Params, turn: int) -> tuple[gru.Params, int]:
+    """A round over all texts: the averaged weights and the words passed."""
+    kind = "worker int, slice int, n long, weights binary"
+    rows = ids.mapInArrow(_pass(params, RATE * (1 - turn / ROUNDS), turn), kind)
+    group = F.floor(F.col("worker") / TOGETHER).cast("int")
+    some = rows.groupBy("slice", group.alias("some")).applyInArrow(_mean, kind)
+    found = sorted(some.groupBy("slice").applyInArrow(_mean, kind).collect(), key=lambda r: r.slice)
+    if not found:
+        return params, 0
+    mean = np.concatenate([np.frombuffer(r.weights, np.float32) for r in found])
+    at, new = 0, {}
+    for k in sorted(params):
+        new[k] = mean[at:at + params[k].size].reshape(params[k].shape)
+        at += params[k].size
+    return new, found[0].n
+
+
+def _train(texts: DataFrame, lexicon: Lexicon, words: int) -> gru.Params:
+    ids = C.stored(_encoded(texts.filter("not held_out"), lexicon), "ids") \
+        .coalesce(max(WORKERS, -(-words // EACH)))
     params = gru.start()
     for turn in range(ROUNDS):
-        pass_over = _pass(params, lexicon, RATE * (1 - turn / ROUNDS), turn)
-        rows = sample.groupBy("worker").applyInArrow(
-            pass_over, "n long, weights binary").collect()
-        total = sum(r.n for r in rows)
-        if not total:
-            return params
-        mean = sum(np.frombuffer(r.weights, np.float32) * np.float32(r.n / total) for r in rows)
-        at, params = 0, dict(params)
-        for k in sorted(params):
-            size = params[k].size
-            params[k] = mean[at:at + size].reshape(params[k].shape)
-            at += size
+        params, _ = _round(ids, params, turn)
     return params
 
 
@@ -196,7 +234,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         room[t] += tn + tv
     head = top.slice(0, HEAD)
     np.subtract.at(room, head.column("tail").to_numpy(), head.column("n").to_numpy() + 1)
-    params = _train(texts, lexicon, ends)
+    params = _train(texts, lexicon, n)
     unit = math.log10(n + v + 1)
     end_base = math.log10(ends + 1) - unit
     log_room = np.log10(room)

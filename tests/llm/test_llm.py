@@ -329,6 +329,21 @@ def test_language_model_scores(docs, rows, none):
             assert math.isclose(r.base_score, base, rel_tol=1e-9) and r.score < 0
 
 
+def test_language_model_trains_on_all_documents(spark, monkeypatch):
+    """Every round passes over every counted word, however many documents."""
+    passed, own = [], language_model._round
+
+    def noted(*args):
+        new, n = own(*args)
+        passed.append(n)
+        return new, n
+    monkeypatch.setattr(language_model, "_round", noted)
+    frame = spark.createDataFrame([(k, "a b%d c" % (k % 50)) for k in range(9000)],
+                                  "doc_id long, text string")
+    got = language_model.scores(frame).filter("not held_out").agg({"n_tokens": "sum"}).first()[0]
+    assert passed == [got] * language_model.ROUNDS and got > 4 * 7000
+
+
 def test_network_probabilities_sum_to_one():
     h = np.random.default_rng(1).standard_normal((1, gru.HIDDEN)).astype(np.float32)
     every = np.arange(gru.VOCABULARY)
