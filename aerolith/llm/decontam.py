@@ -9,7 +9,12 @@ a hash of the words written there. Keys of all walks that begin at any word of a
 item (and end inside it) are looked up with the keys of walks from every word of
 every document, in several walks and tables. How many are needed follows from the
 target recall: the chance that an item with random edits at the largest rate
-shares a key is measured on the items themselves.
+shares a key is measured for every length of the items, on copies of items of it.
+
+Items of lengths that ``MOST_WALKS`` don't bring to the target, and those of
+``STEPS`` words or fewer, whose walks could begin at one word alone, are looked up
+by pieces: an item of which k words may be edited is cut in k + 1 pieces, and one
+of them stands unedited in any match, so no match is missed.
 
 Walks from neighbouring words meet and stay together, so a chunk's walks are kept
 as the distinct places they have reached, and keys are summed backwards from the
@@ -47,6 +52,10 @@ TARGET_RECALL = 0.99
 STEPS, SAMPLED = 12, 5
 #: Tables of one walk, and the most walks.
 TABLES, MOST_WALKS = 2, 6
+#: Copies of items of one length that the recall is measured on, at least.
+COPIES = 400
+#: Places of pieces handled at once.
+PLACES = 100_000
 BLOCK_ITEMS = 10_000
 
 _U = np.uint64
@@ -148,46 +157,83 @@ def _edited(item: np.ndarray, rate: float, rng: np.random.Generator) -> np.ndarr
     return np.array(out, _U)
 
 
-def walks_needed(items: list[np.ndarray], rate: float, recall: float) -> int:
-    """Walks that reach the recall, measured on copies of items with edits."""
+def _recalls(items: list[np.ndarray], rate: float, walks: int) -> Iterator[dict[int, float]]:
+    """For each number of walks the recall of every length over ``STEPS``, on
+    ``COPIES`` copies of items with random edits. All copies are walked at once."""
     rng = np.random.Generator(np.random.Philox(77))
-    items = [x for x in items if len(x)]
-    if not items:
-        return 1
-    pick = [items[i] for i in np.unique(np.linspace(0, len(items) - 1, 100).astype(int))]
-    pad = [rng.integers(1, 1 << 63, 2 * STEPS).astype(_U) for _ in pick]
-    tests = [(x, np.concatenate([p, _edited(x, rate, rng), p])) for x, p in zip(pick, pad)]
-    missed = list(tests)
-    for walk in range(MOST_WALKS):
-        left = []
-        for item, text in missed:
-            steps = steps_for(len(item))
-            a, b = Walks(item, walk, steps), Walks(text, walk, steps)
-            starts = len(item) - steps + 1
-            if not any(np.isin(a.keys(k, steps)[:starts], b.keys(k, steps)).any()
-                       for k in range(TABLES)):
-                left.append((item, text))
-        missed = left
-        if len(missed) <= (1 - recall) * len(tests):
-            return walk + 1
-    return MOST_WALKS
+    by: dict[int, list[np.ndarray]] = {}
+    for x in items:
+        if len(x) > STEPS:
+            by.setdefault(len(x), []).append(x)
+    pad = lambda: rng.integers(1, 1 << 63, 2 * STEPS).astype(_U)
+    tests = [x for n in sorted(by) for x in (by[n] * COPIES)[:max(COPIES, min(len(by[n]), 2 * COPIES))]]
+    if not tests:
+        yield from ({} for _ in range(walks))
+        return
+    lengths = np.array([len(x) for x in tests])
+    found = np.zeros(len(tests), bool)
+    sides = [[np.concatenate([pad(), y, pad()]) for y in ys]
+             for ys in (tests, [_edited(x, rate, rng) for x in tests])]
+    tokens = [np.concatenate(x) for x in sides]
+    owner = [np.repeat(np.arange(len(tests)), [len(y) for y in x]) for x in sides]
+    place = np.concatenate([np.arange(len(y)) for y in sides[0]]) - 2 * STEPS
+    inside = (place >= 0) & (place <= lengths[owner[0]] - STEPS)
+    for walk in range(walks):
+        # Only what earlier walks missed is walked again.
+        left = [~found[o] for o in owner]
+        tokens, owner = ([x[k] for x, k in zip(y, left)] for y in (tokens, owner))
+        inside = inside[left[0]]
+        both = [Walks(x, walk, STEPS) for x in tokens]
+        for table in range(TABLES):
+            # The copy's number in a key: only its own text can give it.
+            mine, its = (C.mix(w.keys(table, STEPS) ^ C.mix(o.astype(_U) + _U(1)))
+                         for w, o in zip(both, owner))
+            found[owner[0][inside & np.isin(mine, its)]] = True
+        yield {n: float(found[lengths == n].mean()) for n in sorted(by)}
+
+
+def walks_needed(items: list[np.ndarray], rate: float, recall: float) -> tuple[int, set[int]]:
+    """Walks that bring all lengths to the recall, or ``MOST_WALKS``, and the
+    lengths that are looked up by pieces."""
+    short = {len(x) for x in items if 0 < len(x) <= STEPS}
+    walks, missed = 1, set()
+    for walks, reached in enumerate(_recalls(items, rate, MOST_WALKS), 1):
+        missed = {n for n, r in reached.items() if r < recall}
+        if not missed:
+            break
+    return walks, short | missed
+
+
+def pieces_of(length: int, edits: int) -> list[tuple[int, int]]:
+    """An item's pieces, one more than its words that may be edited."""
+    cut = [length * k // (edits + 1) for k in range(edits + 2)]
+    return list(zip(cut, cut[1:]))
 
 
 class Index:
     """The keys of a block of items: per walk, steps and table, sorted keys with
-    the item and the word they begin at, behind a table of the keys' top bits."""
+    the item and the word they begin at, behind a table of the keys' top bits. Items
+    of the lengths ``pieces`` are there by their pieces, by the pieces' lengths."""
 
     BITS = 18
 
-    def __init__(self, ids: list, items: list[np.ndarray], max_edits: float, walks: int):
+    def __init__(self, ids: list, items: list[np.ndarray], max_edits: float, walks: int,
+                 pieces: set[int]):
         self.ids, self.lengths = ids, [len(x) for x in items]
         self.masks = [edit_masks(x) for x in items]
         self.edits = [math.floor(max_edits * len(x) + 1e-9) for x in items]
-        self.walks, self.steps = walks, sorted({steps_for(n) for n in self.lengths if n})
-        found: dict[tuple[int, int, int], list] = {}
+        self.items = items
+        self.walks = walks
+        self.steps = sorted({steps_for(n) for n in self.lengths if n and n not in pieces})
+        found: dict[tuple, list] = {}
         for k, item in enumerate(items):
             if not len(item):
                 continue
+            if len(item) in pieces:
+                for a, b in pieces_of(len(item), self.edits[k]):
+                    found.setdefault((b - a,), []).append(
+                        (C.window_hashes(item[a:b], b - a), np.array([k]), np.array([a])))
+                continue
             steps = steps_for(len(item))
             starts = np.arange(len(item) - steps + 1)
             for walk in range(walks):
@@ -210,19 +256,48 @@ class Index:
             w = Walks(tokens, walk, max(self.steps))
             for steps in self.steps:
                 for table in range(TABLES):
-                    keys, item, start, top = self.tables[walk, steps, table]
-                    mine = w.keys(table, steps)
-                    at = np.flatnonzero(top[(mine >> _U(64 - self.BITS)).astype(np.int64)])
-                    lo = np.searchsorted(keys, mine[at], "left")
-                    n = np.searchsorted(keys, mine[at], "right") - lo
-                    if n.any():
-                        k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                        hit = np.repeat(lo, n) + k
-                        items.append(item[hit])
-                        places.append(np.repeat(at, n) - start[hit])
+                    item, place = self._hits(self.tables[walk, steps, table], w.keys(table, steps))
+                    items.append(item)
+                    places.append(place)
+        for size, in (at for at in self.tables if len(at) == 1):
+            item, place = self._hits(self.tables[size,], C.window_hashes(tokens, size))
+            item, place = self._likely(item, place, tokens)
+            items.append(item)
+            places.append(place)
         pair = np.unique(np.stack([np.concatenate(items), np.concatenate(places)]), axis=1)
         return pair[0], pair[1]
 
+    @classmethod
+    def _hits(cls, table: tuple, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Items with one of the keys, and where they would begin."""
+        keys, item, start, top = table
+        at = np.flatnonzero(top[(mine >> _U(64 - cls.BITS)).astype(np.int64)])
+        lo = np.searchsorted(keys, mine[at], "left")
+        n = np.searchsorted(keys, mine[at], "right") - lo
+        k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        hit = np.repeat(lo, n) + k
+        return item[hit], np.repeat(at, n) - start[hit]
+
+    def _likely(self, item: np.ndarray, place: np.ndarray, tokens: np.ndarray,
+                ) -> tuple[np.ndarray, np.ndarray]:
+        """Those places around which all but the edited words of the item stand
+        (short pieces are common): no match fails this."""
+        order = np.argsort(item, kind="stable")
+        item, place = item[order], place[order]
+        kept = np.zeros(len(item), bool)
+        cuts = np.append(np.flatnonzero(np.diff(item, prepend=-1)), len(item))
+        for a, b in zip(cuts, cuts[1:]):
+            k = int(item[a])
+            length, allowed = self.lengths[k], self.edits[k]
+            around = np.arange(-allowed, length + allowed)
+            for c in range(a, b, PLACES // len(around) + 1):
+                d = min(b, c + PLACES // len(around) + 1)
+                at = place[c:d, None] + around
+                there = np.isin(tokens[np.clip(at, 0, len(tokens) - 1)], self.items[k])
+                there &= (at >= 0) & (at < len(tokens))
+                kept[c:d] = there.sum(1) >= length - allowed
+        return item[kept], place[kept]
+
     def matches(self, tokens: np.ndarray, w: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """``(text, item, distance, first word, end word)`` of the items that the
         texts contain, each at its best place."""
@@ -271,7 +346,7 @@ def _blocks(items: DataFrame, item_id: str, item_text: str, max_edits: float, re
         tokens, w = tokens_of(buf, offs)
         parts = [tokens[a:b] for a, b in zip(w, w[1:])]
         yield Index([r.item for r in rows], parts, max_edits,
-                    walks_needed(parts, max_edits, recall)), blocks
+                    *walks_needed(parts, max_edits, recall)), blocks
 
 
 def cleaned(docs: DataFrame, items: DataFrame, text_col: str = "text",

@@ -244,6 +244,27 @@ def test_decontamination(spark, docs, rows, none):
     assert decontam.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_finds_short_items(spark):
+    """Copies with as many edits as are allowed, the first word's among them."""
+    rng = random.Random(6)
+    word = lambda: "w%d" % rng.randrange(10**9)
+    items, texts, n = [], [], 0
+    for length in (5, 6, 8, 10, 12, 13, 15, 16, 20, 30):
+        for _ in range(60):
+            item = [word() for _ in range(length)]
+            other = list(item)
+            for k in [0, *rng.sample(range(1, length), length // 5 - 1)]:
+                other[k] = word()
+            items.append((n, " ".join(item)))
+            texts.append((n, " ".join([word() for _ in range(30)] + other + [word() for _ in range(30)])))
+            n += 1
+    found = decontam.contaminated(spark.createDataFrame(texts, "doc_id long, text string"),
+                                  spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = collections.Counter(r.n_words for r in found if r.doc_id == r.item_id)
+    assert len(found) == sum(got.values())
+    assert all(got[k] == 60 for k in (5, 6, 8, 10, 12)) and all(got[k] >= 57 for k in (13, 15, 16, 20, 30))
+
+
 def test_passages(docs, rows, none):
     found = passages.repeated_passages(docs).collect()
     words = {i: WORD.findall(lower(t or "")) for i, t, *_ in rows if i is not None}
