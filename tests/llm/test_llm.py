@@ -436,6 +436,30 @@ def test_wrappers(spark):
     assert fit["main"] == ["html", "body", "article"] and ")?" in fit["regex"]
 
 
+def test_wrappers_of_long_pages(spark):
+    """Pages of any length are extracted by the same rules."""
+    def page(k, cells):
+        table = "".join(f"<tr><td>r{k}</td><th class=c{'abcdefg'[i * i % 7]}>x{i}</th></tr><p>p{i}</p>"
+                        + "<ul><li>y</ul>" * (i % 3) for i in range(cells))
+        return (f"<html><body><div class=top>Menu text</div><header><h2>Site</h2></header><article>"
+                f"<h1>Head {k}</h1><table>{table}</table></article><div>Other {k}</div></body></html>")
+    rows = [(k, "http://%s/%d" % (host, k), page(k, cells)) for host, cells, own in (
+        ("one", 2000, [1]), ("long", 2000, [2, 3]), ("mixed", 3, [4, 5, 6]), ("mixed", 2000, [7]))
+        for k in own]
+    assert len(wrappers.stream(rows[0][2])) > wrappers.LONGEST
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in wrappers.main_texts(frame).collect():
+        assert r.text.startswith(f"Head {r.page_id} ") and "Menu" not in r.text \
+            and "Other" not in r.text and "Site" not in r.text
+    assert wrappers.extract(rows[0][2], None, frozenset()).startswith("Head 1 ")
+    signs = ["%d" % (k * k % 97) for k in range(300)]
+    other = signs[:50] + ["n"] * 9 + signs[60:]
+    steps = wrappers.aligned(signs, other, 40)
+    assert all(signs[a:b] == other[c:d] for what, a, b, c, d in steps if what == "equal")
+    assert [x for _, a, b, _, _ in steps for x in signs[a:b]] == signs
+    assert [x for *_, c, d in steps for x in other[c:d]] == other
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver tables absent")
 def test_pipeline_against_its_operators(spark):
     import corpus_pipeline
