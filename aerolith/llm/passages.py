@@ -121,8 +121,9 @@ def compact_windows(order: np.ndarray, wall: np.ndarray, least: int,
 
 
 def windows(docs: DataFrame, least: int) -> DataFrame:
-    """``(key, _id, hash, l, c, r)`` of all documents' compact windows, two rows
-    for each side on which a run may reach on; places are the document's shingles."""
+    """``(key, _id, hash, l, c, r, k0, k1, k2, k3)`` of all documents' compact
+    windows: ``key`` is the smallest hash, the others are that with a shingle of a
+    side, null where no run reaches on there; places are the document's shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, offs in C.chunks(batches, "_text"):
             hashes, inside, w = shingles(buf, offs)
@@ -135,20 +136,21 @@ def windows(docs: DataFrame, least: int) -> DataFrame:
                 l, c, r = compact_windows(order, ~inside, least)
                 half = least // 2
                 fore, back = c + half <= r, c - half >= l
-                reach = (half, -half, half // 2, -(half // 2))
-                far = np.concatenate([c[x] + d for x, d in zip((fore, back) * 2, reach)])
-                side = np.repeat(C.constants(82, 4), [fore.sum(), back.sum()] * 2)
-                l, c, r = (np.concatenate([x[fore], x[back]] * 2) for x in (l, c, r))
-                with np.errstate(over="ignore"):
-                    key = C.mix(value[c] + hashes[far] * side)
+                sides = []
+                for salt, d, there in zip(C.constants(82, 4), (half, -half, half // 2, -(half // 2)),
+                                          (fore, back) * 2):
+                    far = hashes[np.where(there, c + d, c)]
+                    with np.errstate(over="ignore"):
+                        sides.append(pa.array(C.signed(C.mix(value[c] + far * salt)), mask=~there))
                 text = np.searchsorted(w, c, "right") - 1
                 ids = rows.column("_id").combine_chunks().take(pa.array(text))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(C.signed(key)), ids, pa.array(np.full(len(c), j), pa.int8()),
-                     *(pa.array(x - w[text], pa.int32()) for x in (l, c, r))],
-                    names=["key", "_id", "hash", "l", "c", "r"])
+                    [pa.array(C.signed(value[c])), ids, pa.array(np.full(len(c), j), pa.int8()),
+                     *(pa.array(x - w[text], pa.int32()) for x in (l, c, r)), *sides],
+                    names=["key", "_id", "hash", "l", "c", "r", "k0", "k1", "k2", "k3"])
 
-    return docs.mapInArrow(run, "key long, _id long, hash byte, l int, c int, r int")
+    return docs.mapInArrow(run, "key long, _id long, hash byte, l int, c int, r int, "
+                                "k0 long, k1 long, k2 long, k3 long")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -342,8 +344,7 @@ def _split(docs: DataFrame, windows: DataFrame, least: int, min_words: int) -> D
     first = C.stored(runs.groupBy("key").agg(F.min(F.struct("_id", "s", "parts")).alias("to")),
                      "first")
     equal = _to_least(runs.drop("parts"), first, least)
-    masked = C.stored(first.select("to._id", "to.s", F.posexplode("to.parts").alias("part", "key")),
-                      "masked")
+    masked = first.select("to._id", "to.s", F.posexplode("to.parts").alias("part", "key"))
     near = C.stored(_runs(docs, _shared(masked).select("_id", F.col("s").alias("a"),
                                                        F.col("s").alias("b"), "part").distinct(),
                           min_words, True), "near")
@@ -361,7 +362,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")) \
         .filter("_id is not null")
     every = C.stored(windows(texts, least), "windows")
-    left = _shared(every)
+    # Windows that share a side's key share the smallest hash: it is tried first.
+    sides = F.explode(F.array("k0", "k1", "k2", "k3")).alias("key")
+    left = _shared(_shared(every).select(sides, "_id", "hash", "l", "c", "r")
+                   .filter("key is not null"))
     least_doc = C.stored(left.groupBy("key").agg(F.min(F.struct("_id", "c", "l", "r"))
                                                  .alias("to")), "least")
     member = left.join(least_doc, "key").filter("_id <> to._id")
