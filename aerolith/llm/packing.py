@@ -15,8 +15,9 @@ two, which need no padding. A task holds ``OPEN`` windows and the texts of a chu
 a merging task ``FAN * OPEN`` windows, whatever the table's size.
 
 The byte-level tokenizer starts a new token at a single space between two visible
-characters, so texts are encoded by the stretches between such spaces and repeated
-stretches once per worker; the ids are those of the whole text.
+characters, and at a comma or the like behind a letter, so texts are encoded by the
+stretches between such places and repeated stretches once per worker; the ids are
+those of the whole text.
 
 Defined results: null and empty texts are the end id alone; a row without an id is
 packed as any other; repeated rows are documents of their own; very long texts are
@@ -28,16 +29,16 @@ split into tasks, but not on which task runs where or is run again.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.llm import common as C
-from aerolith.llm.wavelet import WordEncoder
+from aerolith.llm.wavelet import _Grown
 
 END_ID = 0
 LENGTH = 1024
@@ -50,20 +51,42 @@ _SPACE, _BREAK = 0x20, "\n"
 _VISIBLE = np.zeros(256, bool)
 _VISIBLE[0x21:0x7F] = True
 _LEAD = 0xC3
+_MARK = np.zeros(256, bool)
+_MARK[[ord(c) for c in ".,!?;:"]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
 
 
-class StretchEncoder(WordEncoder):
+class StretchEncoder:
     """Ids of a byte-level tokenizer, by stretches that begin at a single space
-    between two characters that are surely visible."""
+    between two characters that are surely visible, or at a mark behind a letter.
+    A stretch is encoded once while it is kept; known ones are found by their
+    hashes in a sorted array."""
+
+    KEEP = 1_000_000
+    #: Stretches encoded in one call, parted by line breaks.
+    RUN = 4096
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        mark = tokenizer.encode(_BREAK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self._clear()
 
     def _clear(self) -> None:
-        super()._clear()
-        self.pool.data[0] = END_ID
+        self.hashes, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.starts, self.lens, self.pool = _Grown(np.int64), _Grown(np.int64), _Grown(np.uint32)
+        self._add(np.full(1, END_ID, np.uint32), np.ones(1, np.int64))  # slot 0: the end id
+
+    def _add(self, ids: np.ndarray, lens: np.ndarray) -> None:
+        self.starts.add(self.pool.size + np.cumsum(lens) - lens)
+        self.lens.add(lens)
+        self.pool.add(ids)
 
     @staticmethod
     def pieces(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Starts, ends, text offsets and hashes of the stretches."""
         n = len(buf)
-        full = np.flatnonzero(np.diff(offs))
         cut = np.zeros(n + 1, bool)
         if n:
             before = _VISIBLE[buf[:-2]]
@@ -74,37 +97,75 @@ class StretchEncoder(WordEncoder):
             edge = offs[1:-1]
             edge = edge[(edge > 0) & (edge < n)]
             cut[edge] = cut[edge - 1] = False
-        cut[offs[:-1][full]] = True
+            # A mark behind an ASCII letter begins a token as well.
+            cut[1:n] |= _MARK[buf[1:]] & _LETTER[buf[:-1]]
+        cut[offs[:-1][np.flatnonzero(np.diff(offs))]] = True
         starts = np.flatnonzero(cut[:n])
         ends = np.append(starts[1:], n) if len(starts) else starts
         return starts, ends, np.searchsorted(starts, offs), C.range_hash(buf, starts, ends)
 
     @staticmethod
-    def _joins(word: str) -> bool:
-        """Whether a line break may stand before and behind the stretch without
-        changing its ids."""
-        head = word[1:2] if word[:1] == " " else word[:1]
-        plain = lambda c: "!" <= c <= "~" or "À" <= c <= "ÿ"
-        return bool(head) and plain(head) and plain(word[-1]) and _BREAK not in word
-
-    def _encoded(self, words: list[str]) -> list[list[int]]:
-        mark = self.tokenizer.encode(_BREAK, add_special_tokens=False).ids
-        joins = [self._joins(w) and len(mark) == 1 for w in words]
-        alone = [w for w, j in zip(words, joins) if not j]
-        single = iter(self.tokenizer.encode_batch_fast(alone, add_special_tokens=False))
-        together: list[list[int]] = []
-        run = [w for w, j in zip(words, joins) if j]
-        for at in range(0, len(run), 256):
-            ids = self.tokenizer.encode_batch_fast([_BREAK.join(run[at:at + 256])],
-                                                   add_special_tokens=False)[0].ids
-            lo = 0
-            for _ in range(len(run[at:at + 256]) - 1):
-                hi = ids.index(mark[0], lo)
-                together.append(ids[lo:hi])
-                lo = hi + 1
-            together.append(ids[lo:])
-        joined = iter(together)
-        return [next(joined) if j else next(single).ids for j in joins]
+    def _joins(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+        """Whether a line break may stand before and behind a stretch without
+        changing its ids: it begins, behind one space at most, and ends with a
+        character that is surely visible, and holds no line break."""
+        head = s + (buf[s] == _SPACE)
+        first = buf[np.minimum(head, e - 1)]
+        last = _VISIBLE[buf[e - 1]] | ((buf[e - 1] >= 0x80) & (buf[np.maximum(e - 2, 0)] == _LEAD))
+        breaks = C.before(buf == 0x0A)
+        return (head < e) & (_VISIBLE[first] | (first == _LEAD)) & last & (breaks[s] == breaks[e])
+
+    def _learn(self, buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+        """Encode stretches and keep their ids; their slots."""
+        joins = self._joins(buf, s, e) & (self.mark is not None)
+        slots = np.empty(len(s), np.int64)
+        run = np.flatnonzero(joins)
+        slots[run] = self.lens.size + np.arange(len(run))
+        for at in range(0, len(run), self.RUN):
+            a, size = s[run[at:at + self.RUN]], (e - s)[run[at:at + self.RUN]] + 1
+            to = np.cumsum(size)
+            source = np.arange(to[-1]) + np.repeat(a - to + size, size)
+            text = buf[np.minimum(source, len(buf) - 1)]
+            text[to - 1] = 0x0A
+            ids = np.array(self.tokenizer.encode_batch_fast(
+                [text.tobytes().decode()], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(ids == self.mark)
+            self._add(ids[ids != self.mark], np.diff(ends, prepend=-1) - 1)
+        alone = np.flatnonzero(~joins)
+        slots[alone] = self.lens.size + np.arange(len(alone))
+        words = [buf[x:y].tobytes().decode() for x, y in zip(s[alone], e[alone])]
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        lens = np.fromiter(map(len, found), np.int64, len(found))
+        self._add(np.fromiter(chain.from_iterable(found), np.uint32, int(lens.sum())), lens)
+        return slots
+
+    def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids, each text's followed by the end id, and their offsets."""
+        s, e, w, hashes = self.pieces(buf, offs)
+        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.hashes) + len(distinct) > self.KEEP:
+            self._clear()
+        at = np.searchsorted(self.hashes, distinct)
+        fresh = np.ones(len(distinct), bool)
+        inside = at < len(self.hashes)
+        fresh[inside] = self.hashes[at[inside]] != distinct[inside]
+        if fresh.any():
+            mine = self._learn(buf, s[first[fresh]], e[first[fresh]])
+            self.slots = np.insert(self.slots, at[fresh], mine)
+            self.hashes = np.insert(self.hashes, at[fresh], distinct[fresh])
+            at = np.searchsorted(self.hashes, distinct)
+        slot = self.slots[at][back]
+        # A stretch of its own, the end id, closes each text.
+        ends = w[1:] + np.arange(len(w) - 1)
+        whole = np.zeros(len(slot) + len(ends), np.int64)
+        word = np.ones(len(whole), bool)
+        word[ends] = False
+        whole[word] = slot
+        lens, starts = self.lens.data[whole], self.starts.data[whole]
+        upto = np.zeros(len(lens) + 1, np.int64)
+        np.cumsum(lens, out=upto[1:])
+        source = np.arange(int(upto[-1])) + np.repeat(starts - upto[:-1], lens)
+        return self.pool.data[source], upto[np.append(0, ends + 1)]
 
 
 _ENCODERS: dict[str, StretchEncoder] = {}
