@@ -1,4 +1,4 @@
-"""Forecast error metrics as one aggregate."""
+"""Forecast error metrics as one aggregate."""
 
 from __future__ import annotations
 
@@ -30,9 +30,3 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, by: Sequence[str] = (),
         out = out.withColumns({m: scaled_round(m, digits) for m in ("mae", "rmse", "mape", "r2")})
     return out
 
-
-def relative_gain(base: float | None, new: float | None) -> float | None:
-    """``(base - new) / base * 100``: the drop of an error metric in percent."""
-    if base in (None, 0) or new is None:
-        return None
-    return (base - new) / base * 100.0

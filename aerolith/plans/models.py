@@ -1,42 +1,37 @@
-"""Forecast models on the daily feature table.
-
-* ``gbt_forecast``: gradient-boosted trees on the 17 lag/weather/calendar
-  features (Spark ML ``GBTRegressor``; column sampling is per node there,
-  per tree in the original learner).
-* ``seasonal_forecast``: additive trend + yearly and weekly Fourier terms,
-  optionally plus standardised weather regressors, fitted as a ridge
-  ``LinearRegression``; the 80 % band is ``yhat ± 1.2816 σ`` of the
-  training residuals.
-* The hold-out is the last ``n_test`` days of each series (a window
-  partitioned by series, not a sort of the whole table).
-* Runs are rows of a ``runs`` table (name, time, params map, metrics map).
-
-Fitting runs as Spark jobs over the training rows; only model coefficients
-and the 17 importances come back to the driver.
+"""Forecast models on the daily feature table.
+
+* ``gbt_forecast``: gradient-boosted trees on the 17 lag/weather/calendar features,
+  one model per series, all in one job (``operators.boosting``): NULL features take
+  a learned side, columns are sampled per tree.
+* ``seasonal_forecast``: piecewise linear trend, yearly and weekly Fourier terms,
+  optionally weather, per series from sufficient statistics (``plans.seasonal``),
+  with an 80 % band from the training residuals.
+* The hold-out is the last ``n_test`` days of each series (a window partitioned by
+  series, not a sort of the whole table).
+* Runs are rows of the ledger (``plans.ledger``): run, series, attempt, parameters,
+  metrics; gains are taken per series.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import math
 import os
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.numeric import scaled_round
+from ..operators import boosting
 from ..operators.metrics import regression_metrics
 from ..operators.windows import holdout
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
+from . import ledger, seasonal
+from . import sqltext as S
 from .catalog import _features, query
+from .seasonal import WEATHER_REGRESSORS, WITH, WITHOUT
 
 # The 17 model features, in the original order, and the
-# hyper-parameters of the boosted-tree and seasonal models.
+# hyper-parameters of the boosted trees.
 FEATURES = [
     "no2_lag1", "no2_lag2", "no2_lag7",
     "no2_mm3", "no2_mm7",
@@ -45,11 +40,8 @@ FEATURES = [
     "dia_setmana_num", "mes",
     "dia_any_sin", "dia_any_cos",
 ]
-GBT_PARAMS = dict(maxIter=300, maxDepth=5, stepSize=0.05, subsamplingRate=0.8,
-                  featureSubsetStrategy="0.8", seed=42)
-WEATHER_REGRESSORS = ["vent_velocitat", "temperatura", "precipitacio", "pressio"]
-YEARLY_ORDER, WEEKLY_ORDER = 10, 3
-Z80 = 1.2815515655446004     # two-sided 80 % normal quantile
+GBT_PARAMS = dict(rounds=300, depth=5, rate=0.05, rows=0.8, columns=0.8, seed=42)
+GBT_RUN, GBT_NAME = "gbt_amb_lags", "GBT"
 EU_ANNUAL_LIMIT = 40.0       # reference line drawn with the forecasts (µg/m³)
 TEST_DAYS = 60
 
@@ -69,156 +61,47 @@ def split(df: DataFrame, series: Sequence[str], n_test: int = TEST_DAYS,
 
 
 def gbt_forecast(train: DataFrame, test: DataFrame, params: Mapping | None = None,
-                 label: str = "no2_mitja"):
-    """Fit on ``train``; return (model, predictions on ``test``). Test rows with
-    a missing feature stay, with a NULL forecast."""
+                 label: str = "no2_mitja", series: Sequence[str] = ()):
+    """Fit every series on ``train``; return (trees, predictions on ``test``). The
+    trees are written before they are used, so a model is fitted once. Rows with a
+    missing feature get a forecast; rows of a series without training rows a NULL."""
     p = dict(GBT_PARAMS, **(params or {}))
-    train = train.where(_complete([*FEATURES, label]))
-    if train.isEmpty():
-        return None, _no_forecast(test, label)
-    pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep"),
-        GBTRegressor(featuresCol="features", labelCol=label, predictionCol="yhat", **p),
-    ])
-    model = pipe.fit(train)
-    yhat = F.when(_complete(FEATURES), F.col("yhat"))
-    return model, model.transform(test).withColumn("yhat", yhat) \
-        .withColumnRenamed(label, "y").drop("features")
-
-
-def _complete(columns: Sequence[str]) -> F.Column:
-    """Whether none of the columns is NULL: a model is fitted on such rows, and
-    gives a NULL forecast (not a missing row) for the others."""
-    out = F.lit(True)
-    for c in columns:
-        out = out & F.col(c).isNotNull()
-    return out
-
-
-def feature_importance(spark: SparkSession, model, top: int | None = 8) -> DataFrame:
-    """(feature, importancia) from the fitted trees, most important first."""
-    if model is None:
-        return spark.createDataFrame([], "feature string, importancia double")
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    df = spark.createDataFrame(list(zip(FEATURES, [float(v) for v in imp])),
-                               "feature string, importancia double")
-    df = df.orderBy(F.col("importancia").desc(), F.col("feature"))
-    return df.limit(top) if top else df
-
-
-def _no_forecast(test: DataFrame, label: str, band: bool = False) -> DataFrame:
-    """Empty predictions with the usual columns, when there is nothing to
-    train on (e.g. no day reaches the minimum hour count)."""
-    out = test.where(F.lit(False)).withColumnRenamed(label, "y").withColumn(
-        "yhat", F.lit(None).cast("double"))
-    if band:
-        out = out.withColumns({"yhat_lower": F.lit(None).cast("double"),
-                               "yhat_upper": F.lit(None).cast("double")})
-    return out
+    keys = list(series) or ["_tot"]
+    one = (lambda df: df) if series else (lambda df: df.withColumn("_tot", F.lit(1)))
+    ensure_checkpoint_dir(train.sparkSession)
+    trees = boosting.fit_series(one(train), keys, FEATURES, label, p).checkpoint(eager=True)
+    pred = boosting.predict_series(one(test), trees, keys, FEATURES, p["depth"])
+    return trees, (pred if series else pred.drop("_tot")).withColumnRenamed(label, "y")
 
 
-def seasonal_terms(df: DataFrame, origin: str, date_col: str = "data") -> DataFrame:
-    """Trend (years since ``origin``) plus yearly and weekly Fourier terms."""
-    days = F.datediff(F.col(date_col), F.lit(origin).cast("date")).cast("double")
-    cols = {"t": days / F.lit(365.25)}
-    for k in range(1, YEARLY_ORDER + 1):
-        a = F.lit(2.0 * math.pi * k / 365.25) * days
-        cols[f"ys{k}"], cols[f"yc{k}"] = F.sin(a), F.cos(a)
-    for k in range(1, WEEKLY_ORDER + 1):
-        a = F.lit(2.0 * math.pi * k / 7.0) * days
-        cols[f"ws{k}"], cols[f"wc{k}"] = F.sin(a), F.cos(a)
-    return df.withColumns(cols)
+def feature_importance(spark: SparkSession, trees: DataFrame, top: int | None = 8) -> DataFrame:
+    """(feature, importancia) over all series' trees, most important first."""
+    df = boosting.importance(trees).orderBy(F.col("importancia").desc(), F.col("feature"))
+    return df.limit(top) if top else df
 
 
-SEASONAL_COLS = (["t"] + [f"{p}{k}" for k in range(1, YEARLY_ORDER + 1) for p in ("ys", "yc")]
-                 + [f"{p}{k}" for k in range(1, WEEKLY_ORDER + 1) for p in ("ws", "wc")])
+def _flagged(train: DataFrame, test: DataFrame) -> DataFrame:
+    return train.withColumn("es_test", F.lit(False)).unionByName(
+        test.withColumn("es_test", F.lit(True)))
 
 
 def seasonal_forecast(train: DataFrame, test: DataFrame, use_weather: bool = True,
-                      reg: float = 0.05, label: str = "no2_mitja", origin: str = "2000-01-01"):
-    """Additive seasonal regression; returns (model, predictions with an 80 %
-    band)."""
-    inputs = SEASONAL_COLS + (WEATHER_REGRESSORS if use_weather else [])
-    tr = seasonal_terms(train, origin).where(_complete([*inputs, label]))
-    te = seasonal_terms(test, origin)
-    if tr.isEmpty():
-        return None, _no_forecast(test, label, band=True)
-    pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=inputs, outputCol="raw", handleInvalid="keep"),
-        StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-        LinearRegression(featuresCol="features", labelCol=label, predictionCol="yhat",
-                         regParam=reg, elasticNetParam=0.0),
-    ])
-    model = pipe.fit(tr)
-    sigma = model.stages[-1].summary.rootMeanSquaredError
-    pred = (model.transform(te)
-            .withColumn("yhat", F.when(_complete(inputs), F.col("yhat")))
-            .withColumn("yhat_lower", F.col("yhat") - F.lit(Z80 * sigma))
-            .withColumn("yhat_upper", F.col("yhat") + F.lit(Z80 * sigma))
-            .withColumnRenamed(label, "y")
-            .drop("raw", "features", *SEASONAL_COLS))
-    return model, pred
+                      label: str = "no2_mitja", series: Sequence[str] = ()):
+    """(coefficients, predictions with an 80 % band) of the seasonal model, per
+    series, or of the whole table as one series."""
+    keys = list(series) or ["_tot"]
+    both = _flagged(train, test)
+    both = both if series else both.withColumn("_tot", F.lit(1))
+    coefs, pred = seasonal.forecast(both, keys, use_weather, label)
+    return coefs, pred if series else pred.drop("_tot")
 
 
 def seasonal_forecast_by_series(df: DataFrame, series: Sequence[str], n_test: int,
-                                use_weather: bool = True, reg: float = 0.05,
-                                label: str = "no2_mitja", origin: str = "2000-01-01") -> DataFrame:
-    """One seasonal model per series, fitted in parallel: the daily rows of a
-    series (at most one per calendar day, so a group is bounded by the date
-    span) go to one ``applyInPandas`` call, which standardises the trend,
-    Fourier and weather columns on the training days, solves the ridge
-    normal equations and predicts the last ``n_test`` days with an 80 % band.
-    Returns series keys, data, y, yhat, yhat_lower, yhat_upper."""
-    import numpy as np
-    import pandas as pd
-
-    regs = WEATHER_REGRESSORS if use_weather else []
-    flagged = holdout(df, series, "data", n_test).select(*series, "data", label, *regs, "es_test")
-    key_fields = [f for f in flagged.schema.fields if f.name in series]
-    out_schema = T.StructType(key_fields + [
-        T.StructField("data", T.DateType()), T.StructField("y", T.DoubleType()),
-        T.StructField("yhat", T.DoubleType()), T.StructField("yhat_lower", T.DoubleType()),
-        T.StructField("yhat_upper", T.DoubleType())])
-    t0 = pd.Timestamp(origin)
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("data")
-        days = (pd.to_datetime(pdf["data"]) - t0).dt.days.to_numpy(dtype=float)
-        cols = [days / 365.25]
-        for k in range(1, YEARLY_ORDER + 1):
-            a = 2.0 * math.pi * k / 365.25 * days
-            cols += [np.sin(a), np.cos(a)]
-        for k in range(1, WEEKLY_ORDER + 1):
-            a = 2.0 * math.pi * k / 7.0 * days
-            cols += [np.sin(a), np.cos(a)]
-        cols += [pdf[r].to_numpy(dtype=float) for r in regs]
-        x = np.column_stack(cols)
-        y = pdf[label].to_numpy(dtype=float)
-        test = pdf["es_test"].to_numpy(dtype=bool)
-        ok = np.isfinite(x).all(axis=1)
-        train = ~test & ok & np.isfinite(y)
-        res = pdf.loc[test, [*series, "data"]].copy()
-        res["y"] = y[test]
-        if train.sum() < 2:
-            res["yhat"] = res["yhat_lower"] = res["yhat_upper"] = np.nan
-            return res
-        mu, sd = x[train].mean(axis=0), x[train].std(axis=0)
-        sd[sd == 0] = 1.0
-        z = (x - mu) / sd
-        ym = y[train].mean()
-        zt = z[train]
-        beta = np.linalg.solve(zt.T @ zt + reg * train.sum() * np.eye(z.shape[1]),
-                               zt.T @ (y[train] - ym))
-        fitted = zt @ beta + ym
-        sigma = float(np.sqrt(np.mean((y[train] - fitted) ** 2)))
-        yhat = z[test] @ beta + ym
-        yhat[~ok[test]] = np.nan
-        res["yhat"] = yhat
-        res["yhat_lower"] = yhat - Z80 * sigma
-        res["yhat_upper"] = yhat + Z80 * sigma
-        return res
-
-    return flagged.groupBy(*series).applyInPandas(fit, out_schema)
+                                use_weather: bool = True, label: str = "no2_mitja") -> DataFrame:
+    """Forecasts of the last ``n_test`` days of every series: series keys, data, y,
+    yhat, yhat_lower, yhat_upper."""
+    return seasonal.forecast(holdout(df, series, "data", n_test), series, use_weather,
+                             label)[1].drop("model")
 
 
 def forecast_output(pred: DataFrame, series: Sequence[str] = (),
@@ -230,75 +113,50 @@ def forecast_output(pred: DataFrame, series: Sequence[str] = (),
     return pred.select(*cols, F.lit(EU_ANNUAL_LIMIT).alias("limit_ue"))
 
 
-def run_record(spark: SparkSession, name: str, params: Mapping, metrics: DataFrame) -> DataFrame:
-    """One ``runs`` row per metrics row: the metrics DataFrame (one row per
-    series or one overall row) becomes a map column, so nothing is
-    collected."""
-    mcols = [c for c in ("mae", "rmse", "mape", "r2") if c in metrics.columns]
-    kv = []
-    for c in mcols:
-        kv += [F.lit(c), F.col(c).cast("double")]
-    pmap = F.create_map(*[x for k, v in params.items() for x in (F.lit(str(k)), F.lit(str(v)))])
-    return metrics.select(
-        F.lit(name).alias("run_name"),
-        F.lit(dt.datetime.now().replace(microsecond=0)).cast("timestamp_ntz").alias("run_ts"),
-        pmap.alias("params"),
-        F.create_map(*kv).alias("metrics"))
-
-
-def log_run(run: DataFrame, runs_path: str) -> None:
-    """Append to the runs table (Parquet)."""
-    run.write.mode("append").parquet(os.path.join(runs_path, "runs"))
-
-
-def compare_runs(runs: DataFrame, base: str, new: str, metric: str = "mae",
-                 digits: int = 1) -> DataFrame:
-    """Percent drop of ``metric`` from run ``base`` to run ``new`` (A15), in
-    one aggregate over the runs table."""
-    v = F.col("metrics")[metric]
-    both = runs.agg(F.max(F.when(F.col("run_name") == base, v)).alias("base"),
-                    F.max(F.when(F.col("run_name") == new, v)).alias("new"))
-    return both.select(
-        F.lit(metric).alias("metrica"), "base", "new",
-        scaled_round(F.try_divide((F.col("base") - F.col("new")) * 100.0, F.col("base")), digits)
-        .alias("millora_pct"))
-
-
 def run_gbt(spark: SparkSession, features_ml: DataFrame, out: str, series: Sequence[str] = (),
-            n_test: int = TEST_DAYS, params: Mapping | None = None,
-            run_name: str = "xgboost_amb_lags") -> dict[str, DataFrame]:
-    """The boosted-tree run: complete-lag rows, hold-out, fit, forecast,
-    metrics, importances; the run row is appended to ``out/runs``, the model
-    saved under ``out/models/<run_name>`` and the forecast rows written."""
+            n_test: int = TEST_DAYS, params: Mapping | None = None, run_name: str = GBT_RUN,
+            attempt: str | None = None) -> dict[str, DataFrame]:
+    """The boosted-tree run: complete-lag rows, hold-out, fit, forecast, metrics,
+    importances; the runs' rows go to ``out/runs``, the trees to
+    ``out/models/<run_name>``, the forecast rows to ``out/forecasts/<run_name>``."""
     train, test = split(model_frame(features_ml), series, n_test)
-    model, pred = gbt_forecast(train, test, params)
-    metrics = regression_metrics(pred, "y", "yhat", series)
-    p = dict(GBT_PARAMS, **(params or {}))
-    log_run(run_record(spark, run_name, {**p, "num_features": len(FEATURES)}, metrics), out)
-    if model is not None:
-        model.write().overwrite().save(os.path.join(out, "models", run_name))
-    forecast = forecast_output(pred, series)
-    forecast.write.mode("overwrite").parquet(os.path.join(out, "forecasts", run_name))
+    trees, pred = gbt_forecast(train, test, params, series=series)
+    at = os.path.join(out, "forecasts", run_name)
+    forecast_output(pred, series).write.mode("overwrite").parquet(at)
+    forecast = spark.read.parquet(at)
+    metrics = regression_metrics(forecast, "y", "yhat", series)
+    ledger.append(ledger.record(metrics, run_name, dict(GBT_PARAMS, **(params or {})), series,
+                                attempt, GBT_NAME, FEATURES), out)
+    trees.write.mode("overwrite").parquet(os.path.join(out, "models", run_name))
     return {"metrics": metrics, "forecast": forecast,
-            "importance": feature_importance(spark, model)}
+            "importance": feature_importance(spark, trees)}
+
+
+def ablation(df: DataFrame, series: Sequence[str], n_test: int,
+             label: str = "no2_mitja") -> DataFrame:
+    """Forecasts of the seasonal model without and with weather (``model``), both
+    solved from one pass over the training rows."""
+    return seasonal.forecast(holdout(df, series, "data", n_test), series, None, label)[1]
 
 
 def run_seasonal_ablation(spark: SparkSession, features_ml: DataFrame, out: str,
-                          series: Sequence[str] = (), n_test: int = TEST_DAYS) -> DataFrame:
-    """Seasonal model without and with weather: two runs logged, forecasts
-    written, and the relative MAE gain returned."""
-    train, test = split(features_ml, series, n_test)
-    for name, weather in (("seasonal_sense_meteo", False), ("seasonal_amb_meteo", True)):
-        _, pred = seasonal_forecast(train, test, use_weather=weather)
-        regs = ",".join(WEATHER_REGRESSORS) if weather else "cap"
-        log_run(run_record(spark, name, {"granularitat": "diaria", "regressors": regs},
-                           regression_metrics(pred, "y", "yhat", series)), out)
+                          series: Sequence[str] = (), n_test: int = TEST_DAYS,
+                          attempt: str | None = None) -> DataFrame:
+    """Seasonal model without and with weather: forecasts written, two runs in the
+    ledger, and the relative MAE gain per series returned."""
+    keys = list(series) or ["_tot"]
+    df = features_ml if series else features_ml.withColumn("_tot", F.lit(1))
+    both = os.path.join(out, "forecasts", "ablation")
+    ablation(df, keys, n_test).write.mode("overwrite").partitionBy("model").parquet(both)
+    for name, regs in ((WITHOUT, []), (WITH, WEATHER_REGRESSORS)):
+        pred = spark.read.parquet(both).where(F.col("model") == name)
         forecast_output(pred, series).write.mode("overwrite").parquet(
             os.path.join(out, "forecasts", name))
-    runs = spark.read.parquet(os.path.join(out, "runs"))
-    latest = runs.groupBy("run_name").agg(F.max("run_ts").alias("run_ts"))
-    return compare_runs(runs.join(latest, ["run_name", "run_ts"]),
-                        "seasonal_sense_meteo", "seasonal_amb_meteo")
+        ledger.append(ledger.record(
+            regression_metrics(pred, "y", "yhat", series), name,
+            {"granularitat": "diaria", "regressors": ", ".join(regs) or "cap"}, series, attempt,
+            "Estacional", regs), out)
+    return ledger.gains(ledger.read(spark, out), WITHOUT, WITH)
 
 
 # ---------------------------------------------------------------- driver queries
@@ -318,7 +176,7 @@ def _model_input(spark, base):
 
 def _driver_gbt(spark, base):
     train, test = split(model_frame(_model_input(spark, base)), SERIES, DRIVER_TEST_DAYS)
-    return gbt_forecast(train, test)
+    return gbt_forecast(train, test, series=SERIES)
 
 
 @query("gbt_forecast")
@@ -329,34 +187,29 @@ def gbt_forecast_q(spark, base):
 
 @query("gbt_importance")
 def gbt_importance_q(spark, base):
-    model, _ = _driver_gbt(spark, base)
-    return feature_importance(spark, model, top=8)
+    trees, _ = _driver_gbt(spark, base)
+    return feature_importance(spark, trees, top=8)
 
 
 @query("seasonal_forecast")
 def seasonal_forecast_q(spark, base):
     train, test = split(_model_input(spark, base), SERIES, DRIVER_TEST_DAYS)
-    _, pred = seasonal_forecast(train, test, use_weather=True)
+    _, pred = seasonal_forecast(train, test, use_weather=True, series=SERIES)
     return forecast_output(pred, SERIES)
 
 
 @query("weather_ablation")
 def weather_ablation_q(spark, base):
-    """Seasonal model without and with weather regressors: hold-out metrics
-    per run and the relative MAE gain, as rows of the runs table."""
-    train, test = split(_model_input(spark, base), SERIES, DRIVER_TEST_DAYS)
-    _, p1 = seasonal_forecast(train, test, use_weather=False)
-    _, p2 = seasonal_forecast(train, test, use_weather=True)
-    r1 = run_record(spark, "seasonal_sense_meteo", {"regressors": "cap"},
-                    regression_metrics(p1, "y", "yhat"))
-    r2 = run_record(spark, "seasonal_amb_meteo", {"regressors": ",".join(WEATHER_REGRESSORS)},
-                    regression_metrics(p2, "y", "yhat"))
-    runs = r1.unionByName(r2)
-    gain = compare_runs(runs, "seasonal_sense_meteo", "seasonal_amb_meteo")
-    return runs.select("run_name", F.col("metrics")["mae"].alias("mae"),
-                       F.col("metrics")["rmse"].alias("rmse"),
-                       F.col("metrics")["r2"].alias("r2"),
-                       gain.select("millora_pct").scalar().alias("millora_pct"))
+    """Seasonal model without and with weather regressors: hold-out metrics per
+    run and series, and the series' relative MAE gain."""
+    pred = ablation(_model_input(spark, base), SERIES, DRIVER_TEST_DAYS)
+    per = regression_metrics(pred, "y", "yhat", [*SERIES, "model"])
+    mae = lambda name: F.max(F.when(F.col("model") == name, F.col("mae")))
+    gain = F.try_divide((mae(WITHOUT) - mae(WITH)) * 100.0, mae(WITHOUT))
+    return per.groupBy(*SERIES).agg(
+        scaled_round(gain, 1).alias("millora_pct"),
+        F.collect_list(F.struct("model", "mae", "rmse", "r2")).alias("_r")).select(
+        *SERIES, F.inline("_r"), "millora_pct").withColumnRenamed("model", "run_name")
 
 
 @query("seasonal_forecast_series")
@@ -365,3 +218,33 @@ def seasonal_forecast_series_q(spark, base):
     all series fitted in parallel."""
     pred = seasonal_forecast_by_series(_model_input(spark, base), SERIES, DRIVER_TEST_DAYS)
     return forecast_output(pred, SERIES)
+
+
+@query("run_gain", S.with_(S.MEASURES, S.CAL, S.CONTEXT, S.FEATURES) + """
+, h AS (
+  SELECT magnitud, no2_mitja AS y, no2_lag1, no2_mm7,
+         ROW_NUMBER() OVER (PARTITION BY magnitud ORDER BY data DESC) AS rn FROM feat),
+e AS (
+  SELECT magnitud,
+         """ + S.rnd("AVG(ABS(y - no2_lag1)) FILTER (WHERE y IS NOT NULL AND no2_lag1 IS NOT NULL)", 4) + """ AS base,
+         """ + S.rnd("AVG(ABS(y - no2_mm7)) FILTER (WHERE y IS NOT NULL AND no2_mm7 IS NOT NULL)", 4) + """ AS "new"
+  FROM h WHERE rn <= 7 GROUP BY magnitud)
+SELECT '{"magnitud":"' || magnitud || '"}' AS serie, 'mae' AS metrica, base, "new",
+       """ + S.rnd("(base - \"new\") * 100.0 / base", 1) + """ AS millora_pct
+FROM e WHERE base IS NOT NULL AND "new" IS NOT NULL""")
+def run_gain_q(spark, base):
+    """Two stored forecasts of the hold-out days (yesterday's value, the trailing
+    week's mean) as two runs of a ledger, written twice, and the gain per series
+    read from it."""
+    out = scratch_path(spark, "run_gain")
+    held = holdout(_model_input(spark, base), SERIES, "data", DRIVER_TEST_DAYS).where("es_test")
+    runs = {"persistencia": "no2_lag1", "mitjana_7d": "no2_mm7"}
+    held.select(*SERIES, "data", F.col("no2_mitja").alias("y"), F.explode(F.map_from_arrays(
+        F.array(*map(F.lit, runs)), F.array(*map(F.col, runs.values())))).alias("run", "yhat")
+    ).write.partitionBy("run").parquet(os.path.join(out, "forecasts"))
+    stored = spark.read.parquet(os.path.join(out, "forecasts"))
+    for name in [*runs, *runs]:
+        metrics = regression_metrics(stored.where(F.col("run") == name), "y", "yhat", SERIES)
+        ledger.append(ledger.record(metrics, name, {"dies_test": DRIVER_TEST_DAYS}, SERIES, "1",
+                                    "Referencia"), out)
+    return ledger.gains(ledger.read(spark, out), *runs)

@@ -8,6 +8,7 @@ entry point only.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -57,3 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str
         configured = tempfile.mkdtemp(prefix="aerolith-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the checkpoint folder, for tables that a job writes
+    and reads again."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/aerolith/{name}-{uuid.uuid4().hex}"
