@@ -56,6 +56,54 @@ def exact_mean(c: ColumnOrName, scale: int | None = 2) -> Column:
     return F.try_divide(exact_sum(c, scale), F.count(_col(c)).cast("double"))
 
 
+def sum_parts(c: str, scale: int | None = 2) -> list[Column]:
+    """Aggregates that can be summed again exactly: ``c_hi`` and ``c_lo`` (the two
+    halves of the fixed-point sum; with ``scale`` None a plain ``c_sum`` alone),
+    ``c_n``, ``c_max`` and ``c_sum`` (as a double)."""
+    v = F.col(c)
+    out = [exact_sum(c, scale).alias(f"{c}_sum"), F.count(v).alias(f"{c}_n"),
+           F.max(v).alias(f"{c}_max")]
+    if scale is not None:
+        fp = fixed_point(c, scale)
+        out += [F.sum(F.shiftright(fp, 20)).alias(f"{c}_hi"),
+                F.sum(fp.bitwiseAND(F.lit(_LOW))).alias(f"{c}_lo")]
+    return out
+
+
+def parts_sum(c: str, scale: int | None = 2, where: Column | None = None) -> Column:
+    """Aggregate: the sum of ``c`` from its parts."""
+    kept = (lambda x: F.when(where, F.col(x))) if where is not None else F.col
+    if scale is None:
+        return F.sum(kept(f"{c}_sum"))
+    high, low = F.sum(kept(f"{c}_hi")), F.sum(kept(f"{c}_lo"))
+    return ((high.cast("decimal(28,0)") * F.lit(_LOW + 1) + low).cast("double")
+            / F.lit(float(10 ** scale)))
+
+
+def parts_mean(c: str, scale: int | None = 2, where: Column | None = None) -> Column:
+    """Aggregate: the mean of ``c`` from its parts."""
+    n = F.col(f"{c}_n") if where is None else F.when(where, F.col(f"{c}_n"))
+    return F.try_divide(parts_sum(c, scale, where), F.sum(n).cast("double"))
+
+
+def weighted_sum(c: ColumnOrName, weight: ColumnOrName, scale: int | None = 2) -> Column:
+    """Aggregate: the sum of ``c`` with each row counted ``weight`` times; exact
+    with a ``scale``."""
+    c, weight = _col(c), _col(weight)
+    if scale is None:
+        return F.sum(c * weight)
+    v = fixed_point(c, scale)
+    high, low = F.sum(F.shiftright(v, 20) * weight), F.sum(v.bitwiseAND(F.lit(_LOW)) * weight)
+    return ((high.cast("decimal(28,0)") * F.lit(_LOW + 1) + low).cast("double")
+            / F.lit(float(10 ** scale)))
+
+
+def weighted_mean(c: ColumnOrName, weight: ColumnOrName, scale: int | None = 2) -> Column:
+    """Aggregate: the mean of ``c`` over rows counted ``weight`` times."""
+    n = F.sum(F.when(_col(c).isNotNull(), _col(weight))).cast("double")
+    return F.try_divide(weighted_sum(c, weight, scale), n)
+
+
 def safe_corr(y: ColumnOrName, x: ColumnOrName) -> Column:
     """Aggregate: Pearson correlation, NULL when either side has no variance."""
     y, x = _col(y), _col(x)

@@ -183,7 +183,9 @@ def fit_series(train: DataFrame, series: Sequence[str], features: Sequence[str],
             out.insert(at, key, group[key].iloc[0])
         return out
 
-    return rows.groupBy(*series).applyInPandas(fit, schema)
+    # A stated number of partitions, so that small groups are not put into one task.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, *series).groupBy(*series).applyInPandas(fit, schema)
 
 
 def predict_series(rows: DataFrame, trees: DataFrame, series: Sequence[str],

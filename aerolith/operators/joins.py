@@ -50,13 +50,14 @@ def last_days(df: DataFrame, date_col: str, days: int,
 def coverage(fact: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``fact ⋈ dim`` on ``keys`` against rows of ``fact``, with the
     percentage to one decimal. Duplicate dimension keys multiply matches, as
-    an inner join would; the dimension is first reduced to one row per key,
-    so the fact is read once and not expanded."""
+    an inner join would; both sides are first counted per key, so the fact is
+    read once, not expanded, and meets the dimension as one row per key."""
     per_key = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"))
-    joined = fact.select(*keys).join(per_key, list(keys), "left")
+    facts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_f"))
+    joined = facts.join(per_key, list(keys), "left")
     return joined.agg(
-        F.coalesce(F.sum("_m"), F.lit(0)).cast("long").alias("amb_context"),
-        F.count(F.lit(1)).alias("total_fets"),
+        F.coalesce(F.sum(F.col("_m") * F.col("_f")), F.lit(0)).cast("long").alias("amb_context"),
+        F.coalesce(F.sum("_f"), F.lit(0)).cast("long").alias("total_fets"),
     ).withColumn("percentatge", pct("amb_context", "total_fets", 1))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import fixed_point, scaled_round
@@ -27,6 +27,15 @@ def add_lags(df: DataFrame, series: Sequence[str], order: str,
     return df.withColumns({out: F.lag(c, n).over(w) for out, (c, n) in lags.items()})
 
 
+def frame_mean(c: str, frame, scale: int | None = 2) -> Column:
+    """The mean of a column over a window frame of a few rows; with ``scale`` its
+    sum is fixed-point, so exact."""
+    if scale is None:
+        return F.avg(c).over(frame)
+    return F.try_divide(F.sum(fixed_point(c, scale)).over(frame).cast("double")
+                        / F.lit(float(10 ** scale)), F.count(c).over(frame).cast("double"))
+
+
 def add_trailing_means(df: DataFrame, series: Sequence[str], order: str,
                        means: Mapping[str, tuple[str, int]], digits: int = 2,
                        scale: int | None = 2) -> DataFrame:
@@ -36,14 +45,7 @@ def add_trailing_means(df: DataFrame, series: Sequence[str], order: str,
     base = series_window(series, order)
     cols = {}
     for out, (c, k) in means.items():
-        w = base.rowsBetween(-k, -1)
-        if scale is None:
-            m = F.avg(c).over(w)
-        else:
-            m = F.try_divide(F.sum(fixed_point(c, scale)).over(w).cast("double")
-                             / F.lit(float(10 ** scale)),
-                             F.count(c).over(w).cast("double"))
-        cols[out] = scaled_round(m, digits)
+        cols[out] = scaled_round(frame_mean(c, base.rowsBetween(-k, -1), scale), digits)
     return df.withColumns(cols)
 
 

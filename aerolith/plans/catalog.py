@@ -16,14 +16,16 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions.json_fields import json_text
-from ..functions.numeric import exact_mean, exact_sum, fixed_point, safe_corr, scaled_round
+from ..functions.numeric import exact_mean, exact_sum, parts_mean, scaled_round, weighted_mean
 from ..operators import quality as Q
 from ..operators.aggregates import dim_by_key, distribution, gap_audit, grouped_stats, range_stats
 from ..operators.calendar import calendar_dim
 from ..operators.dense_id import dense_ids
 from ..operators.joins import coverage, last_days, scalars_row, with_total
 from ..operators.metrics import regression_metrics
+from ..operators.quantile import exact_quantile
 from ..operators.reshape import in_range, pivot_hours, unpivot, unpivot_hours, valid_measurements
+from ..operators.star import corr_of_sums, per_key, pruned
 from ..operators.windows import holdout
 from ..sources.bronze import select_newest, weather_payload_rows
 from ..sources.tables import read_table
@@ -53,10 +55,11 @@ SC = DM.SCALE
 
 
 def _daily_base(spark: SparkSession, base: str) -> DataFrame:
+    # Readings are summed per pollutant and hour before they meet the weather.
     fact = DM.measures(spark, base).select("magnitud", "data", "id_temps", "hora", "valor")
-    joined = (DM.calendar_attributes(fact)
-              .join(DM.context(spark, base), ["id_temps", "hora"]))
-    return FE.daily_base(joined, ["magnitud"], DM.MIN_HOURS, scale=SC)
+    sums = per_key(fact, ["magnitud", "data", "id_temps", "hora"], {"valor": SC})
+    joined = DM.calendar_attributes(sums.join(DM.context(spark, base), ["id_temps", "hora"]))
+    return FE.daily_of_sums(joined, ["magnitud"], DM.MIN_HOURS, scale=SC)
 
 
 def _features(spark: SparkSession, base: str) -> DataFrame:
@@ -66,9 +69,10 @@ def _features(spark: SparkSession, base: str) -> DataFrame:
 
 def _target_fact(spark: SparkSession, base: str) -> DataFrame:
     """Fact rows of the target pollutant, selected through the pollutant
-    dimension as the original does (``WHERE c.contaminant = ...``)."""
-    p = DM.pollutants(spark, base).where(F.col("contaminant") == DM.TARGET_POLLUTANT)
-    return DM.fact(spark, base).join(p.select("magnitud"), "magnitud")
+    dimension as the original does (``WHERE c.contaminant = ...``): the
+    dimension's matching keys are a filter of the fact's scan."""
+    return pruned(DM.fact(spark, base), DM.pollutants(spark, base), "magnitud",
+                  F.col("contaminant") == DM.TARGET_POLLUTANT)
 
 
 # ---------------------------------------------------------------- silver
@@ -310,10 +314,7 @@ def star_mean(spark, base):
     with customer moves one row per customer rather than one per order; the
     partials are combined per nation after the joins."""
     o = read_table(spark, base, "orders", ["o_custkey", "o_totalprice"])
-    per = o.groupBy("o_custkey").agg(F.sum(fixed_point("o_totalprice", SC)).alias("_s"),
-                                     F.count("o_totalprice").alias("_c"),
-                                     F.max("o_totalprice").alias("_mx"),
-                                     F.count(F.lit(1)).alias("_n"))
+    per = per_key(o, ["o_custkey"], {"o_totalprice": SC})
     c = (read_table(spark, base, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
          .where(F.col("c_mktsegment") == "BUILDING"))
     n = read_table(spark, base, "nation", ["n_nationkey", "n_name", "n_regionkey"])
@@ -321,20 +322,24 @@ def star_mean(spark, base):
     j = (per.join(c, per.o_custkey == c.c_custkey)
             .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
             .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
-    mean = F.try_divide(F.sum("_s").cast("double") / F.lit(float(10 ** SC)),
-                        F.sum("_c").cast("double"))
     return j.groupBy("n_name", "r_name").agg(
-        r1(mean).alias("preu_mitja"),
-        r1(F.max("_mx")).alias("preu_max"),
-        F.sum("_n").cast("long").alias("n"))
+        r1(parts_mean("o_totalprice", SC)).alias("preu_mitja"),
+        r1(F.max("o_totalprice_max")).alias("preu_max"),
+        F.sum("_rows").cast("long").alias("n"))
 
 
 # ---------------------------------------------------------------- fact x context
 
+def _ctx_sums(spark, base, squares=False):
+    """The target's readings summed per hour, beside that hour's weather."""
+    sums = per_key(_target_fact(spark, base), ["id_temps", "hora"], {"valor": SC}, squares)
+    return sums.join(DM.context(spark, base), ["id_temps", "hora"])
+
+
 def _ctx_grouped(spark, base, key):
-    j = _target_fact(spark, base).join(DM.context(spark, base), ["id_temps", "hora"])
-    return j.groupBy(key).agg(r1(exact_mean("valor", SC)).alias("no2_mitja"),
-                              F.count(F.lit(1)).alias("num_mesures"))
+    return _ctx_sums(spark, base).groupBy(key).agg(
+        r1(parts_mean("valor", SC)).alias("no2_mitja"),
+        F.sum("_rows").cast("long").alias("num_mesures"))
 
 
 _CTX_FROM = """
@@ -365,8 +370,8 @@ WHERE c.contaminant = '""" + DM.TARGET_POLLUTANT + """'
 GROUP BY t.es_cap_setmana""")
 def weekend_mean(spark, base):
     cal = DM.calendar(spark, base).select("id_temps", "es_cap_setmana")
-    j = _target_fact(spark, base).join(cal, "id_temps")
-    return j.groupBy("es_cap_setmana").agg(r1(exact_mean("valor", SC)).alias("no2_mitja"))
+    j = per_key(_target_fact(spark, base), ["id_temps"], {"valor": SC}).join(cal, "id_temps")
+    return j.groupBy("es_cap_setmana").agg(r1(parts_mean("valor", SC)).alias("no2_mitja"))
 
 
 @query("month_context", S.with_(S.MEASURES, S.POLLUTANTS, S.CAL, S.CONTEXT) + """
@@ -379,10 +384,10 @@ WHERE c.contaminant = '""" + DM.TARGET_POLLUTANT + """'
 GROUP BY t.mes""")
 def month_context(spark, base):
     cal = DM.calendar(spark, base).select("id_temps", "mes")
-    j = (_target_fact(spark, base).join(cal, "id_temps")
-         .join(DM.context(spark, base), ["id_temps", "hora"]))
-    return j.groupBy("mes").agg(r1(exact_mean("valor", SC)).alias("no2_mitja"),
-                                r1(exact_mean("temperatura", SC)).alias("temp_mitja")).orderBy("mes")
+    j = _ctx_sums(spark, base).join(cal, "id_temps")
+    return j.groupBy("mes").agg(
+        r1(parts_mean("valor", SC)).alias("no2_mitja"),
+        r1(weighted_mean("temperatura", "_rows", SC)).alias("temp_mitja")).orderBy("mes")
 
 
 @query("corr_matrix", S.with_(S.MEASURES, S.POLLUTANTS, S.CONTEXT) + """
@@ -391,8 +396,8 @@ SELECT """ + ",\n       ".join(
     for n, c in (("temperatura", "temperatura"), ("vent", "vent_velocitat"),
                  ("humitat", "humitat"), ("pressio", "pressio"))) + _CTX_FROM)
 def corr_matrix(spark, base):
-    j = _target_fact(spark, base).join(DM.context(spark, base), ["id_temps", "hora"])
-    return j.agg(*[scaled_round(safe_corr("valor", c), 3).alias(f"corr_{n}")
+    j = _ctx_sums(spark, base, squares=True)
+    return j.agg(*[scaled_round(corr_of_sums("valor", c), 3).alias(f"corr_{n}")
                    for n, c in (("temperatura", "temperatura"), ("vent", "vent_velocitat"),
                                 ("humitat", "humitat"), ("pressio", "pressio"))])
 
@@ -417,13 +422,12 @@ FROM (SELECT
 def finding_ratio(spark, base):
     """The published findings: percent drop of the target with strong wind
     (against calm) and with rain (against dry hours)."""
-    j = _target_fact(spark, base).join(DM.context(spark, base), ["id_temps", "hora"])
-    v = F.col("valor")
-    means = j.agg(
-        exact_mean(F.when(F.col("categoria_vent") == D.WIND_CALM, v), SC).alias("calma"),
-        exact_mean(F.when(F.col("categoria_vent") == D.WIND_STRONG, v), SC).alias("fort"),
-        exact_mean(F.when(~F.col("plou"), v), SC).alias("sec"),
-        exact_mean(F.when(F.col("plou"), v), SC).alias("pluja"))
+    mean = lambda kept: parts_mean("valor", SC, kept)
+    means = _ctx_sums(spark, base).agg(
+        mean(F.col("categoria_vent") == D.WIND_CALM).alias("calma"),
+        mean(F.col("categoria_vent") == D.WIND_STRONG).alias("fort"),
+        mean(~F.col("plou")).alias("sec"),
+        mean(F.col("plou")).alias("pluja"))
     return means.select(
         r1(F.try_divide((F.col("calma") - F.col("fort")) * F.lit(100.0), F.col("calma")))
         .alias("caiguda_vent_fort"),
@@ -526,6 +530,21 @@ def distribution_q(spark, base):
     return distribution(_features(spark, base), "no2_mitja", ["magnitud"], digits=1, scale=SC)
 
 
+@query("station_medians", S.with_(S.MEASURES) + """
+SELECT codi_eoi, MEDIAN(valor) AS mediana FROM m GROUP BY codi_eoi""")
+def station_medians(spark, base):
+    """The exact median of all raw readings of each station, by refined
+    histograms: no task holds a station's readings."""
+    return exact_quantile(DM.measures(spark, base), "valor", ["codi_eoi"])
+
+
+@query("pollutant_medians", S.with_(S.MEASURES) + """
+SELECT magnitud, MEDIAN(valor) AS mediana FROM m GROUP BY magnitud""")
+def pollutant_medians(spark, base):
+    """The exact median per pollutant, groups of a large share of all readings."""
+    return exact_quantile(DM.measures(spark, base), "valor", ["magnitud"])
+
+
 @query("last_30_days", S.with_(S.MEASURES, S.CAL, S.CONTEXT, S.FEATURES) + """
 SELECT magnitud, """ + S.rnd("MIN(no2_mitja)", 1) + """ AS minim,
        """ + S.rnd(S.xmean("no2_mitja"), 1) + """ AS mitjana,
@@ -645,19 +664,15 @@ def station_means(spark, base):
     station name and type."""
     li = (read_table(spark, base, "lineitem", ["l_suppkey", "l_returnflag", "l_quantity"])
           .where(F.col("l_returnflag") == "R"))
-    per = li.groupBy("l_suppkey").agg(F.sum(fixed_point("l_quantity", SC)).alias("_s"),
-                                      F.count("l_quantity").alias("_c"),
-                                      F.max("l_quantity").alias("_mx"),
-                                      F.count(F.lit(1)).alias("_n"))
+    per = per_key(li, ["l_suppkey"], {"l_quantity": SC})
     sup = read_table(spark, base, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
     nat = read_table(spark, base, "nation", ["n_nationkey", "n_name"])
     j = (per.join(sup, per.l_suppkey == sup.s_suppkey)
             .join(nat, F.col("s_nationkey") == F.col("n_nationkey")))
-    mean = F.try_divide(F.sum("_s").cast("double") / F.lit(float(10 ** SC)),
-                        F.sum("_c").cast("double"))
     out = j.groupBy(F.col("s_name").alias("nom_estacio"), F.col("n_name").alias("tipus_estacio")).agg(
-        r1(mean).alias("no2_mitja"), r1(F.max("_mx")).alias("no2_max"),
-        F.sum("_n").cast("long").alias("num_mesures"))
+        r1(parts_mean("l_quantity", SC)).alias("no2_mitja"),
+        r1(F.max("l_quantity_max")).alias("no2_max"),
+        F.sum("_rows").cast("long").alias("num_mesures"))
     return out.orderBy(F.col("no2_mitja").desc(), "nom_estacio")
 
 

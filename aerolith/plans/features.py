@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_of_year_cos, day_of_year_sin
-from ..functions.numeric import exact_mean, exact_sum, fixed_point, safe_corr, scaled_round
-from ..operators.windows import add_lags, add_trailing_means
+from ..functions.numeric import (exact_mean, exact_sum, parts_mean, safe_corr, scaled_round,
+                                 weighted_mean, weighted_sum)
+from ..operators.star import per_key, pruned
+from ..operators.windows import add_lags, add_trailing_means, frame_mean
 
 
 def star(fact: DataFrame, pollutants: DataFrame | None, stations: DataFrame | None,
@@ -67,7 +69,49 @@ def daily_base(joined: DataFrame, series: Sequence[str] = (), min_hours: int = 1
     return base.where(F.col("hores_amb_dada") >= min_hours)
 
 
-def ml_features(base: DataFrame, series: Sequence[str] = ()) -> DataFrame:
+def star_daily(fact: DataFrame, pollutants: DataFrame | None, stations: DataFrame | None,
+               calendar: DataFrame, weather: DataFrame, series: Sequence[str] = (),
+               min_hours: int = 18, scale: int | None = None, pollutant: str | None = None,
+               station: str | None = None) -> DataFrame:
+    """``daily_base(star(...))`` for series that are no single stations, without
+    moving the fact: the pollutants' and stations' keys are filters of its scan, and
+    its readings are summed per (series, day, hour) before they meet the calendar
+    and the weather."""
+    f = fact
+    if pollutants is not None:
+        f = pruned(f, pollutants, "magnitud", F.lit(True) if pollutant is None
+                   else F.col("contaminant") == pollutant)
+    if stations is not None:
+        f = pruned(f, stations, "codi_eoi", F.lit(True) if station is None
+                   else F.col("nom_estacio") == station)
+    sums = per_key(f, [*series, "id_temps", "hora"], {"valor": scale})
+    cal = calendar.select("id_temps", "data", "dia_setmana_num", "es_cap_setmana", "mes",
+                          F.col("any").alias("any_"))
+    return daily_of_sums(sums.join(weather, ["id_temps", "hora"]).join(cal, "id_temps"),
+                         series, min_hours, scale)
+
+
+def daily_of_sums(joined: DataFrame, series: Sequence[str] = (), min_hours: int = 18,
+                  scale: int | None = None) -> DataFrame:
+    """``daily_base`` from rows that stand for ``_rows`` readings each."""
+    r2 = lambda c: scaled_round(c, 2)
+    mean = lambda c: r2(weighted_mean(c, "_rows", scale)).alias(c)
+    base = joined.groupBy(*series, "data").agg(
+        r2(parts_mean("valor", scale)).alias("no2_mitja"),
+        r2(F.max("valor_max")).alias("no2_max"),
+        mean("temperatura"), mean("humitat"),
+        r2(weighted_sum("precipitacio", "_rows", scale)).alias("precipitacio"),
+        mean("vent_velocitat"), r2(F.max("vent_velocitat")).alias("vent_max"), mean("pressio"),
+        F.any_value("dia_setmana_num", True).alias("dia_setmana_num"),
+        F.any_value("es_cap_setmana", True).alias("es_cap_setmana"),
+        F.any_value("mes", True).alias("mes"),
+        F.any_value("any_", True).alias("any_"),
+        F.sum("_rows").cast("long").alias("hores_amb_dada"),
+    )
+    return base.where(F.col("hores_amb_dada") >= min_hours)
+
+
+def ml_features(base: DataFrame, series: Sequence[str] = (), scale: int | None = 2) -> DataFrame:
     """Row-based lags (a missing day is skipped, not NULL), trailing means
     over the previous 3 and 7 rows, previous-day weather and the day-of-year
     angle. All windows share one spec, so Spark sorts once."""
@@ -79,7 +123,7 @@ def ml_features(base: DataFrame, series: Sequence[str] = ()) -> DataFrame:
     out = add_trailing_means(out, series, "data", {
         "no2_mm3": ("no2_mitja", 3),
         "no2_mm7": ("no2_mitja", 7),
-    }, digits=2, scale=2)
+    }, digits=2, scale=scale)
     out = add_lags(out, series, "data", {
         "vent_lag1": ("vent_velocitat", 1),
         "precip_lag1": ("precipitacio", 1),
@@ -90,7 +134,8 @@ def ml_features(base: DataFrame, series: Sequence[str] = ()) -> DataFrame:
     })
 
 
-def calendar_gap_features(base: DataFrame, series: Sequence[str] = ()) -> DataFrame:
+def calendar_gap_features(base: DataFrame, series: Sequence[str] = (),
+                          scale: int | None = 2) -> DataFrame:
     """Variant where a lag of n means n calendar days and the trailing means
     cover the previous 3 / 7 calendar days (missing days are skipped, not
     filled). Expressed with RANGE frames over a day number on the same
@@ -103,9 +148,7 @@ def calendar_gap_features(base: DataFrame, series: Sequence[str] = ()) -> DataFr
         return F.max(c).over(w.rangeBetween(-n, -n))
 
     def trailing(c: str, k: int):
-        f = w.rangeBetween(-k, -1)
-        return scaled_round(F.try_divide(F.sum(fixed_point(c, 2)).over(f).cast("double") / F.lit(100.0),
-                                         F.count(c).over(f).cast("double")), 2)
+        return scaled_round(frame_mean(c, w.rangeBetween(-k, -1), scale), 2)
 
     out = base.withColumn("_dn", dn).withColumns({
         "no2_lag1": back("no2_mitja", 1),

@@ -14,8 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numeric import fixed_point
+from ..functions.numeric import exact_sum
 from ..operators.reshape import pivot_hours
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import read_table
 from . import driver_map as DM
 from . import features as FE
@@ -33,12 +34,11 @@ def _u(m: int) -> F.Column:
 
 def landed_records(spark: SparkSession, base: str) -> DataFrame:
     ev = read_table(spark, base, "events", ["ts", "user_id", "event_type", "value"])
-    # One shuffle: the per-hour fixed-point sums are pivoted directly (partial
-    # aggregation per task), then each hour column becomes its text cell.
-    sums = pivot_hours(ev.select("user_id", "event_type", F.to_date("ts").alias("d"),
-                                 (F.hour("ts") + 1).cast("int").alias("h"),
-                                 fixed_point("value", 2).alias("fp")),
-                       ["user_id", "event_type", "d"], "h", F.sum("fp"))
+    # The per-hour exact sums, then each hour's cell is picked out of its day.
+    hourly = ev.groupBy("user_id", "event_type", F.to_date("ts").alias("d"),
+                        (F.hour("ts") + 1).cast("int").alias("h")).agg(
+        exact_sum("value", DM.SCALE).alias("s"))
+    sums = pivot_hours(hourly, ["user_id", "event_type", "d"], "h", F.max("s"))
 
     def cell(h: int) -> F.Column:
         v = F.col(f"h{h:02d}")
@@ -46,7 +46,7 @@ def landed_records(spark: SparkSession, base: str) -> DataFrame:
         return (F.when(v.isNull(), F.lit(None).cast("string"))
                  .when(junk == 0, F.lit("n/a"))
                  .when(junk == 1, F.lit(""))
-                 .otherwise((v.cast("double") / F.lit(100.0)).cast("string")))
+                 .otherwise(v.cast("string")))
 
     wide = sums.select("user_id", "event_type", "d", *[cell(h).alias(f"h{h:02d}") for h in range(1, 25)])
     uid = F.col("user_id").cast("string")
@@ -94,11 +94,13 @@ def features(spark: SparkSession, base: str) -> DataFrame:
     hourly weather) over the landed gold tables, then the daily base per
     pollutant and the window features. The hourly weather is the
     ``view``-event stand-in of ``driver_map``."""
-    s = silver(spark, base)
-    joined = FE.star(gold.fact_measures(s, with_id=False), gold.dim_pollutant(s),
-                     gold.dim_station(s), gold.dim_calendar(s), DM.context(spark, base))
-    daily = FE.daily_base(joined, ["magnitud"], DM.MIN_HOURS, scale=2)
-    return FE.ml_features(daily, ["magnitud"])
+    # Written once, as the refresh does: the fact and three dimensions read it.
+    ensure_checkpoint_dir(spark)
+    s = silver(spark, base).checkpoint(eager=True)
+    daily = FE.star_daily(gold.fact_measures(s, with_id=False), gold.dim_pollutant(s),
+                          gold.dim_station(s), gold.dim_calendar(s), DM.context(spark, base),
+                          ["magnitud"], DM.MIN_HOURS, scale=DM.SCALE)
+    return FE.ml_features(daily, ["magnitud"], scale=DM.SCALE)
 
 
 def fact_with_ids(spark: SparkSession, base: str) -> DataFrame:

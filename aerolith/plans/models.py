@@ -147,7 +147,7 @@ def run_seasonal_ablation(spark: SparkSession, features_ml: DataFrame, out: str,
     keys = list(series) or ["_tot"]
     df = features_ml if series else features_ml.withColumn("_tot", F.lit(1))
     both = os.path.join(out, "forecasts", "ablation")
-    ablation(df, keys, n_test).write.mode("overwrite").partitionBy("model").parquet(both)
+    ablation(df, keys, n_test).write.mode("overwrite").parquet(both)
     for name, regs in ((WITHOUT, []), (WITH, WEATHER_REGRESSORS)):
         pred = spark.read.parquet(both).where(F.col("model") == name)
         forecast_output(pred, series).write.mode("overwrite").parquet(
@@ -241,7 +241,7 @@ def run_gain_q(spark, base):
     runs = {"persistencia": "no2_lag1", "mitjana_7d": "no2_mm7"}
     held.select(*SERIES, "data", F.col("no2_mitja").alias("y"), F.explode(F.map_from_arrays(
         F.array(*map(F.lit, runs)), F.array(*map(F.col, runs.values())))).alias("run", "yhat")
-    ).write.partitionBy("run").parquet(os.path.join(out, "forecasts"))
+    ).write.parquet(os.path.join(out, "forecasts"))
     stored = spark.read.parquet(os.path.join(out, "forecasts"))
     for name in [*runs, *runs]:
         metrics = regression_metrics(stored.where(F.col("run") == name), "y", "yhat", SERIES)

@@ -172,3 +172,55 @@ def test_top_n_matches_a_sort(spark, n):
     key = lambda r: (r[0] is None, -(r[0] or 0), r[1], r[2])  # noqa: E731  a desc nulls last
     want = sorted(r[2] for r in sorted(rows, key=key)[:n])
     assert got == want
+
+
+@pytest.mark.parametrize("buckets", [2, 1024])
+def test_exact_quantiles(spark, buckets):
+    import math
+    import random
+
+    import numpy as np
+    from aerolith.operators.quantile import exact_quantile
+
+    rng = random.Random(buckets)
+    groups = {
+        "even": [1.0, 2.0, 10.0, 4.0], "one": [7.5], "ties": [3.0] * 50 + [4.0] * 50,
+        "zeros": [0.0, -0.0, 0.0], "wide": [-1.7e308, 1.7e308, 5e-324, 0.0, 1e300],
+        "hot": [round(rng.lognormvariate(0, 3), 2) for _ in range(4001)],
+        None: [rng.gauss(0, 1) for _ in range(100)], "empty": []}
+    rows = [(k, v) for k, vs in groups.items() for v in vs]
+    rows += [("empty", None), ("even", None), ("one", float("nan"))]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(6)
+    for p in (0.5, 0.25, 1.0):
+        found = {r.k: r.mediana for r in exact_quantile(df, "v", ["k"], p, buckets=buckets).collect()}
+        assert set(found) == set(groups)
+        for k, vs in groups.items():
+            if not vs:
+                assert found[k] is None
+            elif k == "wide":
+                assert p != 0.5 or found[k] == 5e-324
+            else:
+                assert math.isclose(found[k], float(np.quantile(vs, p)), rel_tol=1e-12, abs_tol=1e-300)
+    assert exact_quantile(df, "v").first().mediana is not None
+    assert exact_quantile(df.where("k = 'even'"), "v").first().mediana == 3.0
+    assert exact_quantile(df.limit(0), "v", ["k"]).count() == 0
+
+
+def test_sums_per_key_then_combined_are_exact(spark):
+    from aerolith.functions.numeric import exact_mean, parts_mean, parts_sum, weighted_mean
+    from aerolith.operators.star import corr_of_sums, per_key, pruned
+
+    rows = [(i % 7, i % 3, (i * 37 % 1000) / 100, None if i % 11 == 0 else float(i % 5)) for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, g int, v double, w double")
+    dim = spark.createDataFrame([(k, float(k * k), k % 2 == 0) for k in range(6)], "k int, x double, even boolean")
+    plain = df.join(dim, "k").agg(exact_mean("v").alias("m"), exact_mean("x").alias("x"),
+                                  F.corr("v", "x").alias("c")).first()
+    sums = per_key(df, ["k"], {"v": 2, "w": None}, squares=True).join(dim, "k")
+    got = sums.agg(parts_mean("v").alias("m"), weighted_mean("x", "_rows").alias("x"),
+                   corr_of_sums("v", "x").alias("c"), parts_sum("w", None).alias("w")).first()
+    assert (got.m, got.x) == (plain.m, plain.x) and got.c == pytest.approx(plain.c)
+    assert got.w == sum(r[3] or 0 for r in rows if r[0] < 6)
+    for most in (1000, 1):
+        kept = pruned(df, dim, "k", F.col("even"), most)
+        assert kept.count() == sum(r[0] in (0, 2, 4) for r in rows)
+    assert pruned(df, dim, "k", F.lit(False)).count() == 0
