@@ -30,6 +30,8 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--json-lines", action="store_true", help="landed air files are JSON Lines")
     r.add_argument("--no-export", action="store_true")
     r.add_argument("--fail-on-check", action="store_true")
+    r.add_argument("--max-bad-records", type=int, default=0,
+                   help="landed records that may be left out (kept in quarantine)")
     t = sub.add_parser("train")
     t.add_argument("--lake", required=True)
     t.add_argument("--station", default="Barcelona (Eixample)")
@@ -42,7 +44,8 @@ def main(argv: list[str] | None = None) -> None:
         from .plans import refresh
         cfg = refresh.RefreshConfig(municipi=a.municipi, limit=a.limit, air_json_lines=a.json_lines,
                                     weather_start=a.weather_start, weather_end=a.weather_end,
-                                    export=not a.no_export, fail_on_check=a.fail_on_check)
+                                    export=not a.no_export, fail_on_check=a.fail_on_check,
+                                    max_bad_records=a.max_bad_records)
         res = refresh.run(spark, a.air, a.weather, a.out, cfg)
         print(json.dumps(res.counts))
         res.checks.show(truncate=False)
@@ -51,7 +54,9 @@ def main(argv: list[str] | None = None) -> None:
         from pyspark.sql import functions as F
 
         from .plans import models
-        feats = spark.read.parquet(os.path.join(a.lake, "gold_features_ml")).where(
+        from .sources import versions
+        lake = versions.current(spark, a.lake)
+        feats = spark.read.parquet(os.path.join(lake, "gold_features_ml")).where(
             (F.col("nom_estacio") == a.station) & (F.col("contaminant") == a.pollutant))
         series = ["codi_eoi", "magnitud"]
         res = models.run_gbt(spark, feats, a.lake, series, a.test_days)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import scaled_round
+from ..sources.versions import exists
 
 KEYS = ["run_name", "serie", "attempt"]
 METRICS = ("mae", "rmse", "mape", "r2")
@@ -55,15 +56,10 @@ def read(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(path(out))
 
 
-def _exists(spark: SparkSession, at: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(at)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def append(rows: DataFrame, out: str) -> None:
     """Add the rows that the ledger does not hold yet."""
     spark = rows.sparkSession
-    if _exists(spark, path(out)):
+    if exists(spark, path(out)):
         rows = rows.join(read(spark, out).select(*KEYS).distinct(), KEYS, "left_anti")
     rows.write.mode("append").parquet(path(out))
 

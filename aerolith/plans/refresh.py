@@ -3,7 +3,10 @@ gold star -> daily features -> CSV exports.
 
 Each layer is written as Parquet and read back by the next one, so every
 stage starts from files (a stable input after an executor loss, and a cut
-in the lineage). Quality checks and the join-coverage figure are returned
+in the lineage). All tables go into the folder of a new version, which readers
+see only once the last one is written (``sources.versions``). Landed records that
+cannot be read are kept in ``quarantena``, and a landing ledger counts every file
+(``sources.landing``). Quality checks and the join-coverage figure are returned
 as small report DataFrames instead of being printed.
 """
 
@@ -17,7 +20,8 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import coverage
 from ..operators.quality import key_uniqueness, raise_on_failure
-from ..sources.bronze import read_air_json, read_weather_json, select_newest, select_weather_range
+from ..sources import landing, versions
+from ..sources.bronze import read_weather_json, select_newest, select_weather_range
 from ..sources.sinks import export_csv, write_table
 from . import exports, features, gold, silver
 
@@ -38,6 +42,7 @@ class RefreshConfig:
     scale: int | None = None            # fixed-point decimals of readings, if known
     export: bool = True
     fail_on_check: bool = False
+    max_bad_records: int = 0            # landed records that may be left out, in quarantine
 
 
 @dataclass
@@ -46,22 +51,34 @@ class RefreshResult:
     checks: DataFrame | None = None
     coverage: DataFrame | None = None
     correlations: DataFrame | None = None
+    landing: DataFrame | None = None    # per landed file: records, bad, in bronze, left out
+    path: str | None = None             # the published version's folder
 
 
 def _read(spark: SparkSession, out: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(out, name))
 
 
-def run(spark: SparkSession, air_path: str, weather_path: str, out: str,
+def run(spark: SparkSession, air_path: str, weather_path: str, lake: str,
         cfg: RefreshConfig | None = None) -> RefreshResult:
     cfg = cfg or RefreshConfig()
-    res = RefreshResult()
+    out = versions.begin(lake)
+    res = RefreshResult(path=out)
     n = res.counts
 
+    # Landing: every record with its file, bad ones apart, a ledger of the files.
+    write_table(landing.read_air_landing(spark, air_path, multi_line=not cfg.air_json_lines),
+                out, "landing_qualitat_aire")
+    landed = _read(spark, out, "landing_qualitat_aire")
+    write_table(landing.ledger(landed), out, "landing_fitxers")
+    n["quarantena"] = write_table(landing.quarantine(landed), out, "quarantena")
+    files = _read(spark, out, "landing_fitxers")
+    landing.check_limit(spark, files, cfg.max_bad_records, os.path.join(out, "quarantena"))
+
     # Bronze: landed payloads as they are (text for air, arrays zipped for weather).
-    air = select_newest(read_air_json(spark, air_path, multi_line=not cfg.air_json_lines),
-                        cfg.municipi, cfg.limit)
+    air = select_newest(landing.good(landed), cfg.municipi, cfg.limit).drop("bytes", "modificat")
     n["bronze_qualitat_aire"] = write_table(air, out, "bronze_qualitat_aire")
+    res.landing = landing.reconcile(files, _read(spark, out, "bronze_qualitat_aire"))
     met = select_weather_range(read_weather_json(spark, weather_path),
                                cfg.weather_start, cfg.weather_end)
     n["bronze_meteo"] = write_table(met, out, "bronze_meteo")
@@ -81,7 +98,8 @@ def run(spark: SparkSession, air_path: str, weather_path: str, out: str,
     n["dim_contaminant"] = write_table(gold.dim_pollutant(s), out, "dim_contaminant")
     n["dim_temps"] = write_table(gold.dim_calendar(s), out, "dim_temps")
     fact = gold.dense_ids_fact(s)
-    n["fets_mesures"] = write_table(fact, out, "fets_mesures", partition_by=("magnitud",))
+    n["fets_mesures"] = write_table(fact, out, "fets_mesures", partition_by=("magnitud",),
+                                    sort_by=("id_temps", "hora"))
     n["dim_meteo"] = write_table(
         gold.dim_weather(sm, cfg.rain_threshold, cfg.calm_below, cfg.moderate_below),
         out, "dim_meteo")
@@ -117,6 +135,7 @@ def run(spark: SparkSession, air_path: str, weather_path: str, out: str,
                                                "gold_features_ml")
     if cfg.fail_on_check:
         raise_on_failure(checks)
+    versions.publish(spark, lake, out)
     return res
 
 

@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from aerolith.plans import refresh
+from aerolith.sources import landing, versions
+from aerolith.sources.sinks import write_table
 from fixtures import write_landing
 
 
@@ -22,7 +24,7 @@ def lake(spark, scratch):
 
 def t(lake, name):
     spark, out, _ = lake
-    return spark.read.parquet(os.path.join(out, name))
+    return spark.read.parquet(os.path.join(versions.current(spark, out), name))
 
 
 def test_counts(lake):
@@ -108,8 +110,8 @@ def test_features(lake):
 
 
 def test_exports(lake):
-    _, out, res = lake
-    exp = os.path.join(out, "export")
+    _, _, res = lake
+    exp = os.path.join(res.path, "export")
     for name in ("dim_estacio", "dim_contaminant", "dim_temps", "dim_meteo", "fets_diari",
                  "perfil_horari", "gold_features_ml"):
         files = glob.glob(os.path.join(exp, name, "part-*.csv"))
@@ -120,6 +122,10 @@ def test_exports(lake):
         body = f.read()
     assert header.startswith("codi_eoi,")
     assert "08019043" in body                      # leading zero kept
+    (cal_file,) = glob.glob(os.path.join(exp, "dim_temps", "part-*.csv"))
+    with open(cal_file, encoding="utf-8") as f:
+        text = f.read()
+    assert "True" in text and "False" in text and "true" not in text
     assert res.counts["csv_fets_diari"] == 9       # A NO2 7 days + A O3 + B
 
 
@@ -129,7 +135,8 @@ def test_cli_refresh_and_train(spark, scratch):
     air, met = write_landing(root)
     lake = os.path.join(root, "lake")
     main(["refresh", "--air", air, "--weather", met, "--out", lake, "--weather-end", "2024-01-31"])
-    assert spark.read.parquet(os.path.join(lake, "gold_features_ml")).count() == 7
+    out = versions.current(spark, lake)
+    assert spark.read.parquet(os.path.join(out, "gold_features_ml")).count() == 7
     main(["train", "--lake", lake, "--test-days", "2"])
     runs = spark.read.parquet(os.path.join(lake, "runs"))
     assert {"seasonal_sense_meteo", "seasonal_amb_meteo"} <= {r.run_name for r in runs.collect()}
@@ -164,10 +171,10 @@ def test_refresh_on_driver_landing(spark, scratch):
     res = refresh.run(spark, air, met, lake,
                       refresh.RefreshConfig(weather_end="2024-02-28", export=False,
                                             air_json_lines=True))
-    silver = spark.read.parquet(os.path.join(lake, "silver_mesures"))
+    silver = spark.read.parquet(os.path.join(res.path, "silver_mesures"))
     assert res.counts["silver_mesures"] == LM.silver(spark, SF01).count()
     assert silver.exceptAll(LM.silver(spark, SF01)).count() == 0
-    rd = lambda n: spark.read.parquet(os.path.join(lake, n))
+    rd = lambda n: spark.read.parquet(os.path.join(res.path, n))
     j = FE.star(rd("fets_mesures"), rd("dim_contaminant"), rd("dim_estacio"), rd("dim_temps"),
                 rd("dim_meteo"), pollutant="CLICK")
     q = FE.daily_base(j, ["codi_eoi", "magnitud"], 1)
@@ -176,3 +183,114 @@ def test_refresh_on_driver_landing(spark, scratch):
         q.explain()
     assert "dynamicpruningexpression(magnitud" in buf.getvalue()
     assert q.count() > 0
+
+
+def test_failed_refresh_leaves_the_old_version_whole(spark, scratch, monkeypatch):
+    """A refresh that dies between two tables changes nothing that readers see."""
+    root = os.path.join(scratch, "torn")
+    air, met = write_landing(root)
+    lake = os.path.join(root, "lake")
+    cfg = refresh.RefreshConfig(weather_end="2024-01-31", export=False)
+    with pytest.raises(FileNotFoundError):
+        versions.current(spark, lake)
+    first = refresh.run(spark, air, met, lake, cfg)
+    names = ["silver_mesures", "dim_estacio", "fets_mesures", "dim_meteo", "gold_features_ml"]
+    read = lambda: {n: sorted(map(str, spark.read.parquet(
+        os.path.join(versions.current(spark, lake), n)).collect())) for n in names}
+    before = read()
+
+    class Killed(RuntimeError):
+        pass
+
+    def dying(df, base, name, *a, **k):
+        if name == "dim_meteo":
+            raise Killed
+        return write_table(df, base, name, *a, **k)
+
+    monkeypatch.setattr(refresh, "write_table", dying)
+    with pytest.raises(Killed):
+        refresh.run(spark, air, met, lake, refresh.RefreshConfig(
+            weather_end="2024-01-31", export=False, municipi="Girona"))
+    assert versions.current(spark, lake) == first.path and read() == before
+    monkeypatch.undo()
+    second = refresh.run(spark, air, met, lake, cfg)
+    assert versions.current(spark, lake) == second.path != first.path
+    assert os.path.isdir(first.path)               # a reader may still hold it
+    versions.expire(spark, lake, keep=1)
+    assert not os.path.isdir(first.path) and len(read()["fets_mesures"]) == 188
+
+
+def test_bad_records_are_kept_apart_and_counted(spark, scratch):
+    root = os.path.join(scratch, "bad")
+    air, met = write_landing(root)
+    whole = os.path.join(air, "qualitat_aire.json")
+    with open(whole, encoding="utf-8") as f:
+        text = f.read()
+    with open(os.path.join(air, "cut.json"), "w", encoding="utf-8") as f:
+        f.write(text[:len(text) // 2])
+    lake = os.path.join(root, "lake")
+    cfg = refresh.RefreshConfig(weather_end="2024-01-31", export=False)
+    with pytest.raises(landing.BadRecords, match="cut.json"):
+        refresh.run(spark, air, met, lake, cfg)
+    with pytest.raises(FileNotFoundError):
+        versions.current(spark, lake)
+    cfg.max_bad_records = 1
+    res = refresh.run(spark, air, met, lake, cfg)
+    assert res.counts["quarantena"] == 1 and res.counts["bronze_qualitat_aire"] == 11
+    (bad,) = spark.read.parquet(os.path.join(res.path, "quarantena")).collect()
+    assert bad.registre.startswith("[") and bad.fitxer.endswith("cut.json")
+    files = {os.path.basename(r.fitxer): r for r in res.landing.collect()}
+    assert all(r.ok for r in files.values())
+    cut, good = files["cut.json"], files["qualitat_aire.json"]
+    assert (cut.registres, cut.dolents, cut.bronze, cut.fora_seleccio) == (1, 1, 0, 0)
+    assert (good.registres, good.dolents, good.bronze, good.fora_seleccio) == (12, 0, 11, 1)
+    stamp = spark.read.parquet(os.path.join(res.path, "landing_fitxers")).where(
+        "fitxer LIKE '%qualitat_aire.json'").first()
+    assert stamp.bytes == os.path.getsize(whole) and stamp.modificat is not None
+
+
+def test_landing_hash_follows_the_records(spark, scratch):
+    import json
+    root = os.path.join(scratch, "hashes")
+    os.makedirs(root)
+    recs = [{"codi_eoi": "1", "h01": "2"}, {"codi_eoi": "2"}]
+    for name, rows in (("a", recs), ("b", recs[::-1]), ("c", [*recs, recs[0]]), ("d", recs[:1] * 2)):
+        with open(os.path.join(root, f"{name}.jsonl"), "w") as f:
+            f.writelines(json.dumps(r) + "\n" for r in rows)
+    with open(os.path.join(root, "e.jsonl"), "w") as f:
+        f.write(json.dumps(recs[0]) + "\n{\"codi_eoi\": \"2\n")
+    found = {os.path.basename(r.fitxer)[0]: r for r in landing.ledger(
+        landing.read_air_landing(spark, root, multi_line=False)).collect()}
+    assert found["a"].empremta == found["b"].empremta
+    assert len({r.empremta for r in found.values()}) == 4
+    assert (found["e"].registres, found["e"].dolents) == (2, 1)
+
+
+def test_fact_files_follow_bytes_and_ranges_skip_row_groups(spark, scratch):
+    """Partitions by pollutant get few files whatever the number of tasks, and a
+    range of days reads only the row groups that hold it."""
+    rows = spark.range(60_000, numPartitions=40).selectExpr(
+        "CAST(id % 3 AS STRING) AS magnitud", "CAST(20240101 + id % 90 AS INT) AS id_temps",
+        "CAST(id % 24 + 1 AS INT) AS hora", "CAST(id AS DOUBLE) AS valor")
+    key = "parquet.block.size"
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set(key, str(64 << 10))
+    try:
+        write_table(rows, scratch, "layout", ("magnitud",), sort_by=("id_temps", "hora"))
+        write_table(rows, scratch, "plain")
+    finally:
+        hadoop.unset(key)
+    files = glob.glob(os.path.join(scratch, "layout", "magnitud=*", "part-*.parquet"))
+    assert 3 <= len(files) <= 6
+
+    def scanned(name):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            df = spark.read.parquet(os.path.join(scratch, name)).where(
+                "id_temps BETWEEN 20240110 AND 20240112 AND magnitud = '1'")
+            plan = df._jdf.queryExecution().executedPlan()
+            plan.executeCollect()
+            return plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert 0 < scanned("layout") < scanned("plain") / 4
