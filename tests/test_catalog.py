@@ -88,3 +88,21 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 10
     assert df.columns == ["magnitud", "es_cap_setmana", "mitjana_diaria", "n_dies"]
+
+
+def test_gaps_act(spark):
+    """The series with gaps loses short days to the minimum of hours, and its row
+    lags differ from its calendar lags."""
+    from aerolith.plans import products as P
+    base = P._gap_base(spark, SF)
+    joined = base.agg({"hores_amb_dada": "min"}).first()[0]
+    rows = {(r.magnitud, r.data): r.no2_lag1 for r in P.feature_table_gaps(spark, SF).collect()}
+    days = {(r.magnitud, r.data): r.no2_lag1 for r in P.feature_table_gaps_calendar(spark, SF).collect()}
+    whole = E.queries()["feature_table"](spark, SF).count()
+    assert joined >= 18 and set(rows) == set(days) and len(rows) < whole * 3 / 4
+    assert sum(rows[k] != days[k] for k in rows) > 10
+    audit = E.queries()["gap_audit_gaps"](spark, SF).collect()
+    assert all(r.dies_amb_dades < r.dies_esperats for r in audit)
+    assert {r.supera for r in E.queries()["finding_above_guideline"](spark, SF).collect()} == {True, False}
+    bad = {r.estat: r.registres for r in E.queries()["read_path"](spark, SF).collect()}
+    assert bad["dolents"] > 0
