@@ -21,8 +21,9 @@ as the distinct places they have reached, and keys are summed backwards from the
 last step: the cost a word falls with every step.
 
 Every candidate is verified by exact edit distance (bit-parallel, over the whole
-item against the item-sized window around the place): a document contains an item
-if some window is within ``max_edits`` of the item's words.
+item against the item-sized window around the place, overlapping windows joined; a
+chunk's windows go through the recurrence together): a document contains an item if
+some window is within ``max_edits`` of the item's words.
 
 Benchmark items are taken in blocks of ``BLOCK_ITEMS``; every block meets all
 documents. Defined results: null and empty texts, and items without words, match
@@ -39,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,8 +55,12 @@ STEPS, SAMPLED = 12, 5
 TABLES, MOST_WALKS = 2, 6
 #: Copies of items of one length that the recall is measured on, at least.
 COPIES = 400
-#: Places of pieces handled at once.
-PLACES = 100_000
+#: Words of the copies walked at once.
+LOT_WORDS = 100_000
+#: Places of pieces, and words of candidates' windows, handled at once.
+PLACES, WINDOW_WORDS = 100_000, 1_000_000
+#: Words of an item whose edit distance is computed in one machine word.
+WORD_BITS = 64
 BLOCK_ITEMS = 10_000
 
 _U = np.uint64
@@ -157,30 +162,21 @@ def _edited(item: np.ndarray, rate: float, rng: np.random.Generator) -> np.ndarr
     return np.array(out, _U)
 
 
-def _recalls(items: list[np.ndarray], rate: float, walks: int) -> Iterator[dict[int, float]]:
-    """For each number of walks the recall of every length over ``STEPS``, on
-    ``COPIES`` copies of items with random edits. All copies are walked at once."""
-    rng = np.random.Generator(np.random.Philox(77))
-    by: dict[int, list[np.ndarray]] = {}
-    for x in items:
-        if len(x) > STEPS:
-            by.setdefault(len(x), []).append(x)
+def _first_walks(items: list[np.ndarray], rate: float, rng: np.random.Generator) -> np.ndarray:
+    """For each item the first walk in which a copy of it with random edits shares a
+    key with it; ``MOST_WALKS`` if none does. All copies are walked at once."""
     pad = lambda: rng.integers(1, 1 << 63, 2 * STEPS).astype(_U)
-    tests = [x for n in sorted(by) for x in (by[n] * COPIES)[:max(COPIES, min(len(by[n]), 2 * COPIES))]]
-    if not tests:
-        yield from ({} for _ in range(walks))
-        return
-    lengths = np.array([len(x) for x in tests])
-    found = np.zeros(len(tests), bool)
+    lengths = np.array([len(x) for x in items])
+    found = np.full(len(items), MOST_WALKS)
     sides = [[np.concatenate([pad(), y, pad()]) for y in ys]
-             for ys in (tests, [_edited(x, rate, rng) for x in tests])]
+             for ys in (items, [_edited(x, rate, rng) for x in items])]
     tokens = [np.concatenate(x) for x in sides]
-    owner = [np.repeat(np.arange(len(tests)), [len(y) for y in x]) for x in sides]
+    owner = [np.repeat(np.arange(len(items)), [len(y) for y in x]) for x in sides]
     place = np.concatenate([np.arange(len(y)) for y in sides[0]]) - 2 * STEPS
     inside = (place >= 0) & (place <= lengths[owner[0]] - STEPS)
-    for walk in range(walks):
+    for walk in range(MOST_WALKS):
         # Only what earlier walks missed is walked again.
-        left = [~found[o] for o in owner]
+        left = [found[o] == MOST_WALKS for o in owner]
         tokens, owner = ([x[k] for x, k in zip(y, left)] for y in (tokens, owner))
         inside = inside[left[0]]
         both = [Walks(x, walk, STEPS) for x in tokens]
@@ -188,20 +184,52 @@ def _recalls(items: list[np.ndarray], rate: float, walks: int) -> Iterator[dict[
             # The copy's number in a key: only its own text can give it.
             mine, its = (C.mix(w.keys(table, STEPS) ^ C.mix(o.astype(_U) + _U(1)))
                          for w, o in zip(both, owner))
-            found[owner[0][inside & np.isin(mine, its)]] = True
-        yield {n: float(found[lengths == n].mean()) for n in sorted(by)}
+            hit = owner[0][inside & np.isin(mine, its)]
+            found[hit] = np.minimum(found[hit], walk)
+    return found
+
+
+def _walks_of_length(items: list[np.ndarray], rate: float, recall: float) -> int:
+    """Walks that bring items of one length to the recall, on ``COPIES`` copies of
+    them in lots of about ``LOT_WORDS`` words; more than ``MOST_WALKS`` if none do."""
+    rng = np.random.Generator(np.random.Philox(77 + len(items[0])))
+    tests = (items * COPIES)[:max(COPIES, min(len(items), 2 * COPIES))]
+    lot = max(1, LOT_WORDS // (len(items[0]) + 4 * STEPS))
+    first = np.concatenate([_first_walks(tests[at:at + lot], rate, rng)
+                            for at in range(0, len(tests), lot)])
+    for walks in range(1, MOST_WALKS + 1):
+        if (first < walks).mean() >= recall:
+            return walks
+    return MOST_WALKS + 1
+
+
+def walks_needed(spark: SparkSession, items: list[np.ndarray], rate: float, recall: float,
+                 ) -> tuple[int, set[int]]:
+    """Walks that bring all lengths to the recall, or ``MOST_WALKS``, and the lengths
+    that are looked up by pieces. The trial of a length is a row of a Spark job, so
+    the driver's part does not grow with the lengths."""
+    by: dict[int, list[list[int]]] = {}
+    for x in items:
+        if len(x) > STEPS:
+            by.setdefault(len(x), []).append(C.signed(x).tolist())
+    short = {len(x) for x in items if 0 < len(x) <= STEPS}
+    if not by:
+        return 1, short
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = batch.column("n").to_pylist()
+            needed = [_walks_of_length([np.array(x, np.int64).view(_U) for x in own], rate, recall)
+                      for own in batch.column("items").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lengths, pa.int32()), pa.array(needed, pa.int32())], names=["n", "walks"])
 
-def walks_needed(items: list[np.ndarray], rate: float, recall: float) -> tuple[int, set[int]]:
-    """Walks that bring all lengths to the recall, or ``MOST_WALKS``, and the
-    lengths that are looked up by pieces."""
-    short = {len(x) for x in items if 0 < len(x) <= STEPS}
-    walks, missed = 1, set()
-    for walks, reached in enumerate(_recalls(items, rate, MOST_WALKS), 1):
-        missed = {n for n, r in reached.items() if r < recall}
-        if not missed:
-            break
-    return walks, short | missed
+    rows = spark.createDataFrame([(n, own[:2 * COPIES]) for n, own in sorted(by.items())],
+                                 "n int, items array<array<long>>")
+    found = rows.repartition(min(len(by), spark.sparkContext.defaultParallelism * 4)) \
+        .mapInArrow(run, "n int, walks int").collect()
+    missed = {r.n for r in found if r.walks > MOST_WALKS}
+    return max((r.walks for r in found if r.walks <= MOST_WALKS), default=1), short | missed
 
 
 def pieces_of(length: int, edits: int) -> list[tuple[int, int]]:
@@ -224,6 +252,16 @@ class Index:
         self.edits = [math.floor(max_edits * len(x) + 1e-9) for x in items]
         self.items = items
         self.walks = walks
+        # The items' words, and for each item of a machine word and word of it the
+        # places where it stands, as bits, under item * words + word.
+        self.words = np.unique(np.concatenate([*items, np.zeros(0, _U)]))
+        pairs = [(k, t, m) for k, masks in enumerate(self.masks) if len(items[k]) <= WORD_BITS
+                 for t, m in masks.items()]
+        at = np.array([k for k, _, _ in pairs], np.int64) * len(self.words) + np.searchsorted(
+            self.words, np.array([t for _, t, _ in pairs], _U))
+        order = np.argsort(at)
+        self.pairs = at[order]
+        self.bits = np.array([m for _, _, m in pairs], _U)[order]
         self.steps = sorted({steps_for(n) for n in self.lengths if n and n not in pieces})
         found: dict[tuple, list] = {}
         for k, item in enumerate(items):
@@ -264,8 +302,11 @@ class Index:
             item, place = self._likely(item, place, tokens)
             items.append(item)
             places.append(place)
-        pair = np.unique(np.stack([np.concatenate(items), np.concatenate(places)]), axis=1)
-        return pair[0], pair[1]
+        # One number a pair; a place may lie before the first word.
+        margin = max(self.lengths, default=0)
+        size = len(tokens) + 2 * margin
+        pair = np.unique(np.concatenate(items) * size + np.concatenate(places) + margin)
+        return pair // size, pair % size - margin
 
     @classmethod
     def _hits(cls, table: tuple, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -298,38 +339,98 @@ class Index:
                 kept[c:d] = there.sum(1) >= length - allowed
         return item[kept], place[kept]
 
+    def _windows(self, item: np.ndarray, place: np.ndarray, w: np.ndarray, known: np.ndarray,
+                 ) -> tuple[np.ndarray, ...]:
+        """The item-sized windows around candidates, cut at the texts' borders, with
+        overlapping ones of a text and item joined: text, item, first and end word.
+        Windows with too few words that stand in any item are left out."""
+        lengths, edits = np.array(self.lengths), np.array(self.edits)
+        lo, hi = place - edits[item], place + lengths[item] + edits[item]
+        # The place may lie before the text of the walk that gave it: every text
+        # that the window meets is tried.
+        first = np.maximum(np.searchsorted(w, np.maximum(lo, 0), "right") - 1, 0)
+        n = np.maximum(np.searchsorted(w[:-1], hi, "left") - first, 0)
+        row = np.repeat(np.arange(len(item)), n)
+        text = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        item, a, b = item[row], np.maximum(lo[row], w[text]), np.minimum(hi[row], w[text + 1])
+        least = lengths[item] - edits[item]
+        ok = (b - a >= least) & (known[np.maximum(b, 0)] - known[np.maximum(a, 0)] >= least)
+        text, item, a, b = text[ok], item[ok], a[ok], b[ok]
+        order = np.lexsort((b, a, item, text))
+        text, item, a, b = text[order], item[order], a[order], b[order]
+        new = np.ones(len(a), bool)
+        new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (a[1:] > b[:-1])
+        heads = np.flatnonzero(new)
+        return text[heads], item[heads], a[heads], b[np.append(heads[1:], len(a)) - 1] \
+            if len(heads) else b
+
+    def _distances(self, item: np.ndarray, a: np.ndarray, b: np.ndarray, codes: np.ndarray,
+                   ) -> tuple[np.ndarray, np.ndarray]:
+        """The least edit distance of each item to any run of its window and where
+        such a run ends: ``best_match`` for many windows at once, a column a step.
+        Windows with too few of the item's words have the item's length."""
+        lengths, edits = np.array(self.lengths)[item], np.array(self.edits)[item]
+        best, end = lengths.copy(), np.zeros(len(item), np.int64)
+        size = b - a
+        starts = np.cumsum(size) - size
+        at = np.arange(int(size.sum())) + np.repeat(a - starts, size)
+        key = np.repeat(item, size) * len(self.words) + codes[at]
+        slot = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        here = (codes[at] >= 0) & (self.pairs[slot] == key)
+        eq = np.where(here, self.bits[slot], _U(0))
+        total = C.before(here)
+        # All but the edited words of the item stand in the window.
+        live = np.flatnonzero(total[starts + size] - total[starts] >= lengths - edits)
+        live = live[np.argsort(-size[live], kind="stable")]
+        if not len(live):
+            return best, end
+        one = _U(1)
+        top = one << (lengths[live] - 1).astype(_U)
+        full = top | (top - one)
+        vp, vn, score = full.copy(), np.zeros(len(live), _U), lengths[live].copy()
+        low, stop = score.copy(), np.zeros(len(live), np.int64)
+        sizes, first = size[live], starts[live]
+        with np.errstate(over="ignore"):
+            for j in range(int(sizes[0])):
+                m = int(np.searchsorted(-sizes, -j, "left"))  # windows longer than j
+                p, t, f = vp[:m], top[:m], full[:m]
+                x = eq[first[:m] + j] | vn[:m]
+                d0 = ((((x & p) + p) ^ p) | x) & f
+                hn, hp = p & d0, (vn[:m] | ~(p | d0)) & f
+                score[:m] += (hp & t != 0).astype(np.int64) - (hn & t != 0)
+                hp, hn = hp << one & f, hn << one & f
+                vp[:m], vn[:m] = (hn | ~(d0 | hp)) & f, hp & d0
+                less = score[:m] < low[:m]
+                low[:m][less], stop[:m][less] = score[:m][less], j + 1
+        best[live], end[live] = low, stop
+        return best, end
+
     def matches(self, tokens: np.ndarray, w: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """``(text, item, distance, first word, end word)`` of the items that the
         texts contain, each at its best place."""
         item, place = self.candidates(tokens)
         if not len(item):
             return []
-        # The place may lie before the text of the walk that gave it: every text
-        # that the item-sized window meets is tried.
+        codes = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
+        codes = np.where(self.words[codes] == tokens, codes, -1)
+        text, item, a, b = self._windows(item, place, w, C.before(codes >= 0))
+        distance, end = np.array(self.lengths)[item], np.zeros(len(item), np.int64)
+        short = np.flatnonzero(distance <= WORD_BITS)
+        lots = np.cumsum((b - a)[short]) // WINDOW_WORDS
+        for lot in np.split(short, np.flatnonzero(np.diff(lots)) + 1):
+            if len(lot):
+                distance[lot], end[lot] = self._distances(item[lot], a[lot], b[lot], codes)
+        for k in np.flatnonzero(np.array(self.lengths)[item] > WORD_BITS).tolist():
+            masks, window = self.masks[item[k]], tokens[a[k]:b[k]].tolist()
+            length = self.lengths[item[k]]
+            if sum(map(masks.__contains__, window)) >= length - self.edits[item[k]]:
+                distance[k], end[k] = best_match(masks, length, window)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        done: set[tuple[int, int, int]] = set()
-        for k, p in zip(item.tolist(), place.tolist()):
-            length, allowed = self.lengths[k], self.edits[k]
-            lo, hi = p - allowed, p + length + allowed
-            first = max(int(np.searchsorted(w, max(lo, 0), "right")) - 1, 0)
-            for text in range(first, len(w) - 1):
-                if w[text] >= hi:
-                    break
-                a, b = max(lo, int(w[text])), min(hi, int(w[text + 1]))
-                if b - a < length - allowed or (text, k, a) in done:
-                    continue
-                done.add((text, k, a))
-                masks, window = self.masks[k], tokens[a:b].tolist()
-                # All but the edited words of the item stand in the window.
-                if sum(map(masks.__contains__, window)) < length - allowed:
-                    continue
-                distance, end = best_match(masks, length, window)
-                if distance <= allowed:
-                    end = a + end - int(w[text])
-                    old = best.get((text, k))
-                    new = (distance, max(end - length, 0), end)
-                    if old is None or new < old:
-                        best[text, k] = new
+        for k in np.flatnonzero(distance <= np.array(self.edits)[item]).tolist():
+            at, length = int(a[k] + end[k] - w[text[k]]), self.lengths[item[k]]
+            new = (int(distance[k]), max(at - length, 0), at)
+            mine = (int(text[k]), int(item[k]))
+            best[mine] = min(best.get(mine, new), new)
         return [(t, k, *v) for (t, k), v in best.items()]
 
 
@@ -346,7 +447,7 @@ def _blocks(items: DataFrame, item_id: str, item_text: str, max_edits: float, re
         tokens, w = tokens_of(buf, offs)
         parts = [tokens[a:b] for a, b in zip(w, w[1:])]
         yield Index([r.item for r in rows], parts, max_edits,
-                    *walks_needed(parts, max_edits, recall)), blocks
+                    *walks_needed(items.sparkSession, parts, max_edits, recall)), blocks
 
 
 def cleaned(docs: DataFrame, items: DataFrame, text_col: str = "text",
