@@ -14,8 +14,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternates the two star steps of the large-star/small-star method; both are
     a grouped minimum (combined before the shuffle, so a node with very many
-    links costs no single task more) and a join back. Each round's links are
-    written to the shared folder, so a lost executor costs one round at most.
+    links costs no single task more) and a join back. The minima are written
+    first: a join of two plain shuffles is one whose hot keys AQE can split. Each
+    round's links are written to the shared folder as well, so a lost executor costs one
+    round at most.
     """
     edges = C.stored(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
@@ -25,8 +27,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         # Large star: each node points its larger neighbours to the smallest.
         both = edges.union(edges.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")) \
-            .select("u", F.least("u", "m").alias("m"))
+        low = C.stored(both.groupBy("u").agg(F.min("v").alias("m"))
+                       .select("u", F.least("u", "m").alias("m")), "minima")
         large = both.join(low, "u").filter("v > u") \
             .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: each node's smaller neighbours point to the smallest.

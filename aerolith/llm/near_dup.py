@@ -17,7 +17,9 @@ unless they are in the same component already. When rounds of this leave few
 buckets with members of two components, every pair across components in
 those buckets is compared once, in the first band it shares, blocks of members
 against blocks, by sketch. Every candidate whose sketches allow the threshold
-(with a margin of four standard deviations) is verified on the full sets. So a link is only
+(with a margin of four standard deviations) is verified on the full sets; blocks carry
+their members' sets, so they give links alone, at most one fewer than they have members,
+whatever number of pairs their sketches leave. So a link is only
 ever left out where its two ends are in one component anyway.
 
 Defined results: null and empty texts and those without words have an empty set,
@@ -41,10 +43,11 @@ from aerolith.llm.graph import components
 
 BANDS, ROWS = 32, 4
 SAMPLES, SKETCH = 512, 4096
-#: Rounds of linking buckets to one member before blocks are compared.
-ROUNDS = 4
-#: Members of a bucket that are compared with one another in one block.
-BLOCK = 1024
+#: Most rounds of linking buckets to one member before blocks are compared; a
+#: round that adds less than this share of the links is the last one.
+ROUNDS, GAIN = 4, 1 / 16
+#: Members of a bucket, and shingles of theirs, that make one block.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 #: Subtracted from the threshold before a sketch estimate may rule a pair out.
 MARGIN = 0.07
 
@@ -173,13 +176,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
             .select("a", "b"))
 
 
-def _block_pairs(cells: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """Pairs across components in buckets, blocks of members against blocks.
-    A pair that shares several buckets is found in its first band alone."""
+def _block_links(cells: DataFrame, reps: DataFrame, docs: DataFrame, size: int,
+                 percent: int) -> DataFrame:
+    """Links across components in buckets, blocks of members against blocks, as
+    many as their components need to meet. A pair that shares several buckets is
+    compared in its first band alone."""
+    threshold = percent / 100
     most = most_differing(threshold)
     mixed = (cells.groupBy("band", "key")
              .agg(F.min("label").alias("x"), F.max("label").alias("y"),
-                  F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+                  F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES))
+                  .cast("int").alias("blocks"))
              .filter("x <> y").drop("x", "y"))
     own = F.pmod(F.xxhash64("_id", "band"), F.col("blocks")).cast("int")
     dealt = C.stored(
@@ -187,24 +194,43 @@ def _block_pairs(cells: DataFrame, reps: DataFrame, threshold: float) -> DataFra
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("band", "key", F.least("own", "other").alias("i"),
                 F.greatest("own", "other").alias("j"), "own", "_id", "label"), "blocks")
-    wide = reps.join(C.few(dealt.select("_id").distinct()), "_id", "left_semi")
+    some = C.few(C.stored(dealt.select("_id").distinct(), "members"))
+    sets = _sets(docs.join(some, "_id", "left_semi"), size) \
+        .filter(F.size("shingles") > 0).dropDuplicates(["_id"])
+    wide = C.stored(reps.drop("n_shingles").join(some, "_id", "left_semi").join(sets, "_id"),
+                    "members")
 
     def run(keys: tuple, group: pa.Table) -> pa.Table:
         band, i, j = keys[0].as_py(), keys[2].as_py(), keys[3].as_py()
-        own, ids, label, n = (group.column(c).to_numpy()
-                              for c in ("own", "_id", "label", "n_shingles"))
+        own, ids, label = (group.column(c).to_numpy() for c in ("own", "_id", "label"))
         matrix = lambda c: np.stack(group.column(c).to_numpy()).view(_U)
         odd, before = matrix("odd"), matrix("bands")[:, :band]
+        sets = group.column("shingles").to_numpy()
+        n = np.array([len(s) for s in sets])
+        code = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        sets = np.split(code, np.cumsum(n)[:-1])
+        mark = np.zeros(len(code) + 1, bool)
+        label = label.copy()
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        found: list[tuple[np.ndarray, np.ndarray]] = [(ids[:0], ids[:0])]
+        found: list[tuple[int, int]] = []
         for x in left:
             to = right if i != j else right[right > x]
             to = to[label[to] != label[x]]
             to = to[np.minimum(n[to], n[x]) >= threshold * np.maximum(n[to], n[x])]
-            to = to[np.bitwise_count(odd[to] ^ odd[x]).sum(1, dtype=np.int64) <= most]
             to = to[~(before[to] == before[x]).any(1)]
-            found.append((np.minimum(ids[to], ids[x]), np.maximum(ids[to], ids[x])))
-        a, b = (np.concatenate(side) for side in zip(*found))
+            to = to[np.bitwise_count(odd[to] ^ odd[x]).sum(1, dtype=np.int64) <= most]
+            if not len(to):
+                continue
+            mark[sets[x]] = True
+            hits = mark[np.concatenate([sets[y] for y in to])]
+            both = np.add.reduceat(hits, np.cumsum(n[to]) - n[to], dtype=np.int64)
+            mark[sets[x]] = False
+            # What carries one label is in one component: one link does for it.
+            for y in to[100 * both >= percent * (n[x] + n[to] - both)]:
+                if label[y] != label[x]:
+                    found.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+                    label[label == label[y]] = label[x]
+        a, b = np.array(found, np.int64).reshape(-1, 2).T
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return (dealt.join(wide, "_id").groupBy("band", "key", "i", "j")
@@ -229,10 +255,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                           ["p1", "p2", "_id"], "left_semi")
                     .dropDuplicates(["p1", "p2"]).select("_id", "n_shingles", "bands", "odd"),
                     "reps")
-    cells = reps.select("_id", F.posexplode("bands").alias("band", "key"))
+    cells = reps.select("_id", "n_shingles", F.posexplode("bands").alias("band", "key"))
     shared = cells.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     cells = C.stored(cells.join(shared, ["band", "key"], "left_semi"), "cells")
-    links, labels = None, None
+    links, labels, n_links = None, None, 0
     for turn in range(ROUNDS):
         now = cells
         if labels is not None:
@@ -249,10 +275,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = _verified(near, known, shingle, percent)
         links = C.stored(found if links is None else links.union(found), "links")
         labels = components(links)
+        had, n_links = n_links, links.count()
+        if n_links - had <= GAIN * n_links:
+            break
     now = cells.join(labels.withColumnRenamed("node", "_id"), "_id", "left").select(
-        "_id", "band", "key", F.coalesce("component", "_id").alias("label"))
-    rest = C.stored(_block_pairs(now, reps, threshold), "pairs")
-    links = links.union(_verified(rest, known, shingle, percent))
+        "_id", "n_shingles", "band", "key", F.coalesce("component", "_id").alias("label"))
+    links = links.union(C.stored(_block_links(now, reps, known, shingle, percent), "links"))
     # Equal sets, and rows of one id, are links as well.
     same = profile.join(classes, ["p1", "p2"]).select(F.col("_id").alias("a"),
                                                      F.col("rep").alias("b"))
