@@ -83,19 +83,28 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = SWEEP
     return w.drop(*(f"_t_{dim}" for dim in targets))
 
 
+def _prefix(docs: DataFrame) -> str:
+    """Begins the names of the columns added meanwhile; no column of ``docs`` has it."""
+    prefix = "__mix_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return prefix
+
+
 def _drawn(docs: DataFrame, targets: Mapping[str, DataFrame] | None, id_col: str, text_col: str,
            topic: Column | None, sweeps: int) -> DataFrame:
-    """``docs`` with the columns ``__mix_*`` of the category, tokens and draw."""
+    """``docs`` with the columns of the category, tokens and draw, named by ``_prefix``."""
+    own = _prefix(docs)
     category = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(NONE)) \
         if c in docs.columns else F.lit(NONE)
-    dims = {dim: f"__mix_{dim}" for dim in FLATTEN}
-    keyed = docs.withColumn("__mix_tokens", n_tokens(F.col(text_col)))
-    about = topic if topic is not None else form(F.col(text_col), F.col("__mix_tokens"))
-    keyed = (keyed.withColumn("__mix_topic", F.coalesce(about, F.lit(NONE)))
-             .withColumn("__mix_source", category("source"))
-             .withColumn("__mix_lang", category("lang")))
+    dims = {dim: f"{own}{dim}" for dim in FLATTEN}
+    keyed = docs.withColumn(f"{own}tokens", n_tokens(F.col(text_col)))
+    about = topic if topic is not None else form(F.col(text_col), F.col(f"{own}tokens"))
+    keyed = (keyed.withColumn(f"{own}topic", F.coalesce(about, F.lit(NONE)))
+             .withColumn(f"{own}source", category("source"))
+             .withColumn(f"{own}lang", category("lang")))
     cells = C.stored(keyed.groupBy(*(F.col(c).alias(dim) for dim, c in dims.items()))
-                     .agg(F.sum("__mix_tokens").alias("tokens")), "cells")
+                     .agg(F.sum(f"{own}tokens").alias("tokens")), "cells")
     goal = {dim: (targets or {}).get(dim) for dim in FLATTEN}
     goal = {dim: g if g is not None else default_targets(cells, dim, FLATTEN[dim])
             for dim, g in goal.items()}
@@ -104,9 +113,9 @@ def _drawn(docs: DataFrame, targets: Mapping[str, DataFrame] | None, id_col: str
     top = fit.agg(F.max("rate").alias("top"))
     fit = C.stored(fit.crossJoin(F.broadcast(top)).select(
         *(F.col(dim).alias(c) for dim, c in dims.items()),
-        F.round(F.coalesce(F.try_divide("rate", "top"), F.lit(0.0)), 9).alias("__mix_p")), "fit")
+        F.round(F.coalesce(F.try_divide("rate", "top"), F.lit(0.0)), 9).alias(f"{own}p")), "fit")
     return keyed.join(C.few(fit), list(dims.values())).withColumn(
-        "__mix_kept", draw(F.col(id_col), F.col(text_col)) < F.col("__mix_p"))
+        f"{own}kept", draw(F.col(id_col), F.col(text_col)) < F.col(f"{own}p"))
 
 
 def mix(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None,
@@ -115,18 +124,19 @@ def mix(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None,
     """The documents with ``topic``, ``n_tokens``, ``probability`` and ``kept``.
 
     ``targets`` gives target tables for some of source, lang and topic."""
+    own = _prefix(docs)
     out = _drawn(docs, targets, id_col, text_col, topic, sweeps)
-    for name, own in (("topic", "topic"), ("n_tokens", "tokens"), ("probability", "p"),
-                      ("kept", "kept")):
-        out = out.withColumn(name, F.col(f"__mix_{own}"))
-    return out.drop(*(c for c in out.columns if c.startswith("__mix_")))
+    for name, short in (("topic", "topic"), ("n_tokens", "tokens"), ("probability", "p"),
+                        ("kept", "kept")):
+        out = out.withColumn(name, F.col(f"{own}{short}"))
+    return out.drop(*(c for c in out.columns if c.startswith(own)))
 
 
 def sampled(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None,
             id_col: str = "doc_id", text_col: str = "text", topic: Column | None = None,
             sweeps: int = SWEEPS) -> DataFrame:
     """The documents that are drawn, with all their columns as they were."""
-    return _drawn(docs, targets, id_col, text_col, topic, sweeps).filter("__mix_kept") \
+    return _drawn(docs, targets, id_col, text_col, topic, sweeps).filter(F.col(f"{_prefix(docs)}kept")) \
         .select(docs.columns)
 
 

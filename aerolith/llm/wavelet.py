@@ -356,9 +356,13 @@ def read_shards(spark: SparkSession, path: str, files: DataFrame, id_col: str =
                 ) -> DataFrame:
     """Per document, from the files: the id, ``start`` (ids before it in all
     files), ``n_tokens``, ``ids_crc32`` and ``file``."""
-    # One row per file: the running sum over files is small.
-    upto = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    starts = files.select("file", F.coalesce(F.sum("n_tokens").over(upto), F.lit(0)).alias("base"))
+    # Files are summed in their part, and parts (a row per task) among themselves.
+    earlier = lambda w: F.coalesce(
+        F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = files.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens")).select(
+        "part", earlier(Window.orderBy("part")).alias("before"))
+    starts = files.join(C.few(parts), "part").select(
+        "file", (F.col("before") + earlier(Window.partitionBy("part").orderBy("seq"))).alias("base"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -379,7 +383,7 @@ def read_shards(spark: SparkSession, path: str, files: DataFrame, id_col: str =
             [], f"{id_col} long, start long, n_tokens long, ids_crc32 long, file string")
     data = (spark.read.format("binaryFile").option("pathGlobFilter", "*.wm").load(path)
             .select(F.substring_index("path", "/", -1).alias("file"), "content"))
-    return (data.join(F.broadcast(starts), "file")
+    return (data.join(C.few(starts), "file")
             .mapInArrow(run, "_id long, start long, n_tokens long, ids_crc32 long, file string")
             .withColumnRenamed("_id", id_col))
 
