@@ -8,11 +8,14 @@ word's probability is its tail id's by the network times its share of the tail
 id's counts (one added, for words never seen). So the score is a probability of
 the whole text, in the closed form the base has.
 
-The network is trained on all counted documents: every round, workers take
-truncated-backpropagation passes over their share of them from the same weights, and
-the weights are averaged by words, slice by slice in two steps, so that no task and
-not the driver gathers more than some workers' slices. There is a worker for every
-``EACH`` words. Documents are scored whole, the state carried across windows.
+The network is trained on all counted documents, each once: a hash of id and words
+deals them to rounds and workers. In a round workers take truncated-backpropagation
+passes over their texts from the same weights, and the weights are averaged by words,
+slice by slice in two steps, so that no task and not the driver gathers more than some
+workers' slices. A worker has about ``EACH`` words a round. Copies of a row are dealt
+apart, and a worker's texts are ordered by their hashes, so the network depends on the
+rows alone, not on how they lie in files. Documents are scored whole, the state carried
+across windows.
 
 The ``MID`` most frequent words' counts go to the tasks as two arrays (a fixed
 bound); the rarer words of each document meet the counts in a join.
@@ -30,6 +33,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -44,11 +48,12 @@ END = gru.VOCABULARY - 1
 HEAD = gru.VOCABULARY - 1 - TAIL
 #: Words whose counts are sent to the tasks (16 bytes each).
 MID = 1 << 19
-#: Passes over the documents, the fewest workers and a worker's words.
-ROUNDS, WORKERS, EACH = 4, 6, 4 << 20
+#: Rounds, a worker's words a round, and the workers that smaller inputs are dealt
+#: to as long as each has ``LEAST`` words.
+ROUNDS, EACH, WORKERS, LEAST = 4, 4 << 20, 6, 1 << 16
 #: Parts that the weights are averaged in, and workers averaged at once.
 SLICES, TOGETHER = 64, 64
-RATE = 0.01
+RATE = 0.02
 #: Words scored side by side in a task.
 BUFFER = 4 << 20
 
@@ -100,24 +105,16 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 class Lexicon:
-    """The frequent words: network ids and counts, by binary search."""
+    """The frequent words' ranks and counts, in a hash table."""
 
     def __init__(self, word: np.ndarray, n: np.ndarray):
         """``word`` (hashes) and ``n`` (counts) in order of frequency."""
-        order = np.argsort(word)
-        self.word, self.n = word[order], n[order]
-        rank = np.empty(len(word), np.int64)
-        rank[np.arange(len(word))] = order
-        self.rank = rank
+        self.word, self.n = pd.Index(C.signed(word)), np.append(n, 0)
 
     def find(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each word's rank and count, or -1 and 0."""
-        if not len(self.word):
-            return np.full(len(word), -1, np.int64), np.zeros(len(word), np.int64)
-        distinct, back = np.unique(word, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.word, distinct), len(self.word) - 1)
-        hit = self.word[at] == distinct
-        return (np.where(hit, self.rank[at], -1)[back], np.where(hit, self.n[at], 0)[back])
+        rank = self.word.get_indexer(pd.Index(C.signed(word)))
+        return rank, self.n[rank]
 
 
 def _frequent(counts: DataFrame) -> pa.Table:
@@ -141,29 +138,31 @@ def word_ids(rank: np.ndarray, tail: np.ndarray) -> np.ndarray:
     return np.where((rank >= 0) & (rank < HEAD), rank, HEAD + tail)
 
 
-def _encoded(texts: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """The network's word ids of all texts, each closed by ``END``, many a row."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, buf, offs in C.chunks(batches, "_text"):
-            h, t, w = words_of(buf, offs)
-            ids = np.insert(word_ids(lexicon.find(h)[0], t), w[1:], END).astype(np.int16)
-            yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary())], names=["ids"])
+def _dealt(texts: DataFrame, words: int) -> tuple[DataFrame, int]:
+    """The counted texts' word ids by ``(turn, worker)``, and the workers."""
+    workers = max(1, min(WORKERS, words // (ROUNDS * LEAST)), -(-words // (ROUNDS * EACH)))
+    key = F.xxhash64("_id", "ids", "copy")
+    rows = (texts.filter("not held_out").groupBy("_id", "ids").agg(F.count("*").alias("n"))
+            .select("_id", "ids", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+            .select("ids", key.alias("key"), F.pmod(key, F.lit(workers * ROUNDS)).alias("slot"))
+            .select("ids", "key", (F.col("slot") % ROUNDS).cast("int").alias("turn"),
+                    F.floor(F.col("slot") / ROUNDS).cast("int").alias("worker"))
+            .sortWithinPartitions("turn"))
+    return C.stored(rows, "dealt"), workers
 
-    return texts.select("_text").mapInArrow(run, "ids binary")
 
-
-def _pass(params: gru.Params, rate: float, turn: int):
+def _pass(params: gru.Params, rate: float):
     """A worker's pass over its texts, from the given weights: ``(worker, slice,
     n, weights)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gru.keep_memory()
         worker = TaskContext.get().partitionId()
-        new, n, adam = params, 0, gru.Adam(params, rate)
-        lots = (x.as_py() for batch in batches for x in batch.column("ids"))
-        for k, ids in enumerate(lots):
-            whole = np.frombuffer(ids, np.int16)
-            texts = np.split(whole, np.flatnonzero(whole == END)[:-1] + 1)
-            new, m = gru.train(new, texts, END, rate, seed=(turn << 60) + (worker << 30) + k, adam=adam)
-            n += m
+        texts = sorted((key, ids) for batch in batches for key, ids in zip(
+            batch.column("key").to_pylist(), batch.column("ids").to_pylist()))
+        end = np.array([END], np.int16).tobytes()
+        whole = np.frombuffer(b"".join(x for _, ids in texts for x in (ids, end)), np.int16)
+        del texts
+        new, n = gru.train(params, whole, END, rate)
         if n:
             flat = np.concatenate([new[k].ravel() for k in sorted(new)])
             yield pa.RecordBatch.from_arrays(
@@ -187,10 +186,11 @@ def _mean(keys: tuple, group: pa.Table) -> pa.Table:
                      "weights": pa.array([mean.astype(np.float32).tobytes()], pa.binary())})
 
 
-def _round(ids: DataFrame, params: gru.Params, turn: int) -> tuple[gru.Params, int]:
-    """A round over all texts: the averaged weights and the words passed."""
+def _round(dealt: DataFrame, workers: int, params: gru.Params, turn: int) -> tuple[gru.Params, int]:
+    """A round over its share of the texts: the averaged weights and the words passed."""
     kind = "worker int, slice int, n long, weights binary"
-    rows = ids.mapInArrow(_pass(params, RATE * (1 - turn / ROUNDS), turn), kind)
+    rows = dealt.filter(F.col("turn") == turn).repartitionById(workers, F.col("worker")) \
+        .select("key", "ids").mapInArrow(_pass(params, RATE * (1 - turn / ROUNDS)), kind)
     group = F.floor(F.col("worker") / TOGETHER).cast("int")
     some = rows.groupBy("slice", group.alias("some")).applyInArrow(_mean, kind)
     found = sorted(some.groupBy("slice").applyInArrow(_mean, kind).collect(), key=lambda r: r.slice)
@@ -204,12 +204,11 @@ def _round(ids: DataFrame, params: gru.Params, turn: int) -> tuple[gru.Params, i
     return new, found[0].n
 
 
-def _train(texts: DataFrame, lexicon: Lexicon, words: int) -> gru.Params:
-    ids = C.stored(_encoded(texts.filter("not held_out"), lexicon), "ids") \
-        .coalesce(max(WORKERS, -(-words // EACH)))
+def _train(texts: DataFrame, words: int) -> gru.Params:
+    dealt, workers = _dealt(texts, words)
     params = gru.start()
     for turn in range(ROUNDS):
-        params, _ = _round(ids, params, turn)
+        params, _ = _round(dealt, workers, params, turn)
     return params
 
 
@@ -234,35 +233,12 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         room[t] += tn + tv
     head = top.slice(0, HEAD)
     np.subtract.at(room, head.column("tail").to_numpy(), head.column("n").to_numpy() + 1)
-    params = _train(texts, lexicon, n)
     unit = math.log10(n + v + 1)
     end_base = math.log10(ends + 1) - unit
     log_room = np.log10(room)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = TaskContext.get().partitionId() << 33
-        held: list[tuple] = []
-
-        def flush() -> pa.RecordBatch:
-            nonlocal made
-            ids = np.concatenate([x[0] for x in held])
-            lens = np.concatenate([x[1] for x in held])
-            offs = np.zeros(len(lens) + 1, np.int64)
-            np.cumsum(lens, out=offs[1:])
-            net = gru.score(params, ids, offs, END) / math.log(10)
-            rows = pa.concat_tables([x[2] for x in held])
-            base, extra, known, rare_n = (np.concatenate([x[i] for x in held]) for i in (3, 4, 5, 6))
-            rare = np.concatenate([x[7] for x in held])
-            held.clear()
-            uid = made + np.arange(len(lens))
-            made += len(lens)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(uid), rows.column("_id").combine_chunks(),
-                 rows.column("held_out").combine_chunks(), pa.array(lens + 1), pa.array(known),
-                 pa.array(base), pa.array(net + extra), C.lists(C.signed(rare), rare_n, pa.int64())],
-                names=["uid", "_id", "held_out", "n_tokens", "n_known", "base", "net", "rare"])
-
-        size = 0
         for rows, buf, offs in C.chunks(batches, "_text"):
             h, tail, w = words_of(buf, offs)
             rank, c = lexicon.find(h)
@@ -274,26 +250,57 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             outside = ~found | (rank >= HEAD)
             extra = sums(np.where(outside, log_c - log_room[tail], 0.0))
             known = np.diff(C.before(found)[w]) + (ends > 0)
-            held.append((word_ids(rank, tail).astype(np.int16), np.diff(w),
-                         rows.select(["_id", "held_out"]), base, extra, known,
-                         np.diff(C.before(~found)[w]), h[~found]))
-            size += len(h)
+            ids = word_ids(rank, tail).astype(np.int16)
+            uid = made + np.arange(len(w) - 1)
+            made += len(uid)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(uid), rows.column("_id").combine_chunks(),
+                 rows.column("held_out").combine_chunks(), pa.array(np.diff(w) + 1),
+                 pa.array(known), pa.array(base), pa.array(extra),
+                 C.lists(C.signed(h[~found]), np.diff(C.before(~found)[w]), pa.int64()),
+                 pa.array([ids[x:y].tobytes() for x, y in zip(w[:-1], w[1:])], pa.binary())],
+                names=["uid", "_id", "held_out", "n_tokens", "n_known", "base", "extra", "rare",
+                       "ids"])
+
+    part = C.stored(texts.mapInArrow(
+        encode, "uid long, _id long, held_out boolean, n_tokens long, n_known long, base double, "
+                "extra double, rare array<long>, ids binary"), "encoded")
+    params = _train(part, n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gru.keep_memory()
+        held: list[pa.RecordBatch] = []
+
+        def flush() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            held.clear()
+            texts = rows.column("ids").to_pylist()
+            offs = np.append(0, np.cumsum([len(x) // 2 for x in texts]))
+            net = gru.score(params, np.frombuffer(b"".join(texts), np.int16), offs, END)
+            net = net / math.log(10) + rows.column("extra").to_numpy()
+            rows = rows.drop_columns(["ids", "extra"]).append_column("net", pa.array(net))
+            return rows.to_batches()[0]
+
+        size = 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.column("ids").nbytes // 2
             if size > BUFFER:
                 yield flush()
                 size = 0
-        if held:
+        if sum(len(b) for b in held):
             yield flush()
 
-    part = C.stored(texts.mapInArrow(
+    scored = part.drop("rare").mapInArrow(
         run, "uid long, _id long, held_out boolean, n_tokens long, n_known long, base double, "
-             "net double, rare array<long>"), "scores")
+             "net double")
     rare = part.select("uid", F.explode("rare").alias("word")).groupBy("uid", "word") \
         .agg(F.count("*").alias("times"))
     late = (rare.join(counts.select("word", "n"), "word")
             .groupBy("uid").agg(F.sum("times").alias("more"),
                                 F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("log_c")))
     log_c = F.coalesce("log_c", F.lit(0.0))
-    return part.drop("rare").join(late, "uid", "left").select(
+    return scored.join(late, "uid", "left").select(
         F.col("_id").alias(id_col), "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"), (F.col("base") + log_c).alias("base_score"),
