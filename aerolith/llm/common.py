@@ -53,7 +53,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete ``stored`` tables. Everything made from them must be stored already:
+    a task that runs again after an executor is lost would miss them."""
+    for table in tables:
+        session = table.sparkSession
+        path = session._jvm.org.apache.hadoop.fs.Path(table._stored_at)
+        path.getFileSystem(session._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def carried(docs: DataFrame, text_col: str) -> tuple[DataFrame, T.StructType]:

@@ -160,7 +160,10 @@ def _shared(rows: DataFrame) -> DataFrame:
     own and its skewed partitions can be split between tasks."""
     keys = rows.groupBy("key").agg(F.min("_id").alias("a"), F.max("_id").alias("b")) \
         .filter("a < b").select("key")
-    return C.stored(rows.join(C.stored(keys, "keys"), "key", "left_semi"), "shared")
+    keys = C.stored(keys, "keys")
+    shared = C.stored(rows.join(keys, "key", "left_semi"), "shared")
+    C.dropped(keys)
+    return shared
 
 
 def _stretches(links: DataFrame, least: int) -> DataFrame:
@@ -194,9 +197,9 @@ def _stretches(links: DataFrame, least: int) -> DataFrame:
 
 
 def _slices(docs: DataFrame, stretches: DataFrame) -> DataFrame:
-    """``(pid, first, own, at, part)``: the shingles of each stretch in both its
-    documents, cut out in one pass; a document's many stretches are dealt to
-    several rows."""
+    """``(pid, own, at, part)``: the shingles of each stretch in both its
+    documents, cut out in one pass and stored; a document's many stretches are
+    dealt to several rows."""
     wanted = stretches.select("pid", F.explode(F.array(
         F.struct(F.col("_id").alias("doc"), F.lit(True).alias("own"), F.col("lo").alias("a"),
                  F.col("hi").alias("b")),
@@ -228,8 +231,11 @@ def _slices(docs: DataFrame, stretches: DataFrame) -> DataFrame:
                              np.array([len(p) for p in part]), pa.int64())],
                     names=["pid", "own", "at", "part"])
 
-    return dealt.withColumnRenamed("doc", "_id").join(texts, "_id").select("_text", "cuts") \
-        .mapInArrow(run, "pid long, own boolean, at int, part array<long>")
+    slices = C.stored(dealt.withColumnRenamed("doc", "_id").join(texts, "_id")
+                      .select("_text", "cuts")
+                      .mapInArrow(run, "pid long, own boolean, at int, part array<long>"), "slices")
+    C.dropped(dealt)
+    return slices
 
 
 def alike(a: np.ndarray, b: np.ndarray, least: int) -> list[tuple[int, int]]:
@@ -246,8 +252,8 @@ def alike(a: np.ndarray, b: np.ndarray, least: int) -> list[tuple[int, int]]:
 
 
 def _verified(docs: DataFrame, stretches: DataFrame, least: int) -> DataFrame:
-    """``(_id, to, own, first, end)`` (shingles) of what is alike on both sides."""
-    parts = C.stored(_slices(docs, stretches), "slices")
+    """``(_id, to, own, first, end)`` (shingles) of what is alike on both sides, stored."""
+    parts = _slices(docs, stretches)
     side = lambda own: parts.filter(F.col("own") == own).select(
         "pid", F.col("at").alias(f"at_{own}".lower()), F.col("part").alias(f"part_{own}".lower()))
     both = stretches.select("pid", "_id", "to").join(side(True), "pid").join(side(False), "pid")
@@ -271,7 +277,10 @@ def _verified(docs: DataFrame, stretches: DataFrame, least: int) -> DataFrame:
                      pa.array(cols[2], pa.bool_()), pa.array(cols[3], pa.int32()),
                      pa.array(cols[4], pa.int32())], names=["_id", "to", "own", "first", "end"])
 
-    return both.mapInArrow(run, "_id long, to long, own boolean, first int, end int")
+    found = C.stored(both.mapInArrow(run, "_id long, to long, own boolean, first int, end int"),
+                     "verified")
+    C.dropped(parts)
+    return found
 
 
 def _runs(docs: DataFrame, wanted: DataFrame, width: int, single: bool) -> DataFrame:
@@ -336,20 +345,25 @@ def _to_least(runs: DataFrame, least_run: DataFrame, least: int) -> DataFrame:
 
 def _split(docs: DataFrame, windows: DataFrame, least: int, min_words: int) -> DataFrame:
     """Links of the runs in the windows ``(_id, l, c, r)`` that are alike but for
-    one word at most, each to the smallest document with such a run."""
+    one word at most, each to the smallest document with such a run; stored."""
     starts = windows.select(
         "_id", F.greatest("l", F.col("c") - (least - 1)).alias("a"),
         F.least("c", F.col("r") - (least - 1)).alias("b"), F.lit(0).alias("part")).filter("a <= b")
-    runs = C.stored(_runs(docs, C.stored(starts.distinct(), "starts"), min_words, False), "runs")
+    starts = C.stored(starts.distinct(), "starts")
+    runs = C.stored(_runs(docs, starts, min_words, False), "runs")
+    C.dropped(starts)
     first = C.stored(runs.groupBy("key").agg(F.min(F.struct("_id", "s", "parts")).alias("to")),
                      "first")
     equal = _to_least(runs.drop("parts"), first, least)
     masked = first.select("to._id", "to.s", F.posexplode("to.parts").alias("part", "key"))
-    near = C.stored(_runs(docs, _shared(masked).select("_id", F.col("s").alias("a"),
-                                                       F.col("s").alias("b"), "part").distinct(),
+    shared = _shared(masked)
+    near = C.stored(_runs(docs, shared.select("_id", F.col("s").alias("a"),
+                                              F.col("s").alias("b"), "part").distinct(),
                           min_words, True), "near")
-    return equal.union(_to_least(near, near.groupBy("key").agg(
-        F.min(F.struct("_id", "s")).alias("to")), least)).distinct()
+    links = C.stored(equal.union(_to_least(near, near.groupBy("key").agg(
+        F.min(F.struct("_id", "s")).alias("to")), least)).distinct(), "links")
+    C.dropped(shared, runs, first, near)
+    return links
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -364,8 +378,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     every = C.stored(windows(texts, least), "windows")
     # Windows that share a side's key share the smallest hash: it is tried first.
     sides = F.explode(F.array("k0", "k1", "k2", "k3")).alias("key")
-    left = _shared(_shared(every).select(sides, "_id", "hash", "l", "c", "r")
-                   .filter("key is not null"))
+    alike_hash = _shared(every)
+    C.dropped(every)
+    left = _shared(alike_hash.select(sides, "_id", "hash", "l", "c", "r").filter("key is not null"))
+    C.dropped(alike_hash)
     least_doc = C.stored(left.groupBy("key").agg(F.min(F.struct("_id", "c", "l", "r"))
                                                  .alias("to")), "least")
     member = left.join(least_doc, "key").filter("_id <> to._id")
@@ -379,7 +395,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     def verified(links: DataFrame) -> DataFrame:
         stretches = C.stored(_stretches(links, least)
                              .withColumn("pid", F.monotonically_increasing_id()), "stretches")
-        return C.stored(_verified(texts, stretches, least), "verified")
+        found = _verified(texts, stretches, least)
+        C.dropped(stretches)
+        return found
 
     found = verified(links)
     # A group is done if its smallest document verified every member there.
@@ -389,10 +407,15 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         .join(spans, ["_id", "to"], "left").filter(~F.coalesce(F.exists(
             "spans", lambda s: (s["first"] <= F.col("c")) & (F.col("c") < s["end"])),
             F.lit(False))).select("key").distinct()
-    rest = C.stored(left.join(C.stored(open_keys, "open"), "key", "left_semi")
+    open_keys = C.stored(open_keys, "open")
+    rest = C.stored(left.join(open_keys, "key", "left_semi")
                     .select("_id", "l", "c", "r").distinct(), "left")
+    C.dropped(left, least_doc, open_keys)
     if not rest.isEmpty():
-        found = found.union(verified(_split(texts, rest, least, min_words)))
+        more = _split(texts, rest, least, min_words)
+        found = found.union(verified(more))
+        C.dropped(more)
+    C.dropped(rest)
     doc = F.when(F.col("own"), F.col("_id")).otherwise(F.col("to"))
     return found.select(doc.alias(id_col), F.col("first").alias("first_word"),
                         (F.col("end") + SHINGLE - 1).alias("end_word"),
