@@ -15,9 +15,9 @@ of these four groups is enough; a changed word, which alters ``SHINGLE`` shingle
 in a row, cannot be in both of a side's. So two passages of 50 words that differ in
 one word are candidates unless no hash has its smallest value in what they share, at
 most 1 in 100 of them (1 / 5 for each hash: 10 of 51 shingles are in one alone). Each group is linked to its smallest document, window against window at the same
-shingle, never pair by pair. Per pair of documents an interval join over the
-hashes finds the stretches that ``AGREE`` hashes or more cover on about one
-diagonal, and each stretch is verified on both documents' full shingles: it
+shingle, never pair by pair. Per pair of documents an interval join finds the
+stretches that windows of any hash cover on about one diagonal, and each stretch
+is verified on both documents' full shingles: it
 counts where of every ``least`` shingles in a row 8/9 are in the other stretch
 (for runs of one length, a similarity of 0.8).
 
@@ -42,13 +42,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.llm import common as C
 
 SHINGLE, MIN_WORDS = 5, 50
-HASHES, AGREE = 3, 1
+HASHES = 3
 #: Shingles by which a stretch's diagonals may differ.
 SLACK = 16
 #: Words in a row that are left out of a run's first keys.
@@ -57,6 +57,8 @@ MASK = 10
 RUNS = 20_000
 #: Stretches cut out of one document row at a time.
 REQUESTS = 500
+#: Shingles of stretches that a task gives on, or compares, at once.
+VALUES = 1 << 18
 
 _U = np.uint64
 _PLACE = _U(0xFFFFFF)
@@ -121,9 +123,11 @@ def compact_windows(order: np.ndarray, wall: np.ndarray, least: int,
 
 
 def windows(docs: DataFrame, least: int) -> DataFrame:
-    """``(key, _id, hash, l, c, r, k0, k1, k2, k3)`` of all documents' compact
+    """``(key, _id, l, c, r, lead, k0, k1, k2, k3)`` of all documents' compact
     windows: ``key`` is the smallest hash, the others are that with a shingle of a
-    side, null where no run reaches on there; places are the document's shingles."""
+    side, null where no run reaches on there; a bit of ``lead`` tells for each side
+    whether the window is the first of its document with this key; places are the
+    document's shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, offs in C.chunks(batches, "_text"):
             hashes, inside, w = shingles(buf, offs)
@@ -134,66 +138,81 @@ def windows(docs: DataFrame, least: int) -> DataFrame:
                 # Equal shingles rank by place; the rank's low bits tell it.
                 order = (value & ~_PLACE) | place
                 l, c, r = compact_windows(order, ~inside, least)
+                text = np.searchsorted(w, c, "right") - 1
                 half = least // 2
                 fore, back = c + half <= r, c - half >= l
-                sides = []
-                for salt, d, there in zip(C.constants(82, 4), (half, -half, half // 2, -(half // 2)),
-                                          (fore, back) * 2):
+                sides, lead = [], np.zeros(len(c), np.int8)
+                for k, (salt, d, there) in enumerate(zip(
+                        C.constants(82, 4), (half, -half, half // 2, -(half // 2)), (fore, back) * 2)):
                     far = hashes[np.where(there, c + d, c)]
                     with np.errstate(over="ignore"):
-                        sides.append(pa.array(C.signed(C.mix(value[c] + far * salt)), mask=~there))
-                text = np.searchsorted(w, c, "right") - 1
+                        key = C.mix(value[c] + far * salt)
+                        own = np.where(there, key + text.astype(_U) * C.constants(85, 1)[0], place[c])
+                    lead[np.unique(own, return_index=True)[1]] |= 1 << k
+                    sides.append(pa.array(C.signed(key), mask=~there))
                 ids = rows.column("_id").combine_chunks().take(pa.array(text))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(C.signed(value[c])), ids, pa.array(np.full(len(c), j), pa.int8()),
-                     *(pa.array(x - w[text], pa.int32()) for x in (l, c, r)), *sides],
-                    names=["key", "_id", "hash", "l", "c", "r", "k0", "k1", "k2", "k3"])
+                    [pa.array(C.signed(value[c])), ids,
+                     *(pa.array(x - w[text], pa.int32()) for x in (l, c, r)), pa.array(lead), *sides],
+                    names=["key", "_id", "l", "c", "r", "lead", "k0", "k1", "k2", "k3"])
 
-    return docs.mapInArrow(run, "key long, _id long, hash byte, l int, c int, r int, "
+    return docs.mapInArrow(run, "key long, _id long, l int, c int, r int, lead byte, "
                                 "k0 long, k1 long, k2 long, k3 long")
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """The rows of stored windows whose key windows of another document have too.
+def _shared(rows: DataFrame, *more: Column) -> DataFrame:
+    """The stored rows whose key rows of another document have too, with the key's
+    smallest and largest document ``a`` and ``b`` and the aggregates ``more``.
 
     The keys are written before they are joined, so the join has a stage of its
     own and its skewed partitions can be split between tasks."""
-    keys = rows.groupBy("key").agg(F.min("_id").alias("a"), F.max("_id").alias("b")) \
-        .filter("a < b").select("key")
-    keys = C.stored(keys, "keys")
-    shared = C.stored(rows.join(keys, "key", "left_semi"), "shared")
+    keys = C.stored(rows.groupBy("key").agg(F.min("_id").alias("a"), F.max("_id").alias("b"), *more)
+                    .filter("a < b"), "keys")
+    shared = C.stored(rows.join(keys.hint("shuffle_hash"), "key"), "shared")
     C.dropped(keys)
     return shared
 
 
+def _merged(links: DataFrame, least: int) -> DataFrame:
+    """The links ``(_id, to, off, lo, hi)``, those of a diagonal that hold the same
+    multiple of ``least`` as one: each is as long and holds one at least."""
+    return links.groupBy("_id", "to", "off", F.ceil(F.col("lo") / least).alias("grid")).agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("grid")
+
+
 def _stretches(links: DataFrame, least: int) -> DataFrame:
-    """Interval join per pair of documents: where enough hashes agree."""
-    def run(keys: tuple, group: pa.Table) -> pa.Table:
-        off, j, lo, hi = (group.column(c).to_numpy() for c in ("off", "hash", "lo", "hi"))
-        order = np.argsort(off, kind="stable")
-        off, j, lo, hi = off[order], j[order], lo[order], hi[order]
-        cuts = np.flatnonzero(np.diff(off) > SLACK) + 1
-        out: list[tuple[int, int, int, int]] = []
-        for part in np.split(np.arange(len(off)), cuts):
-            base = int(lo[part].min())
-            cover = np.zeros((HASHES, int(hi[part].max()) - base + 2), np.int32)
-            np.add.at(cover, (j[part], lo[part] - base), 1)
-            np.add.at(cover, (j[part], hi[part] - base + 1), -1)
-            agreed = (np.cumsum(cover, axis=1) > 0).sum(0) >= AGREE
-            step = np.diff(np.concatenate([[0], agreed.astype(np.int8), [0]]))
-            for a, b in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1)):
-                if b - a >= least:
-                    out.append((base + int(a), base + int(b),
-                                int(off[part].min()), int(off[part].max())))
-        cols = list(zip(*out)) or [()] * 4
-        n = len(out)
-        return pa.table({"_id": pa.array([keys[0].as_py()] * n, pa.int64()),
-                         "to": pa.array([keys[1].as_py()] * n, pa.int64()),
-                         **{c: pa.array(v, pa.int32())
-                            for c, v in zip(("lo", "hi", "off_lo", "off_hi"), cols)}})
-
-    return links.groupBy("_id", "to").applyInArrow(
-        run, "_id long, to long, lo int, hi int, off_lo int, off_hi int")
+    """Interval join per pair of documents: what merged links cover where their
+    diagonals follow each other within ``SLACK``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("links")
+            if not len(column):
+                continue
+            row = np.repeat(np.arange(len(column)), column.value_lengths().to_numpy())
+            off, lo, hi = (column.flatten().field(c).to_numpy().astype(np.int64)
+                           for c in ("off", "lo", "hi"))
+            order = np.lexsort((off, row))
+            row, off, lo, hi = row[order], off[order], lo[order], hi[order]
+            new = np.append(True, (np.diff(row) > 0) | (np.diff(off) > SLACK))
+            chain, first = np.cumsum(new) - 1, np.flatnonzero(new)
+            last = np.append(first[1:], len(off)) - 1
+            # Each chain's places are moved beyond those of the one before.
+            moved = chain * (int(hi.max()) + 2)
+            order = np.lexsort((lo, chain))
+            lo, reach = (lo + moved)[order], np.maximum.accumulate((hi + moved)[order])
+            start = np.flatnonzero(np.append(True, lo[1:] > reach[:-1] + 1))
+            end = np.append(start[1:], len(lo)) - 1
+            lo, hi, chain = lo[start] - moved[start], reach[end] - moved[start] + 1, chain[start]
+            long = hi - lo >= least
+            pair, chain = pa.array(row[start[long]]), chain[long]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id").take(pair), batch.column("to").take(pair),
+                 *(pa.array(x, pa.int32()) for x in (lo[long], hi[long], off[first[chain]],
+                                                     off[last[chain]]))],
+                names=["_id", "to", "lo", "hi", "off_lo", "off_hi"])
+
+    return links.groupBy("_id", "to").agg(F.collect_list(F.struct("off", "lo", "hi")).alias("links")) \
+        .mapInArrow(run, "_id long, to long, lo int, hi int, off_lo int, off_hi int")
 
 
 def _slices(docs: DataFrame, stretches: DataFrame) -> DataFrame:
@@ -216,20 +235,21 @@ def _slices(docs: DataFrame, stretches: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, offs in C.chunks(batches, "_text"):
             hashes, _, w = shingles(buf, offs)
-            out: list[tuple] = []
-            for i, cuts in enumerate(rows.column("cuts").to_pylist()):
-                end = max(int(w[i + 1]) - SHINGLE + 1, int(w[i]))
-                for x in cuts:
-                    a = int(w[i]) + x["a"]
-                    out.append((x["pid"], x["own"], x["a"],
-                                hashes[a:min(int(w[i]) + x["b"], end)]))
-            if out:
-                pid, own, at, part = zip(*out)
+            column = rows.column("cuts").combine_chunks()
+            row = np.repeat(np.arange(len(column)), column.value_lengths().to_numpy())
+            cuts = column.flatten()
+            a, b = (cuts.field(c).to_numpy() + w[row] for c in ("a", "b"))
+            n = np.maximum(np.minimum(b, np.maximum(w[row + 1] - SHINGLE + 1, w[row])) - a, 0)
+            ends = np.cumsum(n)
+            i = 0
+            while i < len(n):
+                j = max(int(np.searchsorted(ends, ends[i] - n[i] + VALUES, "right")), i + 1)
+                part = [hashes[x:x + k] for x, k in zip(a[i:j].tolist(), n[i:j].tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(pid, pa.int64()), pa.array(own), pa.array(at, pa.int32()),
-                     C.lists(C.signed(np.concatenate(part)),
-                             np.array([len(p) for p in part]), pa.int64())],
+                    [*(cuts.field(c).slice(i, j - i) for c in ("pid", "own", "a")),
+                     C.lists(C.signed(np.concatenate(part)), n[i:j], pa.int64())],
                     names=["pid", "own", "at", "part"])
+                i = j
 
     slices = C.stored(dealt.withColumnRenamed("doc", "_id").join(texts, "_id")
                       .select("_text", "cuts")
@@ -238,17 +258,28 @@ def _slices(docs: DataFrame, stretches: DataFrame) -> DataFrame:
     return slices
 
 
+def _alike_runs(hits: np.ndarray, row: np.ndarray, least: int,
+                ) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs in which of any ``least`` places in a row 8/9
+    are hits, within the rows (that stand one after the other)."""
+    n = len(hits)
+    if n < least:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    count = C.before(hits)
+    good = (9 * (count[least:] - count[:-least]) >= 8 * least) & (row[least - 1:] == row[:n - least + 1])
+    step = np.zeros(n + 1, np.int64)
+    step[:len(good)] += good
+    step[least:] -= good
+    flag = np.cumsum(step)[:-1] > 0
+    joined = flag[1:] & flag[:-1] & (row[1:] == row[:-1])
+    return (np.flatnonzero(flag & ~np.append(False, joined)),
+            np.flatnonzero(flag & ~np.append(joined, False)) + 1)
+
+
 def alike(a: np.ndarray, b: np.ndarray, least: int) -> list[tuple[int, int]]:
     """Runs of ``a`` in which of any ``least`` places in a row 8/9 are in ``b``."""
-    if len(a) < least:
-        return []
-    hits = C.before(np.isin(a, b))
-    good = 9 * (hits[least:] - hits[:-least]) >= 8 * least
-    step = np.zeros(len(a) + 1, np.int64)
-    np.add.at(step, np.flatnonzero(good), 1)
-    np.add.at(step, np.flatnonzero(good) + least, -1)
-    flag = np.diff(np.concatenate([[0], (np.cumsum(step)[:-1] > 0).astype(np.int8), [0]]))
-    return list(zip(np.flatnonzero(flag == 1).tolist(), np.flatnonzero(flag == -1).tolist()))
+    first, end = _alike_runs(np.isin(a, b), np.zeros(len(a), np.int64), least)
+    return list(zip(first.tolist(), end.tolist()))
 
 
 def _verified(docs: DataFrame, stretches: DataFrame, least: int) -> DataFrame:
@@ -258,24 +289,44 @@ def _verified(docs: DataFrame, stretches: DataFrame, least: int) -> DataFrame:
         "pid", F.col("at").alias(f"at_{own}".lower()), F.col("part").alias(f"part_{own}".lower()))
     both = stretches.select("pid", "_id", "to").join(side(True), "pid").join(side(False), "pid")
 
+    def compared(rows: pa.RecordBatch) -> pa.RecordBatch:
+        """``alike`` of both sides of all rows at once: a place's key holds its row."""
+        salt = C.constants(86, 1)[0]
+        keys, owner, n = [], [], rows.num_rows
+        for c in ("part_true", "part_false"):
+            row = np.repeat(np.arange(n), rows.column(c).value_lengths().to_numpy())
+            with np.errstate(over="ignore"):
+                keys.append(rows.column(c).flatten().to_numpy().view(_U) + row.astype(_U) * salt)
+            owner.append(row)
+        alone, place = np.unique(np.concatenate(keys), return_inverse=True)
+        places = np.split(place, [len(keys[0])])
+        there = []
+        for x in places:
+            has = np.zeros(len(alone), bool)
+            has[x] = True
+            there.append(has)
+        found = [_alike_runs(there[1 - k][places[k]], owner[k], least) for k in (0, 1)]
+        of = [owner[k][found[k][0]] for k in (0, 1)]
+        out = []
+        for k, c in enumerate(("true", "false")):
+            ok = np.isin(of[k], of[1 - k])
+            row = of[k][ok]
+            moved = rows.column(f"at_{c}").to_numpy()[row] - np.searchsorted(owner[k], row)
+            take = lambda x: rows.column(x).take(pa.array(row))  # noqa: E731, B023
+            out.append([take("_id"), take("to"), pa.array(np.full(len(row), not k)),
+                        *(pa.array(x[ok] + moved, pa.int32()) for x in found[k])])
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(*out)],
+                                          names=["_id", "to", "own", "first", "end"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for r in range(batch.num_rows):
-                value = lambda c: batch.column(c)[r]  # noqa: E731, B023
-                a, b = (value(c).values.to_numpy() for c in ("part_true", "part_false"))
-                mine, other = alike(a, b, least), alike(b, a, least)
-                if mine and other:
-                    i, t = value("_id").as_py(), value("to").as_py()
-                    at, bt = value("at_true").as_py(), value("at_false").as_py()
-                    out += [(i, t, True, at + x, at + y) for x, y in mine]
-                    out += [(i, t, False, bt + x, bt + y) for x, y in other]
-            if out:
-                cols = list(zip(*out))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                     pa.array(cols[2], pa.bool_()), pa.array(cols[3], pa.int32()),
-                     pa.array(cols[4], pa.int32())], names=["_id", "to", "own", "first", "end"])
+            ends = np.cumsum(sum(batch.column(c).value_lengths().to_numpy().astype(np.int64)
+                                 for c in ("part_true", "part_false")))
+            i = 0
+            while i < batch.num_rows:
+                j = max(int(np.searchsorted(ends, (ends[i - 1] if i else 0) + VALUES, "right")), i + 1)
+                yield compared(batch.slice(i, j - i))
+                i = j
 
     found = C.stored(both.mapInArrow(run, "_id long, to long, own boolean, first int, end int"),
                      "verified")
@@ -337,9 +388,10 @@ def _runs(docs: DataFrame, wanted: DataFrame, width: int, single: bool) -> DataF
 
 def _to_least(runs: DataFrame, least_run: DataFrame, least: int) -> DataFrame:
     """Links of runs to the smallest document's of the same key."""
-    return runs.join(least_run, "key").filter("_id <> to._id").select(
-        "_id", F.col("to._id").alias("to"), F.lit(0).cast("byte").alias("hash"),
-        (F.col("s") - F.col("to.s")).alias("off"), F.col("s").alias("lo"),
+    shared = least_run.filter("to._id < b").select("key", "to._id", "to.s")
+    shared = shared.toDF("key", "to", "to_s").hint("shuffle_hash")
+    return runs.join(shared, "key").filter("_id <> to").select(
+        "_id", "to", (F.col("s") - F.col("to_s")).alias("off"), F.col("s").alias("lo"),
         (F.col("s") + F.lit(least - 1)).alias("hi"))
 
 
@@ -352,16 +404,16 @@ def _split(docs: DataFrame, windows: DataFrame, least: int, min_words: int) -> D
     starts = C.stored(starts.distinct(), "starts")
     runs = C.stored(_runs(docs, starts, min_words, False), "runs")
     C.dropped(starts)
-    first = C.stored(runs.groupBy("key").agg(F.min(F.struct("_id", "s", "parts")).alias("to")),
-                     "first")
+    first = C.stored(runs.groupBy("key").agg(F.min(F.struct("_id", "s", "parts")).alias("to"),
+                                             F.max("_id").alias("b")), "first")
     equal = _to_least(runs.drop("parts"), first, least)
     masked = first.select("to._id", "to.s", F.posexplode("to.parts").alias("part", "key"))
     shared = _shared(masked)
     near = C.stored(_runs(docs, shared.select("_id", F.col("s").alias("a"),
                                               F.col("s").alias("b"), "part").distinct(),
                           min_words, True), "near")
-    links = C.stored(equal.union(_to_least(near, near.groupBy("key").agg(
-        F.min(F.struct("_id", "s")).alias("to")), least)).distinct(), "links")
+    links = C.stored(_merged(equal.union(_to_least(near, near.groupBy("key").agg(
+        F.min(F.struct("_id", "s")).alias("to"), F.max("_id").alias("b")), least)), least), "links")
     C.dropped(shared, runs, first, near)
     return links
 
@@ -377,20 +429,23 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         .filter("_id is not null")
     every = C.stored(windows(texts, least), "windows")
     # Windows that share a side's key share the smallest hash: it is tried first.
-    sides = F.explode(F.array("k0", "k1", "k2", "k3")).alias("key")
     alike_hash = _shared(every)
     C.dropped(every)
-    left = _shared(alike_hash.select(sides, "_id", "hash", "l", "c", "r").filter("key is not null"))
+    side = alike_hash.select("_id", "l", "c", "r", "lead",
+                             F.posexplode(F.array("k0", "k1", "k2", "k3")).alias("side", "key")) \
+        .filter("key is not null").select(
+            "key", "_id", "l", "c", "r", F.expr("shiftright(lead, side) & 1 = 1").alias("lead"))
+    # The first window of the smallest document: one row of a key, so its parts agree.
+    leads = F.when(F.col("lead"), F.col("_id"))
+    left = _shared(side, *(F.min_by(x, leads).alias(f"to_{x}") for x in ("l", "c", "r")))
     C.dropped(alike_hash)
-    least_doc = C.stored(left.groupBy("key").agg(F.min(F.struct("_id", "c", "l", "r"))
-                                                 .alias("to")), "least")
-    member = left.join(least_doc, "key").filter("_id <> to._id")
-    before = F.least(F.col("c") - F.col("l"), F.col("to.c") - F.col("to.l"))
-    after = F.least(F.col("r") - F.col("c"), F.col("to.r") - F.col("to.c"))
-    links = (member.select("_id", F.col("to._id").alias("to"), "hash",
-                           (F.col("c") - F.col("to.c")).alias("off"),
-                           (F.col("c") - before).alias("lo"), (F.col("c") + after).alias("hi"))
-             .filter(F.col("hi") - F.col("lo") + 1 >= least).distinct())
+    before = F.least(F.col("c") - F.col("l"), F.col("to_c") - F.col("to_l"))
+    after = F.least(F.col("r") - F.col("c"), F.col("to_r") - F.col("to_c"))
+    links = (left.filter("_id <> a")
+             .select("_id", F.col("a").alias("to"), (F.col("c") - F.col("to_c")).alias("off"),
+                     (F.col("c") - before).alias("lo"), (F.col("c") + after).alias("hi"))
+             .filter(F.col("hi") - F.col("lo") + 1 >= least))
+    links = _merged(links, least)
 
     def verified(links: DataFrame) -> DataFrame:
         stretches = C.stored(_stretches(links, least)
@@ -401,16 +456,16 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     found = verified(links)
     # A group is done if its smallest document verified every member there.
-    spans = found.filter("own").groupBy("_id", "to").agg(
+    spans = found.filter("own").groupBy("_id", F.col("to").alias("a")).agg(
         F.collect_set(F.struct("first", "end")).alias("spans"))
-    open_keys = member.select("key", "_id", F.col("to._id").alias("to"), "c") \
-        .join(spans, ["_id", "to"], "left").filter(~F.coalesce(F.exists(
+    open_keys = left.filter("_id <> a").select("key", "_id", "a", "c").join(spans, ["_id", "a"], "left") \
+        .filter(~F.coalesce(F.exists(
             "spans", lambda s: (s["first"] <= F.col("c")) & (F.col("c") < s["end"])),
             F.lit(False))).select("key").distinct()
     open_keys = C.stored(open_keys, "open")
-    rest = C.stored(left.join(open_keys, "key", "left_semi")
+    rest = C.stored(left.join(C.few(open_keys), "key", "left_semi")
                     .select("_id", "l", "c", "r").distinct(), "left")
-    C.dropped(left, least_doc, open_keys)
+    C.dropped(left, open_keys)
     if not rest.isEmpty():
         more = _split(texts, rest, least, min_words)
         found = found.union(verified(more))
