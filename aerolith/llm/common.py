@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -47,12 +48,28 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/aerolith-llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Delete each job's shuffle files when it ends: for jobs that store what they make."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+#: For ``stored`` tables of hashes, which no dictionary makes smaller.
+HASHED = {"parquet.enable.dictionary": "false"}
+
+
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written to the shared work folder and read back: later jobs start
     from the files, whichever executors are lost meanwhile."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

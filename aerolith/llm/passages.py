@@ -253,7 +253,7 @@ def _slices(docs: DataFrame, stretches: DataFrame) -> DataFrame:
 
     slices = C.stored(dealt.withColumnRenamed("doc", "_id").join(texts, "_id")
                       .select("_text", "cuts")
-                      .mapInArrow(run, "pid long, own boolean, at int, part array<long>"), "slices")
+                      .mapInArrow(run, "pid long, own boolean, at int, part array<long>"), "slices", **C.HASHED)
     C.dropped(dealt)
     return slices
 
@@ -336,9 +336,11 @@ def _verified(docs: DataFrame, stretches: DataFrame, least: int) -> DataFrame:
 
 def _runs(docs: DataFrame, wanted: DataFrame, width: int, single: bool) -> DataFrame:
     """Keys of the runs of ``width`` words that begin at the shingles ``a..b`` of
-    the rows ``(_id, a, b, part)``: ``(key, _id, s, parts)`` by all words, with the
-    keys that leave out ``MASK`` words each; or, ``single``, ``(key, _id, s)`` that
-    leave out one word each of the part."""
+    the rows ``(_id, a, b, part)``: ``(key, _id, s, lead, p0, p1, ...)`` by all words,
+    whether it is the first of its document, and the keys that leave out ``MASK`` words
+    each; or, ``single``, ``(key, _id, s)`` that leave out one word each of the part."""
+    names = ["key", "_id", "s"] if single else \
+        ["key", "_id", "s", "lead", *(f"p{k}" for k in range(-(-width // MASK)))]
     cuts = wanted.groupBy("_id").agg(F.collect_set(F.struct("a", "b", "part")).alias("cuts"))
     texts = docs.join(C.few(wanted.select("_id").distinct()), "_id", "left_semi") \
         .dropDuplicates(["_id"])
@@ -357,6 +359,9 @@ def _runs(docs: DataFrame, wanted: DataFrame, width: int, single: bool) -> DataF
             row, part = np.repeat(row, n), np.repeat(part, n)
             ok = at + width <= w[row + 1]
             at, row, part = np.unique(np.stack([at[ok], row[ok], part[ok]]), axis=1)
+            ids = rows.column("_id").combine_chunks()
+            keys: list[np.ndarray] = []
+            masked: list[np.ndarray] = []
             for k in range(0, len(at), RUNS):
                 i, x, p = at[k:k + RUNS], row[k:k + RUNS], part[k:k + RUNS]
                 with np.errstate(over="ignore"):
@@ -370,27 +375,35 @@ def _runs(docs: DataFrame, wanted: DataFrame, width: int, single: bool) -> DataF
                                     + salt[out])[there]
                         more = np.repeat(np.arange(len(i)), there.sum(1))
                         i, x = i[more], x[more]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(C.signed(key)), ids.take(pa.array(x)),
+                             pa.array(i - w[x], pa.int32())], names=names)
                     else:
-                        key = C.mix(whole)
+                        keys.append(C.mix(whole))
                         block = np.add.reduceat(word, np.arange(0, width, MASK), axis=1)
-                        parts = C.mix(whole[:, None] - block + salt[:block.shape[1]])
-                cols = [pa.array(C.signed(key)), rows.column("_id").combine_chunks().take(pa.array(x)),
-                        pa.array(i - w[x], pa.int32())]
-                if not single:
-                    cols.append(C.lists(C.signed(parts.ravel()),
-                                        np.full(len(i), parts.shape[1]), pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    cols, names=["key", "_id", "s", "parts"][:len(cols)])
+                        masked.append(C.mix(whole[:, None] - block + salt[:block.shape[1]]))
+            if keys:
+                key, parts = np.concatenate(keys), np.concatenate(masked)
+                lead = np.zeros(len(key), bool)
+                with np.errstate(over="ignore"):
+                    lead[np.unique(key + row.astype(_U) * scale[0], return_index=True)[1]] = True
+                for k in range(0, len(key), RUNS):
+                    x = row[k:k + RUNS]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(C.signed(key[k:k + RUNS])), ids.take(pa.array(x)),
+                         pa.array(at[k:k + RUNS] - w[x], pa.int32()), pa.array(lead[k:k + RUNS]),
+                         *(pa.array(C.signed(y)) for y in parts[k:k + RUNS].T)], names=names)
 
     return cuts.join(texts, "_id").select("_id", "_text", "cuts").mapInArrow(
-        run, "key long, _id long, s int" + ("" if single else ", parts array<long>"))
+        run, "key long, _id long, s int" + ("" if single else ", lead boolean")
+        + "".join(f", {x} long" for x in names[4:]))
 
 
 def _to_least(runs: DataFrame, least_run: DataFrame, least: int) -> DataFrame:
-    """Links of runs to the smallest document's of the same key."""
-    shared = least_run.filter("to._id < b").select("key", "to._id", "to.s")
-    shared = shared.toDF("key", "to", "to_s").hint("shuffle_hash")
-    return runs.join(shared, "key").filter("_id <> to").select(
+    """Links of runs to the smallest document's of the same key, by the rows
+    ``(key, to, to_s, b)``, where ``b`` is the largest document."""
+    shared = least_run.filter("to < b").select("key", "to", "to_s")
+    return runs.join(shared.hint("shuffle_hash"), "key").filter("_id <> to").select(
         "_id", "to", (F.col("s") - F.col("to_s")).alias("off"), F.col("s").alias("lo"),
         (F.col("s") + F.lit(least - 1)).alias("hi"))
 
@@ -402,19 +415,28 @@ def _split(docs: DataFrame, windows: DataFrame, least: int, min_words: int) -> D
         "_id", F.greatest("l", F.col("c") - (least - 1)).alias("a"),
         F.least("c", F.col("r") - (least - 1)).alias("b"), F.lit(0).alias("part")).filter("a <= b")
     starts = C.stored(starts.distinct(), "starts")
-    runs = C.stored(_runs(docs, starts, min_words, False), "runs")
+    runs = C.stored(_runs(docs, starts, min_words, False), "runs", **C.HASHED)
     C.dropped(starts)
-    first = C.stored(runs.groupBy("key").agg(F.min(F.struct("_id", "s", "parts")).alias("to"),
-                                             F.max("_id").alias("b")), "first")
-    equal = _to_least(runs.drop("parts"), first, least)
-    masked = first.select("to._id", "to.s", F.posexplode("to.parts").alias("part", "key"))
+    # Equal runs have equal parts.
+    parts = runs.columns[4:]
+    first = C.stored(runs.groupBy("key").agg(
+        F.min("_id").alias("to"), F.max("_id").alias("b"),
+        F.min_by("s", F.when(F.col("lead"), F.col("_id"))).alias("to_s"),
+        *(F.min(x).alias(x) for x in parts)), "first", **C.HASHED)
+    equal = _to_least(runs.select("key", "_id", "s"), first, least)
+    masked = first.select(F.col("to").alias("_id"), F.col("to_s").alias("s"),
+                          F.posexplode(F.array(*parts)).alias("part", "key"))
     shared = _shared(masked)
     near = C.stored(_runs(docs, shared.select("_id", F.col("s").alias("a"),
                                               F.col("s").alias("b"), "part").distinct(),
-                          min_words, True), "near")
-    links = C.stored(_merged(equal.union(_to_least(near, near.groupBy("key").agg(
-        F.min(F.struct("_id", "s")).alias("to"), F.max("_id").alias("b")), least)), least), "links")
-    C.dropped(shared, runs, first, near)
+                          min_words, True), "near", **C.HASHED)
+    alike_runs = _shared(near)
+    C.dropped(shared, near)
+    near_first = alike_runs.filter("_id = a").groupBy("key", F.col("a").alias("to"), "b") \
+        .agg(F.min("s").alias("to_s"))
+    links = equal.union(_to_least(alike_runs.select("key", "_id", "s"), near_first, least))
+    links = C.stored(_merged(links, least), "links")
+    C.dropped(alike_runs, runs, first)
     return links
 
 
@@ -424,10 +446,20 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ``first_word`` and ``end_word``, and ``class_id``, the smallest document it
     was verified with (the document itself, where others were verified with it)."""
     C.small_batches(docs.sparkSession)
-    least = min_words - SHINGLE + 1
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")) \
         .filter("_id is not null")
-    every = C.stored(windows(texts, least), "windows")
+    with C.shuffles_dropped(docs.sparkSession):
+        found = _found(texts, min_words)
+    doc = F.when(F.col("own"), F.col("_id")).otherwise(F.col("to"))
+    return found.select(doc.alias(id_col), F.col("first").alias("first_word"),
+                        (F.col("end") + SHINGLE - 1).alias("end_word"),
+                        F.col("to").alias("class_id")).distinct()
+
+
+def _found(texts: DataFrame, min_words: int) -> DataFrame:
+    """``(_id, to, own, first, end)`` of all verified passages, stored."""
+    least = min_words - SHINGLE + 1
+    every = C.stored(windows(texts, least), "windows", **C.HASHED)
     # Windows that share a side's key share the smallest hash: it is tried first.
     alike_hash = _shared(every)
     C.dropped(every)
@@ -471,7 +503,4 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         found = found.union(verified(more))
         C.dropped(more)
     C.dropped(rest)
-    doc = F.when(F.col("own"), F.col("_id")).otherwise(F.col("to"))
-    return found.select(doc.alias(id_col), F.col("first").alias("first_word"),
-                        (F.col("end") + SHINGLE - 1).alias("end_word"),
-                        F.col("to").alias("class_id")).distinct()
+    return found
